@@ -85,8 +85,11 @@ def strip_phrases(c: Column, phrases) -> Column:
 
 def title_case(c: Column) -> Column:
     """A capital at the start of every letter run, also after digits and marks."""
-    runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    # initcap starts words at spaces only: mark the other starts with a private character
+    # and a space, and take both out again
+    mark = "\ue000 "
+    marked = F.regexp_replace(c, r"(?<=[^\p{L} ])(?=\p{L})", mark)
+    return F.replace(F.initcap(marked), F.lit(mark), F.lit(""))
 
 
 def normalize_key(c: Column) -> Column:

@@ -85,7 +85,8 @@ def parse_decision(df: DataFrame, text: str = "response_text") -> DataFrame:
     """Add selected_id, given_path, reasoning, confidence and ``parsed``.
 
     An id written as text is no id; a whole number written 7.0 is 7. A missing confidence
-    becomes 0.8, an explicit null stays null. Anything but a JSON object is not parsed.
+    becomes 0.8, an explicit null stays null. Anything but a JSON object is not parsed; without
+    any text ``parsed`` is NULL.
     """
     body = unfence(F.col(text))
     df = df.withColumn("_body", F.when(body.rlike(r"(?s)^\{.*\}$"), body)).withColumn("_v", F.try_parse_json("_body"))
@@ -102,7 +103,7 @@ def parse_decision(df: DataFrame, text: str = "response_text") -> DataFrame:
     confidence = F.when(sub("confidence_score").isNull(), F.lit(DEFAULT_CONFIDENCE)).otherwise(
         F.try_variant_get("_v", "$.confidence_score", "double")
     )
-    parsed = F.col("_v").isNotNull()
+    parsed = F.when(F.col(text).isNotNull(), F.col("_v").isNotNull())
     missing = sub("reasoning").isNull()
     return df.select(
         *[c for c in df.columns if c not in ("_v", "_body")],

@@ -266,7 +266,7 @@ def unfence(spark, d):
 
 @query(
     "parse_decision",
-    f"SELECT event_id, {_KIND} IN (0, 1, 2, 3, 4, 5, 9) AS parsed, "
+    f"SELECT event_id, CASE WHEN {_KIND} <> 11 THEN {_KIND} IN (0, 1, 2, 3, 4, 5, 9) END AS parsed, "
     f"CASE WHEN {_KIND} IN (0, 1, 2, 4) THEN event_id END AS selected_id, "
     f"CASE WHEN {_KIND} = 0 THEN concat('1.2.', user_id) END AS given_path, "
     f"CASE {_KIND} WHEN 0 THEN event_type WHEN 1 THEN '' WHEN 2 THEN '' WHEN 3 THEN '' WHEN 5 THEN '' WHEN 9 THEN '' END AS reasoning, "

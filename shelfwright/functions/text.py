@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,12 @@ SPACE_IN = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 WORD_IN = r"\p{L}\p{N}_"
 DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉]"
 
+# The same characters one by one.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 TAG = r"<[^>]+>"
 SCRIPT_BLOCK = r"(?s)<script\b.*?</script>"
 STYLE_BLOCK = r"(?s)<style\b.*?</style>"
@@ -28,7 +36,7 @@ def let(value: Column, body) -> Column:
 
 def strip(c: Column) -> Column:
     """Drop leading and trailing Unicode whitespace."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def collapse(c: Column) -> Column:
@@ -111,7 +119,13 @@ def has_digit(c: Column) -> Column:
 
 
 def holds_any(c: Column, words) -> Column:
-    """True if the text contains one of the literal words."""
+    """True if the text contains one of the literal words.
+
+    One pattern for longer lists: the text is then computed once, also inside array
+    functions, which are interpreted.
+    """
+    if len(words) > 3:
+        return c.rlike("|".join(re.escape(w) for w in words))
     out = F.lit(False)
     for w in words:
         out = out | c.contains(w)

@@ -105,21 +105,24 @@ def last_segment(url: Column) -> Column:
     return F.substring_index(url, "/", -1)
 
 
+def _product_shape(u: Column, patterns, topics, deep: int) -> Column:
+    is_html = u.endswith(".html") | u.endswith(".htm")
+    slashes = F.length(u) - F.length(F.replace(u, F.lit("/"), F.lit("")))
+    named = last_segment(u).rlike("|".join(f"(?:{p})" for p in patterns))
+    return is_html & (named | ((slashes >= deep) & holds_any(u, topics)))
+
+
 def looks_like_product(href: Column, denied, patterns, topics, deep: int = 6) -> Column:
     """HTML page, not denied, with a product-like file name or deep under a topic.
 
     Takes the href as written on the page: a relative link has fewer slashes.
     """
-    u = strip(F.lower(href))
-    is_html = u.endswith(".html") | u.endswith(".htm")
-    slashes = F.length(u) - F.length(F.replace(u, F.lit("/"), F.lit("")))
-    named = last_segment(u).rlike("|".join(f"(?:{p})" for p in patterns))
-    return is_html & ~contains_denied(u, denied) & (named | ((slashes >= deep) & holds_any(u, topics)))
+    return _product_shape(strip(F.lower(href)), patterns, topics, deep) & ~contains_denied(href, denied)
 
 
-def link_route(href: Column, abs_url: Column, profile) -> Column:
+def link_route(href: Column, abs_url: Column, profile, deep: int = 6) -> Column:
     """'product', 'category' or NULL (not followed) for a link on a page of the site."""
-    product = looks_like_product(href, profile.denied, profile.product_patterns, profile.topic_words)
+    usable = is_navigable(href) & same_site(abs_url, profile.hosts) & ~contains_denied(href, profile.denied)
+    product = _product_shape(strip(F.lower(href)), profile.product_patterns, profile.topic_words, deep)
     section = holds_any(abs_url, profile.sections)
-    usable = is_navigable(href) & same_site(abs_url, profile.hosts) & ~contains_denied(strip(href), profile.denied)
-    return F.when(usable & product, "product").when(usable & section, "category")
+    return F.when(usable, F.when(product, "product").when(section, "category"))

@@ -279,16 +279,22 @@ def _points(test: Column, points: int) -> Column:
 
 
 def link_score(href: Column, text: Column, title: Column) -> Column:
-    """How much a link looks like a product data sheet. The points."""
-    href = F.lower(strip(href))
-    text, title = F.lower(strip(blank(text))), F.lower(strip(blank(title)))
+    """How much a link looks like a product data sheet."""
+    folded = F.struct(
+        F.lower(strip(href)).alias("href"),
+        F.lower(strip(blank(text))).alias("text"),
+        F.lower(strip(blank(title))).alias("title"),
+    )
+    return let(folded, lambda f: _score(f["href"], f["text"], f["title"]))
+
 
+def _score(href: Column, text: Column, title: Column) -> Column:
     def either(phrase):
         return text.contains(phrase) | title.contains(phrase)
 
     def word(w):
         alone = f"(^|{SPACE}){w}({SPACE}|$)"
-        return text.rlike(alone) | title.rlike(alone)
+        return (text.contains(w) & text.rlike(alone)) | (title.contains(w) & title.rlike(alone))
 
     def safety(c):
         # "msds" contains "sds"
@@ -297,6 +303,7 @@ def link_score(href: Column, text: Column, title: Column) -> Column:
     def anywhere(w):
         return either(w) | href.contains(w)
 
+    # Terms and points
     return (
         _points(either("product data sheet"), 10)
         + _points(word("pds"), 8)

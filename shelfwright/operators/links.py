@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from shelfwright.functions.htmlscan import Watch
 from shelfwright.functions.text import strip
 from shelfwright.functions.urls import is_navigable, link_route, resolve_url, same_site
 from shelfwright.operators.page_facts import page_facts
-from shelfwright.session import ensure_checkpoint_dir
+from shelfwright.session import SMALL_ROWS, settle, shared_dir
 
 
 def extract_links(pages: DataFrame, css_class: str | None = None) -> DataFrame:
@@ -76,45 +78,71 @@ def unseen(links: DataFrame, seen: DataFrame) -> DataFrame:
 def link_graph(pages: DataFrame, route) -> DataFrame:
     """One row per page URL: ``url``, ``outlinks array<struct<to, route>>`` without duplicates.
 
-    ``route`` maps (href, absolute url) to 'product', 'category' or NULL (not followed).
+    ``route`` maps (href, absolute url) to 'product', 'category' or NULL (not followed). Each
+    step is a pass of its own over the page's links, so no step repeats another's work.
     """
     facts = page_facts(pages, ["links"], keep=["page_id", "url"])
-    navigable = F.filter("links", lambda a: is_navigable(a["href"]))
-
-    def edge(a):
-        to = resolve_url(F.col("url"), strip(a["href"]))
-        return F.struct(to.alias("to"), route(strip(a["href"]), to).alias("route"))
-
-    edges = F.filter(F.transform(navigable, edge), lambda e: e["route"].isNotNull())
-    return facts.select("url", F.array_distinct(edges).alias("outlinks"))
+    hrefs = F.transform(F.filter("links", lambda a: is_navigable(a["href"])), lambda a: strip(a["href"]))
+    pairs = F.transform(
+        F.array_distinct(hrefs), lambda h: F.struct(h.alias("href"), resolve_url(F.col("url"), h).alias("to"))
+    )
+    edges = F.transform(pairs, lambda p: F.struct(p["to"].alias("to"), route(p["href"], p["to"]).alias("route")))
+    followed = F.filter(edges, lambda e: e["route"].isNotNull())
+    return facts.select("url", F.array_distinct(followed).alias("outlinks"))
 
 
 def crawl_closure(graph: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Every URL reached from ``seeds.url``: (url, route, depth). Category pages lead on,
     product pages do not.
 
-    One join per level between the new URLs (each once) and the pages (one row per URL,
-    links in an array): neither side has a hot key. URLs many pages link to collapse
-    map-side in the grouping. Each level is written to the reliable checkpoint folder, so
-    lineage stays short and a lost executor costs one level at most.
+    ``graph`` is written once, bucketed by URL, so it is not shuffled again however many
+    levels follow. Per level, the new URLs (each once) meet the pages (one row per URL, links in an array), so neither side has a hot key,
+    and URLs many pages link to collapse map-side in the grouping. A side counted as small
+    is broadcast, and then neither the graph nor the URLs seen so far move. Each level is
+    written to the shared folder: lineage stays short and a lost executor costs one level at
+    most.
     """
-    ensure_checkpoint_dir(graph.sparkSession)
-    graph = graph.checkpoint()
-    level = seeds.select("url").distinct().select("url", F.lit("category").alias("route"), F.lit(0).alias("depth"))
-    level = level.checkpoint()
-    seen, depth = level, 0
-    while max_depth is None or depth < max_depth:
+    spark = graph.sparkSession
+    table = _bucketed(graph, "url")
+    graph = spark.table(table)
+    level = settle(seeds.select("url").distinct().select("url", F.lit("category").alias("route"), F.lit(0).alias("depth")))
+    seen, seen_rows, depth = level, 0, 0
+    while (max_depth is None or depth < max_depth) and (size := level.count()):
         depth += 1
-        out = level.where(F.col("route") == "category").join(graph, "url").select(F.explode("outlinks").alias("e"))
+        seen_rows += size
+        leads = level.where(F.col("route") == "category").select("url")
+        if size <= SMALL_ROWS:
+            leads = F.broadcast(leads)
+        out = graph.join(leads, "url").select(F.explode("outlinks").alias("e"))
         found = out.groupBy(F.col("e.to").alias("url")).agg(F.max("e.route").alias("route"))
-        fresh = found.join(seen.select("url"), "url", "left_anti").withColumn("depth", F.lit(depth))
-        level = fresh.checkpoint()
-        if level.isEmpty():
-            break
+        fresh = _not_in(found, seen.select("url"), seen_rows)
+        level = settle(fresh.withColumn("depth", F.lit(depth)))
         seen = seen.unionByName(level)
+    spark.sql(f"DROP TABLE {table}")
     return seen
 
 
+def _bucketed(df: DataFrame, key: str) -> str:
+    """Write ``df`` as a table bucketed and sorted by ``key`` in the shared folder."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bucketed_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    writer.option("path", f"{shared_dir(spark).rstrip('/')}/{name}").saveAsTable(name)
+    return name
+
+
+def _not_in(found: DataFrame, seen: DataFrame, seen_rows: int) -> DataFrame:
+    """Rows of ``found`` whose URL is not in ``seen``, moving the smaller side where it is small."""
+    if seen_rows <= SMALL_ROWS:
+        return found.join(F.broadcast(seen), "url", "left_anti")
+    found = settle(found)
+    if found.count() <= SMALL_ROWS:
+        known = seen.join(F.broadcast(found.select("url")), "url", "left_semi")
+        return found.join(F.broadcast(known), "url", "left_anti")
+    return found.join(seen, "url", "left_anti")
+
+
 def crawl_stats(records: DataFrame, visited: DataFrame) -> DataFrame:
     """Run totals: items extracted, pages visited, unique products."""
     items = records.agg(

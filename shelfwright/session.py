@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,8 @@ def build_session(app: str = "shelfwright", master: str | None = None, **conf) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # rules are long expressions: do not record a call site for each of their nodes
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # wide page rows: small Arrow batches keep the Python workers' memory flat
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     }
@@ -43,12 +46,18 @@ def shared_dir(spark: SparkSession) -> str:
         return current.get()
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="shelfwright-")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwright-"))
+    return spark._jsc.sc().getCheckpointDir().get()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if not spark._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+def settle(df: DataFrame) -> DataFrame:
+    """Write the result to a new table in the shared folder and read it back.
+
+    Cuts lineage: whatever executors are lost later, this is not computed again.
+    """
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/settled/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -68,20 +77,30 @@ def ship_package(spark: SparkSession) -> None:
     sc._shelfwright_shipped = True
 
 
-def use_all_cores(df: DataFrame) -> DataFrame:
-    """Deal rows out over the cores when the input has fewer partitions than that.
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of the result. Runs nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
-    Meant before per-row Python work. An input of many files already has its partitions and
-    is left alone, so nothing large is ever shuffled here.
+def use_all_cores(df: DataFrame, per_core: int = 16 << 20) -> DataFrame:
+    """Deal rows out over the cores if the input is too small to have a partition for each.
+
+    Meant before per-row Python work. Anything larger than ``per_core`` bytes per core keeps
+    the partitions of its scan, so nothing large is ever shuffled here.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    if df.isStreaming or estimated_bytes(df) > cores * per_core:
         return df
     return df.repartition(cores)
 
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; counts no further than that."""
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, count_up_to: int = 4 << 30) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows; counts no further than that.
+
+    A result the optimizer puts above ``count_up_to`` bytes is taken as large uncounted.
+    """
+    if max_rows <= 0 or estimated_bytes(df) > count_up_to:
+        return False
     return df.limit(max_rows + 1).count() <= max_rows
 
 

@@ -386,7 +386,7 @@ def _counts(texts):
 _PART_TEXT = "concat(p_name, ' NATION_', p_partkey % 25, ' ', p_type, ' ', p_brand)"
 _PART_Q = _counts(f"(SELECT p_partkey AS query_id, {_PART_TEXT} AS t FROM part)")
 _PART_C = _counts(
-    f"(SELECT id, name, rich_text AS path, path AS numeric_path, rich_text AS t FROM {_LABELS} WHERE id >= 1000)"
+    f"(SELECT id, name, rich_text AS path, path AS numeric_path, rich_text AS t FROM {_LABELS} WHERE {_IS_LEAF})"
 )
 _E2E = (
     "SELECT p_partkey AS query_id, p_name AS product_name, concat('NATION_', p_partkey % 25) AS category, "

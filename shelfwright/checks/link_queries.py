@@ -7,7 +7,8 @@ from shelfwright.checks.registry import query, table
 from shelfwright.functions.urls import contains_denied, link_route, looks_like_product, same_site
 from shelfwright.operators import links as L
 from shelfwright.operators.rows import first_per_url
-from shelfwright.plans.site_profiles import B_DENIED, B_PRODUCT_PATTERNS, SITE_B
+from shelfwright.operators.extract import is_product_page_a
+from shelfwright.plans.site_profiles import B_DENIED, B_PRODUCT_PATTERNS, SITE_A, SITE_B
 
 # ---- links of the page table itself ----------------------------------------------------
 
@@ -241,6 +242,37 @@ def crawl_closure(spark, d):
     return _closure(spark, d)
 
 
+# The same tree as a site of cards: inner pages show a grid of two cards and a next link to a
+# third child, leaf pages have a heading and no grid.
+
+_CARDS = "https://www.flex-tools.com/en/c"
+_CARD_SITE = (
+    "concat('<title>', s_name, '</title><h1>', s_name, '</h1>', CASE WHEN s_suppkey < 40 THEN "
+    "concat('<div class=\"product-card-grid\"><a class=\"card-link\" href=\"c', s_suppkey * 3 + 1, '\">x</a>"
+    "<a class=\"card-link\" href=\"/en/c', s_suppkey * 3 + 2, '\">y</a></div><p class=\"pagination-next\"><a href=\"c', "
+    "s_suppkey * 3 + 3, '\">next</a><a class=\"next\" href=\"/no\">no</a></p>') "
+    "ELSE '<a class=\"card-link\" href=\"/related\">z</a>' END)"
+)
+
+
+@query(
+    "crawl_closure_cards",
+    "WITH RECURSIVE walk(key, depth) AS (SELECT CAST(0 AS BIGINT), 0 UNION ALL "
+    "SELECT walk.key * 3 + j, walk.depth + 1 FROM walk, (SELECT unnest(range(1, 4)) AS j) "
+    "WHERE walk.key < 40 AND walk.key IN (SELECT s_suppkey FROM supplier)) "
+    f"SELECT concat('{_CARDS}', key) AS url, depth, s_suppkey IS NOT NULL AND key >= 40 AS is_product "
+    "FROM walk LEFT JOIN supplier ON s_suppkey = key",
+)
+def crawl_closure_cards(spark, d):
+    pages = table(spark, d, "supplier").selectExpr(
+        "s_suppkey AS page_id", f"concat('{_CARDS}', s_suppkey) AS url", f"{_CARD_SITE} AS html"
+    )
+    graph = L.card_graph(first_per_url(pages), SITE_A, is_product_page_a(F.col("url")))
+    reached = L.crawl_closure(graph, spark.createDataFrame([(f"{_CARDS}0",)], "url string"))
+    found = reached.join(graph.select("url", "is_product"), "url", "left")
+    return found.select("url", "depth", F.coalesce("is_product", F.lit(False)).alias("is_product"))
+
+
 @query(
     "crawl_stats",
     "SELECT (SELECT count(*) FROM part) AS items_extracted, (SELECT count(DISTINCT url) FROM pages) AS pages_visited, "

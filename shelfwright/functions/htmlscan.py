@@ -155,9 +155,10 @@ def own_text(node: Node):
     return next((k for k in node.kids if type(k) is str), None)
 
 
-def inside(node: Node, test) -> bool:
+def inside(node: Node, test, within: Node | None = None) -> bool:
+    """True if an ancestor passes the test; with ``within``, only those below that element."""
     n = node.parent
-    while n is not None:
+    while n is not within:
         if test(n):
             return True
         n = n.parent
@@ -362,10 +363,10 @@ class PageFacts:
         heads, rows = [], []
         for t in tables:
             for th in below(t, ("th",)):
-                if inside(th, lambda x: x.tag == "thead"):
+                if inside(th, lambda x: x.tag == "thead", t):
                     heads.extend(k for k in th.kids if type(k) is str)
             for tr in below(t, ("tr",)):
-                if "row-variant" in tr.classes and inside(tr, lambda x: x.tag == "tbody"):
+                if "row-variant" in tr.classes and inside(tr, lambda x: x.tag == "tbody", t):
                     rows.append(self._variant_row(tr))
         return heads, rows
 
@@ -388,24 +389,16 @@ class PageFacts:
         return article, second, [first_text(c) for c in cells]
 
     def body_text(self):
-        head = self.by_tag.get("head", ())
+        """All text nodes but those of the head, one space between them."""
         parts = []
-        for top in self.root.kids:
-            if type(top) is str:
-                parts.append(top)
-            elif type(top) is Node:
-                parts.extend(_texts_outside(top, head))
+        todo = list(reversed(self.root.kids))
+        while todo:
+            k = todo.pop()
+            if type(k) is str:
+                parts.append(k)
+            elif type(k) is Node:
+                if k.tag == "html":
+                    todo.extend(reversed(k.kids))
+                elif k.tag not in ("head", "title"):
+                    parts.extend(texts(k))
         return " ".join(parts)
-
-
-def _texts_outside(node: Node, skip):
-    if node in skip:
-        return
-    for k in node.kids:
-        if type(k) is str:
-            yield k
-        elif type(k) is Node:
-            if k.tag == "head" or node.tag == "html":
-                yield from _texts_outside(k, skip)
-            else:
-                yield from texts(k)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwright.functions.text import blank, clean_tags_space, ellipsize, strip
 
+# Confidence without a reviewer, and where the reviewer names none.
 VECTOR_ONLY_CONFIDENCE = 0.5
 DEFAULT_CONFIDENCE = 0.8
 

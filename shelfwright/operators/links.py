@@ -11,6 +11,7 @@ from shelfwright.functions.htmlscan import Watch
 from shelfwright.functions.text import strip
 from shelfwright.functions.urls import is_navigable, link_route, resolve_url, same_site
 from shelfwright.operators.page_facts import page_facts
+from shelfwright.plans.site_profiles import SiteProfile
 from shelfwright.session import SMALL_ROWS, settle, shared_dir
 
 
@@ -26,15 +27,14 @@ def extract_links(pages: DataFrame, css_class: str | None = None) -> DataFrame:
 def next_page(pages: DataFrame, own_classes=(), within_classes=()) -> DataFrame:
     """The next-page link of each page: the first ``a`` with one of the classes or inside one."""
     facts = page_facts(pages, ["links"], Watch(classes=within_classes), keep=["page_id", "url"])
-    wanted = F.filter(
-        "links",
-        lambda a: F.arrays_overlap(a["classes"], _strings(own_classes))
-        | F.arrays_overlap(a["anc"], _strings(within_classes)),
-    )
-    href = F.get(wanted, 0)["href"]
+    href = F.get(F.filter("links", lambda a: _is_next(a, own_classes, within_classes)), 0)["href"]
     return facts.select("page_id", "url", resolve_url(F.col("url"), href).alias("next_url"))
 
 
+def _is_next(a: Column, own_classes, within_classes) -> Column:
+    return F.arrays_overlap(a["classes"], _strings(own_classes)) | F.arrays_overlap(a["anc"], _strings(within_classes))
+
+
 def _strings(values) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
@@ -91,6 +91,24 @@ def link_graph(pages: DataFrame, route) -> DataFrame:
     return facts.select("url", F.array_distinct(followed).alias("outlinks"))
 
 
+def card_graph(pages: DataFrame, profile: SiteProfile, is_product) -> DataFrame:
+    """Link graph of a site that lists its pages as cards: ``url``, ``outlinks``, ``is_product``.
+
+    ``is_product`` is a Column over the facts heads and classes. A product page leads nowhere;
+    any other page leads to its cards and its next page.
+    """
+    facts = page_facts(pages, ["links", "heads", "classes"], profile.watch(), keep=["page_id", "url"])
+    facts = facts.withColumn("is_product", is_product)
+    links = F.when(F.col("is_product"), F.slice("links", 1, 0)).otherwise(F.col("links"))
+    cards = F.filter(links, lambda a: F.array_contains(a["classes"], profile.card_class))
+    onward = F.slice(F.filter(links, lambda a: _is_next(a, profile.next_own, profile.next_within)), 1, 1)
+    edges = F.transform(
+        F.array_distinct(F.transform(F.concat(cards, onward), lambda a: a["href"])),
+        lambda h: F.struct(resolve_url(F.col("url"), h).alias("to"), F.lit("category").alias("route")),
+    )
+    return facts.select("url", F.array_distinct(edges).alias("outlinks"), "is_product")
+
+
 def crawl_closure(graph: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Every URL reached from ``seeds.url``: (url, route, depth). Category pages lead on,
     product pages do not.
@@ -104,7 +122,7 @@ def crawl_closure(graph: DataFrame, seeds: DataFrame, max_depth: int | None = No
     """
     spark = graph.sparkSession
     table = _bucketed(graph, "url")
-    graph = spark.table(table)
+    graph = spark.table(table).select("url", "outlinks")
     level = settle(seeds.select("url").distinct().select("url", F.lit("category").alias("route"), F.lit(0).alias("depth")))
     seen, seen_rows, depth = level, 0, 0
     while (max_depth is None or depth < max_depth) and (size := level.count()):

@@ -50,6 +50,15 @@ def test_nested_tables_show_their_rows_in_both():
     assert f.tables() == [([], [["o", "i", "i", "j"], ["i", "j"]]), ([], [["i", "j"]])]
 
 
+def test_variant_rows_need_their_own_table_body():
+    inner = '<table class="product-variants-table">{}<tr class="row-variant"><td>a</td><td>b</td></tr></table>'
+    outer = "<table><tbody><tr><td>{}</td></tr></tbody></table>"
+    kind = {"variant_tables": ("product-variants-table",)}
+    assert facts(outer.format(inner.format("")), **kind).variants() == ([], [])
+    with_body = facts(outer.format(inner.format("<thead><th> H </th></thead><tbody>")), **kind).variants()
+    assert with_body == ([" H "], [(None, "b", ["a", "b"])])
+
+
 def test_deep_nesting_does_not_overflow():
     f = facts("<div>" * 5000 + "<p>x</p><h3>Density</h3>1" + "</div>" * 5000)
     assert [t for t, _ in f.paras()] == ["x"]

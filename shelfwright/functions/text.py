@@ -20,6 +20,11 @@ WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Latin-1 characters a cleaner leaves as they are. A class of single Latin-1 characters is
+# one table look-up per character, far cheaper than the Unicode classes above, and most
+# text needs nothing else.
+_TIDY = [chr(i) for i in range(0x20, 0x100) if chr(i).isprintable()]
+
 TAG = r"<[^>]+>"
 SCRIPT_BLOCK = r"(?s)<script\b.*?</script>"
 STYLE_BLOCK = r"(?s)<style\b.*?</style>"
@@ -34,6 +39,15 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _only(c: Column, chars) -> Column:
+    """The text has none but these characters and no two spaces in a row."""
+    return c.rlike(f"^[{''.join(re.escape(x) for x in chars)}]*+\\z") & ~c.contains("  ")
+
+
+def _untagged(c: Column, by: str = "") -> Column:
+    return F.when(c.contains("<"), F.regexp_replace(c, TAG, by)).otherwise(c)
+
+
 def strip(c: Column) -> Column:
     """Drop leading and trailing Unicode whitespace."""
     return F.btrim(c, F.lit(WHITESPACE))
@@ -41,7 +55,7 @@ def strip(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """Every whitespace run to one space, none at the ends."""
-    return F.trim(F.regexp_replace(c, f"{SPACE}+", " "))
+    return F.when(_only(c, _TIDY), F.trim(c)).otherwise(F.trim(F.regexp_replace(c, f"{SPACE}+", " ")))
 
 
 def blank(c: Column) -> Column:
@@ -59,12 +73,12 @@ def clean_ws(c: Column) -> Column:
 
 def clean_tags_space(c: Column) -> Column:
     """Tags become one space."""
-    return collapse(F.regexp_replace(blank(c), TAG, " "))
+    return collapse(_untagged(blank(c), " "))
 
 
 def clean_tags(c: Column) -> Column:
     """Tags vanish."""
-    return collapse(F.regexp_replace(blank(c), TAG, ""))
+    return collapse(_untagged(blank(c)))
 
 
 def clean_strict(c: Column) -> Column:
@@ -73,8 +87,10 @@ def clean_strict(c: Column) -> Column:
     Once tags are gone no script, style or comment delimiter can be left, so script
     bodies stay as text; use ``strip_markup`` first where they must go.
     """
-    text = F.regexp_replace(blank(c), TAG, "")
-    return collapse(F.regexp_replace(text, f"[^{WORD_IN}{SPACE_IN}{KEPT_MARKS}]", ""))
+    kept = [x for x in _TIDY if x.isalnum() or x in "_ " or x in KEPT_MARKS]
+    text = F.regexp_replace(_untagged(blank(c)), f"[^{WORD_IN}{SPACE_IN}{KEPT_MARKS}]", "")
+    full = F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
+    return F.when(_only(c, kept), F.trim(c)).otherwise(full)
 
 
 def strip_markup(c: Column) -> Column:

@@ -16,6 +16,7 @@ from shelfwright.functions.text import (
     blank,
     clean_strict,
     clean_tags,
+    ellipsize,
     has_digit,
     holds_any,
     let,
@@ -46,6 +47,10 @@ def _none_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def _resolved(url: Column, href: Column) -> Column:
+    return let(href, lambda h: resolve_url(url, h))
+
+
 def _filled(c: Column) -> Column:
     return let(strip(c), lambda s: F.when(s != "", s))
 
@@ -120,13 +125,13 @@ def product_name_a() -> Column:
         _filled(h1(lambda h: F.lit(True))),
         _filled(F.col("title")),
     )
-    return clean_strict(found)
+    return let(found, clean_strict)
 
 
 def product_name_b() -> Column:
     """Facts heads, title: h1 text, else the title; no fall-through on blanks."""
     h1 = _first("heads", lambda h: (h["level"] == 1) & h["own"].isNotNull(), "own")
-    return clean_tags(F.coalesce(h1, F.col("title")))
+    return let(F.coalesce(h1, F.col("title")), clean_tags)
 
 
 def _meta(test) -> Column:
@@ -145,14 +150,14 @@ def long_description_a() -> Column:
     """Facts metas, paras: description meta, four summary selectors, else the first
     paragraph of a description block cut at 200."""
     para = _para_in(P.A_PARAGRAPH_CLASSES)
-    cut = F.when(F.length(para) > 200, F.concat(F.substring(para, 1, 200), F.lit("..."))).otherwise(para)
+    cut = let(para, lambda p: ellipsize(p, 200))
     tries = [_filled(_description_meta())] + [_filled(_para_in((c,))) for c in P.A_SUMMARY_CLASSES]
-    return clean_strict(F.coalesce(*tries, cut))
+    return let(F.coalesce(*tries, cut), clean_strict)
 
 
 def long_description_b() -> Column:
     """Facts metas, paras."""
-    return clean_tags(F.coalesce(_none_empty(_description_meta()), _para_in(P.B_PARAGRAPH_CLASSES)))
+    return let(F.coalesce(_none_empty(_description_meta()), _para_in(P.B_PARAGRAPH_CLASSES)), clean_tags)
 
 
 def short_description_a() -> Column:
@@ -160,16 +165,24 @@ def short_description_a() -> Column:
     paragraphs among the first eight; noise phrases removed."""
     keys = (*P.A_DESCRIPTION_CLASSES, "text-paragraph-content")
     block = F.coalesce(*[_none_empty(F.col("marked")[k]["markup"]) for k in keys])
-    from_block = clean_strict(strip_markup(block))
-    cleaned = F.transform(F.slice("paras", 1, 8), lambda p: clean_strict(p["text"]))
+    from_block = let(let(strip_markup(block), clean_strict), lambda t: F.when(t != "", t))
+    # cleaning never adds characters: what is short before it is short after it
+    long_ones = F.filter(F.slice("paras", 1, 8), lambda p: F.length(p["text"]) > 50)
+    cleaned = F.transform(long_ones, lambda p: clean_strict(p["text"]))
     telling = F.filter(cleaned, lambda t: (F.length(t) > 50) & ~holds_any(F.lower(t), P.A_SKIP_WORDS))
     from_paras = F.array_join(F.slice(telling, 1, 3), " ")
-    return strip_phrases(F.coalesce(_none_empty(from_block), from_paras), P.A_NOISE_PHRASES)
+
+    def without_noise(t):
+        # already clean, so there is only something to do where a phrase occurs
+        return F.when(holds_any(t, P.A_NOISE_PHRASES), strip_phrases(t, P.A_NOISE_PHRASES)).otherwise(t)
+
+    return let(F.coalesce(from_block, from_paras), without_noise)
 
 
 def short_description_b() -> Column:
     """Fact paras: those over 50 characters among the first five, joined."""
-    cleaned = F.transform(F.slice("paras", 1, 5), lambda p: clean_tags(p["text"]))
+    long_ones = F.filter(F.slice("paras", 1, 5), lambda p: F.length(p["text"]) > 50)
+    cleaned = F.transform(long_ones, lambda p: clean_tags(p["text"]))
     return F.array_join(F.filter(cleaned, lambda t: F.length(t) > 50), " ")
 
 
@@ -195,12 +208,11 @@ def specs_from_lists(clean, classes=P.A_LIST_CLASSES) -> Column:
     """Fact items: ``key: value`` list items, split at the first colon."""
     items = F.filter("items", lambda i: F.arrays_overlap(i["anc"], _strings(classes)) & i["text"].contains(":"))
 
-    def split(i):
-        text = strip(i["text"])
+    def split(text):
         key = F.substring_index(text, ":", 1)
         return _pair(normalize_key(key), clean(F.substring(text, F.length(key) + 2, F.lit(1 << 30))))
 
-    return _kept(F.transform(items, split))
+    return _kept(F.transform(F.transform(items, lambda i: strip(i["text"])), split))
 
 
 def specs_from_text(labels=P.A_TEXT_LABELS) -> Column:
@@ -271,7 +283,7 @@ def datasheet_a(url: Column) -> Column:
     by_url = _first(
         "links", lambda a: a["href"].contains(".pdf") & holds_any(F.lower(a["href"]), P.A_SHEET_URL_TERMS), "href"
     )
-    return resolve_url(url, F.coalesce(by_text, by_url))
+    return _resolved(url, F.coalesce(by_text, by_url))
 
 
 def _points(test: Column, points: int) -> Column:
@@ -345,7 +357,7 @@ def best_link(url: Column) -> Column:
         ),
     )
     best = F.array_max(F.filter(scored, lambda s: s["score"] > 0))
-    return resolve_url(url, best["href"])
+    return _resolved(url, best["href"])
 
 
 def datasheet_b_fallback(url: Column) -> Column:
@@ -357,7 +369,7 @@ def datasheet_b_fallback(url: Column) -> Column:
         & ~holds_any(F.lower(a["href"]), ("sds", "safety")),
         "href",
     )
-    return resolve_url(url, href)
+    return _resolved(url, href)
 
 
 def datasheet_b(url: Column) -> Column:
@@ -406,7 +418,7 @@ def image_url(url: Column) -> Column:
     picks = [_none_empty(_first("images", lambda i: F.array_contains(i["anc"], c), "src")) for c in P.A_IMAGE_CLASSES]
     picks.append(_none_empty(_first("images", lambda i: F.array_contains(i["classes"], P.A_IMAGE_OWN_CLASS), "src")))
     any_image = _first("images", lambda i: ~holds_any(F.lower(i["src"]), P.A_NO_IMAGE_WORDS), "src")
-    return F.coalesce(og, resolve_url(url, F.coalesce(*picks, any_image)))
+    return F.coalesce(og, _resolved(url, F.coalesce(*picks, any_image)))
 
 
 def _segment_after(url: Column, word: str, not_prefix: str) -> Column:

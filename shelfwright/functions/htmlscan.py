@@ -10,17 +10,19 @@ import re
 from html import escape, unescape
 
 _TOKEN = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|\Z)"
-    r"|<[!?][^>]*>"
-    r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>",
+    r"<(?:!--(.*?)(?:-->|\Z)"  # 1 comment
+    r"|/([a-zA-Z][^\s/>]*)[^>]*>"  # 2 end tag
+    r"|([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"  # 3 start tag, 4 attributes
+    r"|[!?][^>]*>)",
     re.S,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_CLASS = re.compile("class", re.I)
 _NO_ATTRS: dict = {}
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset(("script", "style"))
+_RAW_END = {t: re.compile(f"</{t}", re.I) for t in _RAW}
 # whitespace directly inside these is layout, not text
 _NO_BLANKS = frozenset("html head table thead tbody tfoot tr ul ol dl select".split())
 
@@ -46,17 +48,24 @@ _RANK |= {"table": 190, "head": 200, "body": 200, "html": 220}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "kids", "_classes")
+    __slots__ = ("tag", "src", "parent", "kids", "_attrs", "_classes")
 
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
+    def __init__(self, tag, src, parent):
+        self.tag, self.src, self.parent = tag, src, parent
         self.kids = []  # Node, str (text) or bytes (comment)
-        self._classes = None
+        self._attrs = self._classes = None
 
     @property
-    def classes(self):
+    def attrs(self) -> dict:
+        if self._attrs is None:
+            self._attrs = _attributes(self.src)
+        return self._attrs
+
+    @property
+    def classes(self) -> list:
         if self._classes is None:
-            self._classes = self.attrs.get("class", "").split() if self.attrs else []
+            # look for the word first: most elements have no class
+            self._classes = self.attrs.get("class", "").split() if _CLASS.search(self.src) else []
         return self._classes
 
 
@@ -74,55 +83,38 @@ def _attributes(src: str) -> dict:
 
 def read_tree(html: str):
     """The document root and all its elements in document order."""
-    root = Node("#root", _NO_ATTRS, None)
+    root = cur = Node("#root", "", None)
     nodes: list[Node] = []
-    cur = root
     pos, end = 0, len(html)
-
-    def add_text(s, raw=False):
-        if not raw and "&" in s:
-            s = unescape(s)
-        if s.isspace() and cur.tag in _NO_BLANKS:
-            return
-        if cur.kids and type(cur.kids[-1]) is str:
-            cur.kids[-1] += s
-        else:
-            cur.kids.append(s)
-
+    search = _TOKEN.search
     while pos < end:
-        m = _TOKEN.search(html, pos)
+        m = search(html, pos)
+        at = end if m is None else m.start()
+        if at > pos:
+            text = html[pos:at]
+            if not (cur.tag in _NO_BLANKS and text.isspace()):
+                if "&" in text:
+                    text = unescape(text)
+                kids = cur.kids
+                if kids and type(kids[-1]) is str:
+                    kids[-1] += text
+                else:
+                    kids.append(text)
         if m is None:
-            add_text(html[pos:])
             break
-        if m.start() > pos:
-            add_text(html[pos : m.start()])
         pos = m.end()
-        kind = m.lastgroup
-        if kind == "comment":
-            cur.kids.append(m.group("comment").encode("utf-8", "replace"))
-        elif kind == "end":
-            tag = m.group("end").lower()
-            rank = _RANK.get(tag, 100)
-            n = cur
-            while n is not root and n.tag != tag:
-                if _RANK.get(n.tag, 100) > rank:
-                    n = root
-                    break
-                n = n.parent
-            if n is not root:
-                cur = n.parent
-        elif kind in ("start", "attrs"):
-            tag = m.group("start").lower()
+        kind = m.lastindex
+        if kind == 4:  # start tag, with its attributes
+            tag = m[3].lower()
             closes = _CLOSES.get(tag)
             if closes:
                 while cur.tag in closes:
                     cur = cur.parent
-            attrs = m.group("attrs")
-            node = Node(tag, _attributes(attrs), cur)
+            node = Node(tag, m[4], cur)
             cur.kids.append(node)
             nodes.append(node)
             if tag in _RAW:
-                stop = re.compile(rf"</{tag}", re.I).search(html, pos)
+                stop = _RAW_END[tag].search(html, pos)
                 cut = stop.start() if stop else end
                 if cut > pos:
                     node.kids.append(html[pos:cut])
@@ -130,6 +122,22 @@ def read_tree(html: str):
                 cur = node
             elif tag not in _VOID:
                 cur = node
+        elif kind == 2:  # end tag
+            tag = m[2].lower()
+            if cur.tag == tag:
+                cur = cur.parent
+                continue
+            rank = _RANK.get(tag, 100)
+            n = cur
+            while n is not root and n.tag != tag:
+                if _RANK.get(n.tag, 100) > rank:
+                    n = root
+                    break
+                n = n.parent
+            if n is not root:
+                cur = n.parent
+        elif kind == 1:  # comment
+            cur.kids.append(m[1].encode("utf-8", "replace"))
     return root, nodes
 
 
@@ -207,6 +215,7 @@ class Watch:
 
     def __init__(self, classes=(), marked=(), marker="", look_ahead=20, variant_tables=()):
         self.classes = frozenset(classes)
+        self.ids = any(c.startswith("#") for c in self.classes)
         self.marked = tuple(marked)  # (key, class, ancestor class or None)
         self.marker = marker
         self.look_ahead = look_ahead
@@ -220,8 +229,11 @@ class PageFacts:
         self.root, self.nodes = read_tree(html or "")
         self.watch = watch
         self.by_tag: dict[str, list[Node]] = {}
+        self.classed: list[Node] = []
         for n in self.nodes:
             self.by_tag.setdefault(n.tag, []).append(n)
+            if n.src and n.classes:
+                self.classed.append(n)
 
     def _all(self, *tags):
         if len(tags) == 1:
@@ -230,12 +242,14 @@ class PageFacts:
 
     def _anc(self, node: Node):
         """Watched class names and ids of the ancestors."""
+        watched, ids = self.watch.classes, self.watch.ids
+        if not watched:
+            return []
         out, n = [], node.parent
-        watched = self.watch.classes
         while n is not None:
-            if n.attrs:
+            if n.src:
                 out.extend(c for c in n.classes if c in watched)
-                if "#" + n.attrs.get("id", "") in watched:
+                if ids and "#" + n.attrs.get("id", "") in watched:
                     out.append("#" + n.attrs["id"])
             n = n.parent
         return out
@@ -300,7 +314,7 @@ class PageFacts:
     def marked(self):
         out = {}
         for key, cls, outer in self.watch.marked:
-            for n in self.nodes:
+            for n in self.classed:
                 if cls in n.classes and (outer is None or inside(n, lambda x: outer in x.classes)):
                     own, whole = out.get(key, (None, None))
                     out[key] = (own_text(n) if own is None else own, markup(n) if whole is None else whole)
@@ -352,12 +366,12 @@ class PageFacts:
         return best
 
     def classes(self):
-        seen = {c for n in self.nodes if n.attrs for c in n.classes}
+        seen = {c for n in self.classed for c in n.classes}
         return sorted(seen & self.watch.classes)
 
     def variants(self):
         """(headers, rows) over the page's variant tables, None without one."""
-        tables = [n for n in self.nodes if self.watch.variant_tables.intersection(n.classes)]
+        tables = [n for n in self.classed if self.watch.variant_tables.intersection(n.classes)]
         if not tables:
             return None
         heads, rows = [], []

@@ -1,7 +1,5 @@
 """URL audit: products from parts, the probe log from events."""
 
-from pyspark.sql import functions as F
-
 from shelfwright.checks.registry import query, table
 from shelfwright.operators import audit as A
 
@@ -10,12 +8,13 @@ _IMAGE = (
     "CASE WHEN p_partkey % 3 = 0 THEN 'http://img.example.com/0.png' WHEN p_partkey % 11 = 0 THEN NULL "
     "WHEN p_partkey % 11 = 1 THEN '' ELSE concat('http://img.example.com/', p_partkey % 170, '.png') END"
 )
-_PROBE = (
-    "concat('http://img.example.com/', user_id, '.png') AS url, CASE WHEN event_type = 'signup' THEN 'GET' ELSE 'HEAD' END "
-    "AS method, CASE WHEN event_type = 'signup' THEN CASE WHEN user_id % 2 = 0 THEN 200 ELSE 403 END "
-    "ELSE CASE user_id % 5 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 405 WHEN 3 THEN 405 END END AS status, "
-    "CASE WHEN event_type <> 'signup' AND user_id % 5 = 4 THEN concat('timeout of ', user_id) END AS error"
-)
+_PROBE = [
+    "concat('http://img.example.com/', user_id, '.png') AS url",
+    "CASE WHEN event_type = 'signup' THEN 'GET' ELSE 'HEAD' END AS method",
+    "CASE WHEN event_type = 'signup' THEN CASE WHEN user_id % 2 = 0 THEN 200 ELSE 403 END "
+    "ELSE CASE user_id % 5 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 405 WHEN 3 THEN 405 END END AS status",
+    "CASE WHEN event_type <> 'signup' AND user_id % 5 = 4 THEN concat('timeout of ', user_id) END AS error",
+]
 _N = "CAST(split_part(split_part(image, 'com/', 2), '.', 1) AS INT)"
 _SEEN = "(SELECT max(user_id) FROM events)"
 _STATUS = (
@@ -34,16 +33,10 @@ def _audited(spark, d, max_rows=200_000):
     products = table(spark, d, "part").selectExpr(
         "p_partkey AS row_idx", "p_name AS product_name", f"{_IMAGE} AS product_image_url"
     )
-    probes = table(spark, d, "events").select(F.expr("user_id"), F.expr("event_type")).selectExpr(*_columns())
+    probes = table(spark, d, "events").selectExpr(*_PROBE)
     return A.with_verdict(products, probes, "row_idx", max_rows=max_rows)
 
 
-def _columns():
-    from shelfwright.checks.class_queries import _split
-
-    return _split(_PROBE)
-
-
 @query("url_audit", _AUDIT)
 def url_audit(spark, d):
     return _audited(spark, d)

@@ -38,7 +38,7 @@ def _tree_sql(region="region", nation="nation", supplier="supplier"):
 
 
 _TREE = f"({_tree_sql()})"
-_LABELS = (
+LABELS = (
     "(SELECT id, name, path, CASE WHEN n.n_name IS NULL THEN r.r_name WHEN t.id < 1000 THEN r.r_name || ' > ' || n.n_name "
     "ELSE r.r_name || ' > ' || n.n_name || ' > ' || t.name END AS rich_text, t.parent_id FROM "
     f"{_TREE} t JOIN region r ON CAST(split_part(path, '.', 1) AS INT) = r_regionkey + 1 "
@@ -47,7 +47,7 @@ _LABELS = (
 _IS_LEAF = "id NOT IN (SELECT s_nationkey + 100 FROM supplier UNION ALL SELECT n_regionkey + 1 FROM nation)"
 
 
-def _tree(spark, d):
+def tree(spark, d):
     def src(name):
         return f"parquet.`{d}/{name}.parquet`"
 
@@ -56,36 +56,36 @@ def _tree(spark, d):
 
 @query("tax_is_leaf", f"SELECT id, {_IS_LEAF} AS is_leaf FROM {_TREE}")
 def tax_is_leaf(spark, d):
-    return T.with_is_leaf(_tree(spark, d)).select("id", "is_leaf")
+    return T.with_is_leaf(tree(spark, d)).select("id", "is_leaf")
 
 
 @query("tax_leaves", f"SELECT id, parent_id, name, path FROM {_TREE} WHERE {_IS_LEAF}")
 def tax_leaves(spark, d):
-    return T.leaves(_tree(spark, d)).select("id", "parent_id", "name", "path")
+    return T.leaves(tree(spark, d)).select("id", "parent_id", "name", "path")
 
 
-@query("tax_path_names", f"SELECT id, rich_text FROM {_LABELS}")
+@query("tax_path_names", f"SELECT id, rich_text FROM {LABELS}")
 def tax_path_names(spark, d):
-    tree = _tree(spark, d)
+    tree = tree(spark, d)
     return T.resolve_paths(tree, tree).select("id", "rich_text")
 
 
-@query("tax_path_names_salted", f"SELECT id, rich_text FROM {_LABELS}")
+@query("tax_path_names_salted", f"SELECT id, rich_text FROM {LABELS}")
 def tax_path_names_salted(spark, d):
     """The way a name table too large to broadcast goes."""
-    tree = _tree(spark, d)
+    tree = tree(spark, d)
     return T.resolve_paths(tree, tree, max_rows=0).select("id", "rich_text")
 
 
-@query("tax_flatten", f"SELECT id, parent_id, name, path, rich_text, true AS is_leaf FROM {_LABELS} WHERE {_IS_LEAF}")
+@query("tax_flatten", f"SELECT id, parent_id, name, path, rich_text, true AS is_leaf FROM {LABELS} WHERE {_IS_LEAF}")
 def tax_flatten(spark, d):
-    return T.flatten_taxonomy(_tree(spark, d)).select("id", "parent_id", "name", "path", "rich_text", "is_leaf")
+    return T.flatten_taxonomy(tree(spark, d)).select("id", "parent_id", "name", "path", "rich_text", "is_leaf")
 
 
 # ---- nearest neighbours -----------------------------------------------------------------
 
 
-def _ranked(queries, cands, k=10):
+def ranked(queries, cands, k=10):
     """Exact k nearest in SQL; distances in double precision."""
     return (
         "(SELECT query_id, id, name, path, numeric_path, distance, rank FROM ("
@@ -101,10 +101,10 @@ _Q = "(SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddin
 _SELF = "(SELECT vec_id AS id, NULL AS name, NULL AS path, NULL AS numeric_path, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
 _CANDS = (
     "(SELECT id, name, rich_text AS path, path AS numeric_path, CAST(embedding AS DOUBLE[]) AS v "
-    f"FROM {_LABELS} JOIN embeddings ON vec_id + 1000 = id WHERE id >= 1000)"
+    f"FROM {LABELS} JOIN embeddings ON vec_id + 1000 = id WHERE id >= 1000)"
 )
-_NEAR = _ranked(_Q, _CANDS)
-_SELF_NEAR = f"SELECT query_id, id, CAST(rank AS INT) AS rank, round(distance, 4) AS distance FROM {_ranked(_Q, _SELF)}"
+_NEAR = ranked(_Q, _CANDS)
+_SELF_NEAR = f"SELECT query_id, id, CAST(rank AS INT) AS rank, round(distance, 4) AS distance FROM {ranked(_Q, _SELF)}"
 
 
 def _vectors(spark, d):
@@ -112,7 +112,7 @@ def _vectors(spark, d):
 
 
 def _cands(spark, d):
-    flat = T.as_candidates(T.flatten_taxonomy(_tree(spark, d)))
+    flat = T.as_candidates(T.flatten_taxonomy(tree(spark, d)))
     vecs = table(spark, d, "embeddings").select((F.col("vec_id") + 1000).alias("id"), "embedding")
     return flat.join(vecs, "id")
 
@@ -172,26 +172,16 @@ def classify_per_class(spark, d):
 
 # ---- texts and prompts ------------------------------------------------------------------
 
-_DOC_PRODUCT = (
-    "doc_id AS query_id, concat(' <b>', source, '</b> ') AS product_name, lang AS category, "
-    "CASE WHEN doc_id % 3 = 0 THEN NULL ELSE concat('sub ', lang) END AS subcategory, "
-    "text AS short_description, concat(text, ' <p>', text) AS long_description, "
-    "concat('{\"n\": \"', n_chars, '\"}') AS technical_specs"
-)
-
-
 def _doc_products(spark, d):
-    return table(spark, d, "documents").selectExpr(*_split(_DOC_PRODUCT))
-
-
-def _split(cols):
-    out, depth, at = [], 0, 0
-    for i, ch in enumerate(cols):
-        depth += {"(": 1, ")": -1}.get(ch, 0)
-        if ch == "," and depth == 0:
-            out.append(cols[at:i])
-            at = i + 1
-    return [*out, cols[at:]]
+    return table(spark, d, "documents").selectExpr(
+        "doc_id AS query_id",
+        "concat(' <b>', source, '</b> ') AS product_name",
+        "lang AS category",
+        "CASE WHEN doc_id % 3 = 0 THEN NULL ELSE concat('sub ', lang) END AS subcategory",
+        "text AS short_description",
+        "concat(text, ' <p>', text) AS long_description",
+        "concat('{\"n\": \"', n_chars, '\"}') AS technical_specs",
+    )
 
 
 _SUB = "CASE WHEN doc_id % 3 = 0 THEN '' ELSE concat('sub ', lang) END"
@@ -373,7 +363,7 @@ def attach_rows(spark, d):
     return D.attach_to_rows(_part_rows(spark, d), _reconciled(spark, d), "query_id")
 
 
-def _counts(texts):
+def counts(texts):
     """Word counts in 32 hash buckets as a dense vector, in SQL."""
     word = "regexp_extract_all(lower(t), '[\\p{L}\\p{N}_]+')"
     bucket = "CAST(concat('0x', substr(md5(w), 1, 8)) AS UBIGINT) % 32"
@@ -384,19 +374,19 @@ def _counts(texts):
 
 
 _PART_TEXT = "concat(p_name, ' NATION_', p_partkey % 25, ' ', p_type, ' ', p_brand)"
-_PART_Q = _counts(f"(SELECT p_partkey AS query_id, {_PART_TEXT} AS t FROM part)")
-_PART_C = _counts(
-    f"(SELECT id, name, rich_text AS path, path AS numeric_path, rich_text AS t FROM {_LABELS} WHERE {_IS_LEAF})"
+_PART_Q = counts(f"(SELECT p_partkey AS query_id, {_PART_TEXT} AS t FROM part)")
+PART_C = counts(
+    f"(SELECT id, name, rich_text AS path, path AS numeric_path, rich_text AS t FROM {LABELS} WHERE {_IS_LEAF})"
 )
 _E2E = (
     "SELECT p_partkey AS query_id, p_name AS product_name, concat('NATION_', p_partkey % 25) AS category, "
     "p_type AS subcategory, p_brand AS short_description, NULL AS brand, id AS type_id, numeric_path AS classification_path, "
     "name AS classification_name, '' AS classification_reasoning, 0.5 AS confidence_score "
-    f"FROM part JOIN {_ranked(_PART_Q, _PART_C, 1)} ON query_id = p_partkey"
+    f"FROM part JOIN {ranked(_PART_Q, PART_C, 1)} ON query_id = p_partkey"
 )
 
 
-def _whole_counts():
+def whole_counts():
     return HashedCounts(dim=32, unit=False)
 
 
@@ -408,8 +398,8 @@ def _e2e(spark, d):
         "p_type AS subcategory",
         "p_brand AS short_description",
     )
-    cands = leaf_candidates(_tree(spark, d), _whole_counts)
-    return classify_products(products, cands, "query_id", _whole_counts, fill_path=True)
+    cands = leaf_candidates(tree(spark, d), whole_counts)
+    return classify_products(products, cands, "query_id", whole_counts, fill_path=True)
 
 
 @query("classify_end_to_end", _E2E)

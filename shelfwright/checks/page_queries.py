@@ -12,7 +12,7 @@ from shelfwright.functions.text import clean_strict, clean_tags
 from shelfwright.operators import extract as X
 from shelfwright.operators import links as L
 from shelfwright.operators.page_facts import page_facts
-from shelfwright.plans.catalogue import extract_a, extract_b, products_from_pages
+from shelfwright.plans.catalogue import extract_a, products_from_pages
 from shelfwright.plans.site_profiles import A_TABLE_CLASSES, SITE_A, SITE_B
 
 def _url():
@@ -76,13 +76,13 @@ def page_is_product_b(spark, d):
 
 # ---- names and descriptions -------------------------------------------------------------
 
-_H1 = S.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")
+H1 = S.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")
 _PARAS = f"list_filter(regexp_extract_all(html, '<p>([^<]*)', 1), lambda x: x <> '')"
 
 
 @query(
     "extract_basic",
-    f"SELECT page_id, 'Flex' AS brand, {S.clean_strict(_H1)} AS product_name, {S.clean_tags(_H1)} AS name_b, "
+    f"SELECT page_id, 'Flex' AS brand, {S.clean_strict(H1)} AS product_name, {S.clean_tags(H1)} AS name_b, "
     "url AS source_url FROM pages",
 )
 def extract_basic(spark, d):
@@ -156,6 +156,13 @@ def extract_shortdesc_b(spark, d):
     return facts.select("page_id", X.short_description_b().alias("short_description"))
 
 
+_EIGHT = f"list_transform({_PARAS}[1:8], lambda x: {S.clean_strict(S.unescape('x'))})"
+_SKIP = "cookie|privacy|terms|contact|sitemap|copyright|local dealer|standard supply"
+SHORT_A = (
+    f"array_to_string(list_filter({_EIGHT}, lambda x: length(x) > 50 AND NOT regexp_matches(lower(x), '{_SKIP}'))[1:3], ' ')"
+)
+
+
 # ---- specifications ---------------------------------------------------------------------
 
 
@@ -555,15 +562,15 @@ def variant_name(spark, d):
 
 @query(
     "extract_site_a",
-    f"SELECT page_id, 'Flex' AS brand, {S.clean_strict(_H1)} AS product_name, '' AS technical_specs, "
+    f"SELECT page_id, 'Flex' AS brand, {S.clean_strict(H1)} AS product_name, '' AS technical_specs, "
     "'' AS long_description, '' AS subcategory, NULL::VARCHAR AS datasheet_url, NULL::VARCHAR AS product_image_url, "
-    "url AS source_url FROM pages",
+    f"{SHORT_A} AS short_description, url AS source_url FROM pages",
 )
 def extract_site_a(spark, d):
     """Every rule of site A over the page table."""
     return extract_a(table(spark, d, "pages")).select(
         "page_id", "brand", "product_name", "technical_specs", "long_description", "subcategory",
-        "datasheet_url", "product_image_url", "source_url",
+        "datasheet_url", "product_image_url", "short_description", "source_url",
     )
 
 
@@ -598,6 +605,3 @@ def extract_site_b(spark, d):
         "page_id", "brand", "product_name", "model_number", "subcategory", "technical_specs",
         "short_description", "long_description", "datasheet_url", "source_url",
     )
-
-
-__all__ = ["extract_b"]

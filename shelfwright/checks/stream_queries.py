@@ -5,9 +5,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from shelfwright.checks import sqltext as S
-from shelfwright.checks.class_queries import _LABELS, _tree
+from shelfwright.checks.class_queries import LABELS, PART_C, counts, ranked, tree, whole_counts
+from shelfwright.checks.page_queries import H1, SHORT_A
 from shelfwright.checks.registry import query, table
 from shelfwright.operators.taxonomy import flatten_taxonomy
+from shelfwright.plans.catalogue import leaf_candidates
 from shelfwright.session import shared_dir
 from shelfwright.streaming import items as ST
 
@@ -19,12 +21,9 @@ def _run(spark, stream):
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
-_H1 = S.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")
-
-
 @query(
     "stream_items",
-    f"SELECT page_id, 'Flex' AS brand, {S.clean_ws(S.clean_strict(_H1))} AS product_name, '' AS long_description, "
+    f"SELECT page_id, 'Flex' AS brand, {S.clean_ws(S.clean_strict(H1))} AS product_name, '' AS long_description, "
     "url AS source_url FROM pages",
 )
 def stream_items(spark, d):
@@ -32,6 +31,21 @@ def stream_items(spark, d):
     return _run(spark, items.select("page_id", "brand", "product_name", "long_description", "source_url"))
 
 
+_TEXTS = f"(SELECT page_id AS query_id, concat({S.clean_strict(H1)}, ' ', {SHORT_A}) AS t FROM pages)"
+
+
+@query(
+    "stream_classified",
+    "SELECT query_id AS page_id, id AS type_id, name AS category, numeric_path AS classification_path, 0.5 AS confidence_score "
+    f"FROM {ranked(counts(_TEXTS), PART_C, 1)}",
+)
+def stream_classified(spark, d):
+    """Every stage on the stream: de-duplicate, extract, clean, embed, search, decide."""
+    cands = leaf_candidates(tree(spark, d), whole_counts)
+    items = ST.item_stream(ST.page_stream(spark, d, "pages.parquet"), candidates=cands, encoder=whole_counts, fill_path=True)
+    return _run(spark, items.select("page_id", "type_id", "category", "classification_path", "confidence_score"))
+
+
 @query("stream_dedupe", "SELECT DISTINCT regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS url FROM pages")
 def stream_dedupe(spark, d):
     """Pages whose address is cut to the host, so most of them are copies."""
@@ -42,12 +56,12 @@ def stream_dedupe(spark, d):
 
 @query(
     "stream_taxonomy_join",
-    f"SELECT event_id, user_id + 1000 AS type_id, name AS category_name FROM events LEFT JOIN {_LABELS} ON id = user_id + 1000 AND id >= 1000",
+    f"SELECT event_id, user_id + 1000 AS type_id, name AS category_name FROM events LEFT JOIN {LABELS} ON id = user_id + 1000 AND id >= 1000",
 )
 def stream_taxonomy_join(spark, d):
     schema = table(spark, d, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
     items = events.select("event_id", (F.col("user_id") + 1000).alias("type_id"))
-    return _run(spark, ST.with_category_names(items, flatten_taxonomy(_tree(spark, d)))).select(
+    return _run(spark, ST.with_category_names(items, flatten_taxonomy(tree(spark, d)))).select(
         "event_id", "type_id", "category_name"
     )

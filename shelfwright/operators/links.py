@@ -12,7 +12,7 @@ from shelfwright.functions.text import strip
 from shelfwright.functions.urls import is_navigable, link_route, resolve_url, same_site
 from shelfwright.operators.page_facts import page_facts
 from shelfwright.plans.site_profiles import SiteProfile
-from shelfwright.session import SMALL_ROWS, settle, shared_dir
+from shelfwright.session import SMALL_ROWS, estimated_bytes, settle, shared_dir
 
 
 def extract_links(pages: DataFrame, css_class: str | None = None) -> DataFrame:
@@ -143,7 +143,8 @@ def crawl_closure(graph: DataFrame, seeds: DataFrame, max_depth: int | None = No
 def _bucketed(df: DataFrame, key: str) -> str:
     """Write ``df`` as a table bucketed and sorted by ``key`` in the shared folder."""
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(most, 1 + estimated_bytes(df) // (32 << 20))
     name = f"bucketed_{uuid.uuid4().hex}"
     writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
     writer.option("path", f"{shared_dir(spark).rstrip('/')}/{name}").saveAsTable(name)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwright.plans.catalogue import clean_products, extract_a, extract_b
+from shelfwright.functions.encoders import HashedCounts
+from shelfwright.operators.decisions import decide_by_vector
+from shelfwright.plans.catalogue import clean_products, extract_a, extract_b, find_candidates
 from shelfwright.plans.site_profiles import SITE_A, SiteProfile
 from shelfwright.schemas import PAGE_SCHEMA
 
@@ -38,10 +42,21 @@ def with_category_names(items: DataFrame, nodes: DataFrame, key: str = "type_id"
     return items.join(names, key, "left")
 
 
-def item_stream(pages: DataFrame, profile: SiteProfile = SITE_A) -> DataFrame:
-    """De-duplicate, extract, clean: the batch operators applied to a stream."""
+def item_stream(
+    pages: DataFrame,
+    profile: SiteProfile = SITE_A,
+    candidates: DataFrame | None = None,
+    encoder: Callable = HashedCounts,
+    fill_path: bool = False,
+) -> DataFrame:
+    """De-duplicate, extract, clean and, given ``candidates``, classify: the batch operators
+    on a stream, in that order. The candidates are read once, before the first page."""
     extract = extract_a if profile.brand == SITE_A.brand else extract_b
-    return clean_products(extract(once_per_url(pages), profile), stamp=False)
+    items = clean_products(extract(once_per_url(pages), profile), stamp=False)
+    if candidates is None:
+        return items
+    decided = decide_by_vector(find_candidates(items, candidates, "page_id", encoder), fill_path)
+    return decided.withColumn("category", F.col("classification_name"))
 
 
 def run_stream(items: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

@@ -188,3 +188,35 @@ def test_whole_job_selects_rows_and_orders_columns(spark, tree):
     again = classify_products(products, cands, "row_idx", decisions=answers).orderBy("row_idx").collect()
     assert (again[0]["type_id"], again[0]["confidence_score"], again[1]["confidence_score"]) == (101, 0.9, None)
     assert again[0]["classification_path"] == "1.10.101"
+
+
+def test_file_jobs(spark, tmp_path):
+    from shelfwright.plans import jobs as J
+    from shelfwright.sources.tables import read_products
+    from shelfwright.schemas import PROBE_SCHEMA
+
+    tree_file = tmp_path / "tree.csv"
+    rows = [",".join("NULL" if v is None else f'"{v}"' for v in r) for r in TREE[:7]]
+    tree_file.write_text("\n".join(["id,parent_id,name,path", *rows]) + "\n")
+    cands = J.load_candidates(spark, str(tree_file), str(tmp_path / "cache"))
+    assert cands.count() == 3 and (tmp_path / "cache" / "_SUCCESS").exists()
+
+    src = tmp_path / "items.csv"
+    names = ["Hammer drill", "Rollers", "Drill hammer", ""]
+    src.write_text("product_name,category,product_image_url\n" + "".join(f"{n},Old,http://i/{i}\n" for i, n in enumerate(names)))
+    out = J.reclassify_file(spark, str(src), cands, start=1, end=3, fill_path=True)
+    assert out == str(tmp_path / "items_classified.csv")
+    got = read_products(spark, out)
+    assert got.columns[:7] == CLASSIFIED_FIRST and got.columns[7:] == ["category", "product_image_url"]
+    assert [(r["product_name"], r["type_id"], r["category"]) for r in got.collect()] == [("Rollers", 102, "Old"), ("Drill hammer", 100, "Old")]
+
+    prompts = J.review_prompts(read_products(spark, str(src), row_idx=True), cands, k=2).orderBy("row_idx").collect()
+    assert len(prompts) == 4 and "Product Name: Hammer drill" in prompts[0]["prompt"]
+    assert prompts[0]["candidates_json"].count('"rank"') == 2
+
+    log = spark.createDataFrame([("http://i/0", "HEAD", 200, None), ("http://i/1", "HEAD", 500, None)], PROBE_SCHEMA)
+    assert tuple(J.audit_file(spark, str(src), log, str(tmp_path / "a.csv")).first()) == (1, 3, 25.0)
+    audited = read_products(spark, str(tmp_path / "a.csv")).collect()
+    assert [r["image_status"] for r in audited] == ["OK", "Status 500", "Not probed", "Not probed"]
+    with pytest.raises(ValueError):
+        J.audit_file(spark, str(tree_file), log)

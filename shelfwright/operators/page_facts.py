@@ -29,6 +29,9 @@ FACTS = {
     "body_text": "string",
 }
 
+# Facts are handed over once this much HTML has been read, so large pages do not add up.
+_FLUSH_CHARS = 32 << 20
+
 
 def page_facts(pages: DataFrame, facts, watch: Watch | None = None, keep=None) -> DataFrame:
     """Columns ``keep`` (default: all but html) plus one column per requested fact.
@@ -45,15 +48,24 @@ def page_facts(pages: DataFrame, facts, watch: Watch | None = None, keep=None) -
     )
     arrow_types = [to_arrow_type(schema[f].dataType) for f in facts]
 
+    def pack(batch, start, out):
+        kept = batch.slice(start, len(out[0]))
+        cols = [kept.column(c) for c in keep] + [pa.array(v, t) for v, t in zip(out, arrow_types)]
+        return pa.RecordBatch.from_arrays(cols, names=keep + facts)
+
     def read(batches):
         for batch in batches:
-            out = [[] for _ in facts]
-            for html in batch.column("html"):
-                page = PageFacts(html.as_py(), watch)
+            start, size, out = 0, 0, [[] for _ in facts]
+            for at, html in enumerate(batch.column("html"), 1):
+                text = html.as_py()
+                page = PageFacts(text, watch)
                 for col, name in zip(out, facts):
                     col.append(getattr(page, name)())
-            cols = [batch.column(c) for c in keep]
-            cols += [pa.array(v, t) for v, t in zip(out, arrow_types)]
-            yield pa.RecordBatch.from_arrays(cols, names=keep + facts)
+                size += len(text or "")
+                if size > _FLUSH_CHARS:
+                    yield pack(batch, start, out)
+                    start, size, out = at, 0, [[] for _ in facts]
+            if out[0]:
+                yield pack(batch, start, out)
 
     return use_all_cores(pages.select(*keep, "html")).mapInArrow(read, schema)

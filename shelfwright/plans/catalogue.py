@@ -20,7 +20,7 @@ from shelfwright.operators.decisions import (
 )
 from shelfwright.operators.knn import TOP_K, embed, nearest
 from shelfwright.operators.page_facts import page_facts
-from shelfwright.operators.rows import columns_first, fill_blank, first_per_url, slice_rows, to_product_schema
+from shelfwright.operators.rows import columns_first, first_per_url, slice_rows, to_product_schema
 from shelfwright.operators.taxonomy import as_candidates, flatten_taxonomy
 from shelfwright.plans.site_profiles import SITE_A, SITE_B, SiteProfile
 from shelfwright.schemas import CLASSIFIED_FIRST, RECORD_SCHEMA
@@ -121,7 +121,7 @@ def find_candidates(
     products: DataFrame, candidates: DataFrame, key: str, encoder: Callable = HashedCounts, k: int = TOP_K, **opts
 ) -> DataFrame:
     """Products with their ranked candidates list."""
-    vectors = embed(query_text(fill_blank(products)), "query_text", encoder).drop("query_text")
+    vectors = embed(query_text(products), "query_text", encoder).drop("query_text")
     return nearest(vectors, candidates, k, key, **opts).drop("embedding")
 
 

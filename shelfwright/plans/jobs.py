@@ -11,7 +11,7 @@ from shelfwright.functions.encoders import HashedCounts
 from shelfwright.operators.audit import audit_summary, with_verdict
 from shelfwright.operators.decisions import build_prompts, describe_product
 from shelfwright.operators.knn import TOP_K
-from shelfwright.operators.rows import fill_blank, require_columns
+from shelfwright.operators.rows import require_columns
 from shelfwright.plans.catalogue import classify_products, find_candidates, leaf_candidates
 from shelfwright.sources.sinks import classified_path, materialize, write_csv
 from shelfwright.sources.tables import read_products, read_taxonomy
@@ -68,7 +68,7 @@ def review_prompts(
     """What to send to the reviewer: key, candidates as JSON, prompt. Answers come back as a
     table of key, response_text and error."""
     found = find_candidates(products, candidates, key, encoder, k)
-    return build_prompts(describe_product(fill_blank(found)), key)
+    return build_prompts(describe_product(found), key)
 
 
 def audit_file(spark: SparkSession, products_path: str, probes: DataFrame, output_path: str | None = None) -> DataFrame:

@@ -10,6 +10,12 @@ from pyspark.sql import types as T
 from shelfwright.schemas import PAGE_SCHEMA, TAXONOMY_SCHEMA
 from shelfwright.session import is_small
 
+# Cells of a product file that stand for nothing.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """Taxonomy file: header, quoted commas, the literal NULL as null."""
@@ -27,7 +33,7 @@ def read_products(
 ) -> DataFrame:
     """Product file, columns in any order; all text but ``type_id`` and ``confidence_score``.
 
-    Doubled quotes inside JSON cells are read back. Files stay splittable unless
+    Cells that stand for nothing are NULL. Doubled quotes inside JSON cells are read back. Files stay splittable unless
     ``multi_line`` is asked for. ``row_idx`` adds the 0-based row position.
     """
     reader = (
@@ -42,6 +48,8 @@ def read_products(
     df = reader.schema(schema).csv(path)
     if row_idx:
         df = _with_row_idx(df)
+    text = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    df = df.withColumns({c: F.when(~F.col(c).isin(*MISSING), F.col(c)) for c in text})
     return df.select(*columns, *(["row_idx"] if row_idx else [])) if columns else df
 
 

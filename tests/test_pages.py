@@ -98,6 +98,15 @@ def pages(spark):
     return spark.createDataFrame(rows, PAGE)
 
 
+def test_facts_are_handed_over_in_pieces(spark, monkeypatch):
+    from shelfwright.operators import page_facts as P
+
+    monkeypatch.setattr(P, "_FLUSH_CHARS", 40)
+    pages = spark.range(50).selectExpr("id AS page_id", "concat('u', id) AS url", "concat('<title>', id, '</title>', repeat('x', CAST(id AS INT))) AS html")
+    got = P.page_facts(pages, ["title"]).orderBy("page_id").collect()
+    assert [(r["url"], r["title"]) for r in got] == [(f"u{i}", str(i)) for i in range(50)]
+
+
 def test_site_a_page_with_variants(pages):
     rows = [r.asDict() for r in products_from_pages(pages, SITE_A).orderBy("model_number").collect()]
     assert [(r["page_id"], r["model_number"], r["product_name"]) for r in rows] == [

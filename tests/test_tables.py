@@ -42,6 +42,13 @@ def test_product_file_there_and_back(spark, tmp_path):
     assert S.read_products(spark, full).first()["scraped_timestamp"] == "2025-01-02T03:04:05.000678"
 
 
+def test_cells_that_stand_for_nothing(spark, tmp_path):
+    f = tmp_path / "p.csv"
+    f.write_text('product_name,category,type_id\nNA,n/a,5\n"Drill, big",None,\nNAN,"",7\n')
+    rows = [tuple(r) for r in S.read_products(spark, str(f)).collect()]
+    assert rows == [(None, None, 5), ("Drill, big", None, None), ("NAN", None, 7)]
+
+
 def test_no_file_for_no_rows(spark, tmp_path):
     empty = spark.createDataFrame([], RECORD_SCHEMA)
     assert K.write_products(empty, str(tmp_path / "none.csv")) is False

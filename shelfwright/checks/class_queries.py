@@ -66,15 +66,15 @@ def tax_leaves(spark, d):
 
 @query("tax_path_names", f"SELECT id, rich_text FROM {LABELS}")
 def tax_path_names(spark, d):
-    tree = tree(spark, d)
-    return T.resolve_paths(tree, tree).select("id", "rich_text")
+    nodes = tree(spark, d)
+    return T.resolve_paths(nodes, nodes).select("id", "rich_text")
 
 
 @query("tax_path_names_salted", f"SELECT id, rich_text FROM {LABELS}")
 def tax_path_names_salted(spark, d):
     """The way a name table too large to broadcast goes."""
-    tree = tree(spark, d)
-    return T.resolve_paths(tree, tree, max_rows=0).select("id", "rich_text")
+    nodes = tree(spark, d)
+    return T.resolve_paths(nodes, nodes, max_rows=0).select("id", "rich_text")
 
 
 @query("tax_flatten", f"SELECT id, parent_id, name, path, rich_text, true AS is_leaf FROM {LABELS} WHERE {_IS_LEAF}")

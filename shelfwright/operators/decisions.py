@@ -123,13 +123,22 @@ def failure_kind(message: Column) -> Column:
     return F.when(message.isNull(), None).when(quota, "quota").otherwise("other")
 
 
+def one_answer(decisions: DataFrame, key: str = "query_id") -> DataFrame:
+    """One answer per product where a call was repeated: a text goes before an error, and
+    among texts the greatest, so the pick does not depend on the order of arrival. Repeats
+    collapse map-side, and the join that follows needs the same partitioning."""
+    order = F.struct(F.col("response_text").isNotNull(), "response_text", "error")
+    best = F.max_by(F.struct("response_text", "error"), order).alias("_best")
+    return decisions.groupBy(key).agg(best).select(key, "_best.response_text", "_best.error")
+
+
 def reconcile(found: DataFrame, decisions: DataFrame, key: str = "query_id") -> DataFrame:
     """The class of every product: the reviewer's pick if it is a candidate, else rank 1.
 
-    ``found`` has one row per product with its ``candidates``; ``decisions`` at most one
-    answer per product. Both sides are unique on ``key``, so the join has no hot key.
+    ``found`` has one row per product with its ``candidates``. Both sides are unique on
+    ``key``, so the join has no hot key.
     """
-    answers = parse_decision(decisions).select(
+    answers = parse_decision(one_answer(decisions, key)).select(
         key, "parsed", "selected_id", "given_path", "reasoning", "confidence", "error"
     )
     df = found.join(answers, key, "left")

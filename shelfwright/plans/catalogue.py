@@ -33,7 +33,8 @@ _FACTS_B = ["title", "metas", "heads", "paras", "links", "crumbs", "tables", "se
 
 
 def extract_a(pages: DataFrame, profile: SiteProfile = SITE_A, variants: bool = True) -> DataFrame:
-    """Product rows of site A pages: page_id, the product fields, ``specs`` as a map.
+    """Product rows of site A pages: page_id, item_id (unique, also among the variants of one
+    page), the product fields, ``specs`` as a map.
 
     Works the same on a stream. Page tests run before the field expressions.
     """
@@ -55,13 +56,17 @@ def extract_a(pages: DataFrame, profile: SiteProfile = SITE_A, variants: bool =
         url.alias("source_url"),
         "variants",
     )
-    df = X.explode_variants(df) if variants else df.drop("variants").withColumn("is_variant", F.lit(False))
+    if variants:
+        df = X.explode_variants(df)
+    else:
+        df = df.drop("variants").withColumns({"is_variant": F.lit(False), "variant_pos": F.lit(0)})
+    df = df.withColumn("item_id", F.concat_ws("-", "page_id", "variant_pos"))
     json = F.when(F.col("is_variant"), F.to_json("specs")).otherwise(X.specs_to_json(F.col("specs")))
     return df.withColumn("technical_specs", json)
 
 
 def extract_b(pages: DataFrame, profile: SiteProfile = SITE_B) -> DataFrame:
-    """Product rows of site B pages: page_id, the product fields, ``specs`` as a map."""
+    """Product rows of site B pages: page_id, item_id, the product fields, ``specs`` as a map."""
     url = F.col("url")
     facts = page_facts(pages, _FACTS_B, profile.watch(), keep=["page_id", "url"])
     facts = facts.where(X.is_product_page_b())
@@ -72,6 +77,7 @@ def extract_b(pages: DataFrame, profile: SiteProfile = SITE_B) -> DataFrame:
     )
     return df.select(
         "page_id",
+        F.col("page_id").cast("string").alias("item_id"),
         F.lit(profile.brand).alias("brand"),
         "product_name",
         X.model_number_b(F.col("product_name"), url, F.col("body_text")).alias("model_number"),
@@ -167,12 +173,11 @@ def catalogue(
     decisions: DataFrame | None = None,
     encoder: Callable = HashedCounts,
     classify: bool = True,
-    key: str = "page_id",
+    key: str = "item_id",
 ) -> DataFrame:
     """Pages to finished product records. ``classify=False`` leaves classification out.
 
-    Rows of variants share a page, so answers are keyed by a row key of their own when
-    variants are in play; by default the page is the key.
+    ``decisions`` are keyed by ``item_id``: variants share a page, so the page is no key.
     """
     items = clean_products(products_from_pages(pages, profile))
     if classify and candidates is not None:

@@ -55,7 +55,7 @@ def item_stream(
     items = clean_products(extract(once_per_url(pages), profile), stamp=False)
     if candidates is None:
         return items
-    decided = decide_by_vector(find_candidates(items, candidates, "page_id", encoder), fill_path)
+    decided = decide_by_vector(find_candidates(items, candidates, "item_id", encoder), fill_path)
     return decided.withColumn("category", F.col("classification_name"))
 
 

@@ -139,6 +139,13 @@ def test_reconcile(spark, response, error, type_id, confidence, status):
     assert r["classification_reasoning"] == ""
 
 
+def test_repeated_answers_do_not_repeat_products(spark):
+    found = spark.createDataFrame([(1, CANDS)], FOUND)
+    rows = [(1, None, "timeout"), (1, '{"selected_type_id": 8}', None), (1, None, "Error 429"), (1, '{"selected_type_id": 8}', None)]
+    (r,) = D.reconcile(found, spark.createDataFrame(rows, DECISION_SCHEMA)).collect()
+    assert (r["type_id"], r["status"]) == (8, "chosen")
+
+
 def test_reconcile_paths_and_missing_candidates(spark):
     bare = [(1, 7, "Seven", None, None, 0.1)]
     assert reconciled(spark, '{"selected_type_id": 7, "classification_path": "3.7"}', cands=bare)["classification_path"] == "3.7"

@@ -136,6 +136,22 @@ def test_classification_can_be_left_out(pages):
     assert {r["type_id"] for r in out.collect()} == {None}
 
 
+def test_variants_of_one_page_are_classified_one_by_one(spark, pages):
+    from shelfwright.operators.knn import embed
+    from shelfwright.plans import catalogue as C
+
+    leaves = spark.createDataFrame([(1, "Nine", "9 x"), (2, "Eight", "8 x")], "id bigint, name string, path string")
+    cands = embed(leaves.withColumn("numeric_path", F.col("id").cast("string")), "path")
+    items = C.clean_products(products_from_pages(pages, SITE_A))
+    for limit in (1 << 28, 600):
+        found = C.find_candidates(items, cands, "item_id", k=1, max_bytes=limit)
+        got = {r["item_id"]: (r["model_number"], r["candidates"][0]["name"]) for r in found.collect()}
+        assert got == {"1-0": ("123", "Eight"), "1-1": ("456", "Nine")}
+    answers = spark.createDataFrame([("1-1", '{"selected_type_id": 2}', None)], "item_id string, response_text string, error string")
+    rows = catalogue(pages, SITE_A, cands, answers).orderBy("model_number").collect()
+    assert [(r["model_number"], r["category"], r["classification_path"]) for r in rows] == [("123", "Eight", "2"), ("456", "Eight", "2")]
+
+
 def test_unknown_pages_give_no_rows(spark):
     pages = spark.createDataFrame([(1, "https://gcc.sika.com/en/x.html", "<h1>News</h1>"), (2, B_URL, None)], PAGE)
     assert extract_b(pages).count() == 0

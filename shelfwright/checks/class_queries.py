@@ -132,7 +132,7 @@ def knn_topk(spark, d):
 def knn_topk_blocks(spark, d):
     """The way a candidate set too large to broadcast goes."""
     q = _vectors(spark, d)
-    out = knn(q, q.withColumnRenamed("query_id", "id"), max_bytes=1 << 19)
+    out = knn(q, q.withColumnRenamed("query_id", "id"), max_bytes=1 << 18)
     return out.select("query_id", "id", "rank", F.round("distance", 4).alias("distance"))
 
 

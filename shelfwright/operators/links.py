@@ -165,13 +165,12 @@ def _not_in(found: DataFrame, seen: DataFrame, seen_rows: int) -> DataFrame:
 def crawl_stats(records: DataFrame, visited: DataFrame) -> DataFrame:
     """Run totals: items extracted, pages visited, unique products."""
     items = records.agg(
-        F.count("*").alias("items_extracted"), F.count_distinct("source_url").alias("unique_products")
-    )
-    pages = visited.agg(F.count_distinct("url").alias("pages_visited"))
-    # two one-row aggregates side by side
-    one = F.lit(1).alias("_one")
-    return (
-        items.select("*", one)
-        .join(pages.select("*", one), "_one")
-        .select("items_extracted", "pages_visited", "unique_products")
+        F.count("*").alias("items_extracted"),
+        F.lit(0).cast("bigint").alias("pages_visited"),
+        F.count_distinct("source_url").alias("unique_products"),
     )
+    zero = F.lit(0).cast("bigint")
+    pages = visited.agg(F.count_distinct("url").alias("n")).select(zero, "n", zero)
+    # two rows, each with its own counts and zeros for the other's
+    both = items.union(pages)
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])

@@ -22,10 +22,9 @@ def _part(c: Column, i: int) -> Column:
 
 
 def _remove_dots(path: Column) -> Column:
-    """Resolve ``.`` and ``..`` segments of a path that starts with a slash."""
-    segs = F.slice(F.split(path, "/", -1), 2, 1 << 30)
+    """Resolve ``.`` and ``..`` segments of a rooted path; nothing climbs above the root."""
     kept = F.aggregate(
-        segs,
+        F.split(path, "/", -1),
         F.array().cast("array<string>"),
         lambda acc, s: F.when(s == ".", acc)
         .when(
@@ -35,7 +34,7 @@ def _remove_dots(path: Column) -> Column:
         .otherwise(F.concat(acc, F.array(s))),
     )
     tail = F.when(path.rlike(r"/\.\.?$"), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
-    return F.concat(F.lit("/"), F.array_join(tail, "/"))
+    return F.regexp_replace(F.array_join(tail, "/"), "^(?!/)", "/")
 
 
 def resolve_url(base: Column, href: Column) -> Column:
@@ -67,9 +66,9 @@ def _resolve_any(base: Column, site: Column, href: Column) -> Column:
     rooted = F.when(path.startswith("/"), path).otherwise(joined)
     walked = F.when(rooted.rlike(r"/\.\.?(/|$)"), _remove_dots(rooted)).otherwise(rooted)
     return (
-        F.when(h == "", base)
+        F.when(href == "", base)
         .when(foreign | ~b_scheme.isin(*_JOINABLE), h)
-        .when(auth != "", F.concat(b_scheme, F.lit(":"), auth, path, query, frag))
+        .when(F.length(auth) > 2, F.concat(b_scheme, F.lit(":"), auth, path, query, frag))
         .when(path == "", F.concat(site, b_path, F.when(query == "", b_query).otherwise(query), frag))
         .otherwise(F.concat(site, walked, query, frag))
     )

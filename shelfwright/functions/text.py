@@ -39,9 +39,13 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _made_of(c: Column, chars) -> Column:
+    return c.rlike(f"^[{''.join(re.escape(x) for x in chars)}]*+\\z")
+
+
 def _only(c: Column, chars) -> Column:
     """The text has none but these characters and no two spaces in a row."""
-    return c.rlike(f"^[{''.join(re.escape(x) for x in chars)}]*+\\z") & ~c.contains("  ")
+    return _made_of(c, chars) & ~c.contains("  ")
 
 
 def _untagged(c: Column, by: str = "") -> Column:
@@ -89,8 +93,12 @@ def clean_strict(c: Column) -> Column:
     """
     kept = [x for x in _TIDY if x.isalnum() or x in "_ " or x in KEPT_MARKS]
     text = F.regexp_replace(_untagged(blank(c)), f"[^{WORD_IN}{SPACE_IN}{KEPT_MARKS}]", "")
-    full = F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
-    return F.when(_only(c, kept), F.trim(c)).otherwise(full)
+
+    def squeezed(t):
+        return F.trim(F.regexp_replace(t, f"{SPACE}+", " "))
+
+    lines = _made_of(c, [*kept, "\t", "\n", "\r"])
+    return F.when(_only(c, kept), F.trim(c)).when(lines, squeezed(c)).otherwise(squeezed(text))
 
 
 def strip_markup(c: Column) -> Column:

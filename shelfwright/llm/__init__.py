@@ -15,12 +15,4 @@ def all_queries():
 MODULES = [
     "line_dedup",
     "embedding_join",
-    "maxscore",
-    "main_text",
-    "log_bilinear",
-    "mixing",
-    "packing",
-    "sharding",
-    "minhash_join",
-    "toxic_segments",
 ]

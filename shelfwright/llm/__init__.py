@@ -15,4 +15,5 @@ def all_queries():
 MODULES = [
     "line_dedup",
     "embedding_join",
+    "maxscore",
 ]

@@ -119,11 +119,19 @@ def drop_lines(
 
 
 def dedup_lines(
-    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = BATCHES, text: str = "text"
+    docs: DataFrame,
+    min_docs: int = 10,
+    min_chars: int = 1,
+    arrivals: list[DataFrame] | None = None,
+    text: str = "text",
 ) -> DataFrame:
-    """All of ``docs`` as ``batches`` arrivals of whole files, then every frequent line dropped everywhere."""
+    """Take in ``docs`` arrival by arrival, then drop every frequent line everywhere.
+
+    ``arrivals`` are the same rows as ``docs``; if they are not given, a plain scan arrives in
+    ``BATCHES`` groups of whole files, so that each file is read once for the runs.
+    """
     runs = LineRuns(min_docs, min_chars)
-    for batch in file_batches(docs, batches):
+    for batch in arrivals or file_batches(docs, BATCHES):
         runs.add(batch, text)
     return drop_lines(docs, runs.frequent(), min_chars, text)
 
@@ -147,6 +155,6 @@ FROM k LEFT JOIN f USING (key) GROUP BY doc_id
 """,
 )
 def op1_line_dedup(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    out = dedup_lines(docs)
+    docs = table(spark, folder, "documents")
+    out = dedup_lines(docs.select("doc_id", "text"), arrivals=file_batches(docs, BATCHES))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))

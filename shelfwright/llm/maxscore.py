@@ -160,7 +160,7 @@ def top_k(rows: DataFrame, is_query, k: int = 20, id: str = "id", terms: str = "
     share = F.pmod(F.xxhash64("block"), F.lit(SHARE)).alias("share")
     seat = F.row_number().over(Window.partitionBy("d").orderBy("block")).alias("seat")
     numbered = queries.join(queries.select("block", "d", seat), ["block", "d"])
-    copies = numbered.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARE - 1))).cast("bigint"))
+    copies = numbered.withColumn("share", F.explode(F.expr(f"sequence(0L, {SHARE - 1}L)")))
     seats = queries.groupBy("d").agg(F.count("*").alias("seats"))
     meets = shards.join(F.broadcast(seats), "d").select(
         "d", share, F.explode(F.sequence(F.lit(1), F.col("seats").cast("int"))).alias("seat"),

@@ -16,4 +16,5 @@ MODULES = [
     "line_dedup",
     "embedding_join",
     "maxscore",
+    "main_text",
 ]

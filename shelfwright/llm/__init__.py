@@ -17,4 +17,7 @@ MODULES = [
     "embedding_join",
     "maxscore",
     "main_text",
+    "mixing",
+    "packing",
+    "sharding",
 ]

@@ -20,4 +20,5 @@ MODULES = [
     "mixing",
     "packing",
     "sharding",
+    "toxic_segments",
 ]

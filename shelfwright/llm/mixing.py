@@ -18,6 +18,7 @@ from shelfwright.session import settle
 
 #: Buckets of equal key probability in each source.
 BUCKETS = 1 << 16
+SYMBOLS = "#$%&*+/<=>@[]^_`{|}~"
 
 
 def word_count(text: Column) -> Column:
@@ -25,6 +26,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def readable(text: Column) -> Column:
+    """Quality of a text between 0 and 1: full marks without symbols, none where they are a fifth of it; 0.5 if empty."""
+    symbols = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
+    return F.when(F.length(text) > 0, F.greatest(F.lit(0.0), 1 - 5.0 * symbols / F.length(text))).otherwise(0.5)
+
+
 def uniform(id: Column) -> Column:
     """In (0, 1), from 52 bits of the md5 of the id as text: the same in every run."""
     digits = F.substring(F.md5(F.coalesce(id.cast("string"), F.lit("")).cast("binary")), 1, 13)
@@ -56,7 +63,7 @@ def _targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: f
 
 def mix(
     docs: DataFrame,
-    quality: DataFrame | None = None,
+    quality: Column | None = None,
     weights: tuple[float, ...] = (5, 2, 1),
     share: float = 1.5,
     most: float = 2.0,
@@ -66,9 +73,8 @@ def mix(
 ) -> DataFrame:
     """``docs`` with size, source_size, target, copies and taken = copies * size.
 
-    Sources by code point, null last as a source of its own, weigh ``weights`` in turn. ``quality``
-    has (id, quality between 0 and 1), any number of rows per id: the key's weight is 1 plus the
-    mean, 1.5 where there is none. ``copies`` is how often the mix takes the document: the complete
+    Sources by code point, null last as a source of its own, weigh ``weights`` in turn. A key's
+    weight is 1 plus ``quality``, between 0 and 1; by default it is taken from the text. ``copies`` is how often the mix takes the document: the complete
     epochs, plus one if its key is not above the source's cut. The document on which the budget
     ends is taken if that comes nearer to the target. Rows without words are never drawn; rows
     equal in id and text share their fate, and null ids share one draw. No row is dropped.
@@ -80,11 +86,7 @@ def mix(
     field = {c: F.col(f"__row.`{c}`") for c in (id, text, source)}
     src = F.concat(F.when(field[source].isNull(), "1").otherwise("0"), F.coalesce(field[source], F.lit("")))
     row = row.withColumns({"src": src, "size": word_count(field[text]), "u": uniform(field[id]), "id": field[id]})
-    if quality is None:
-        row = row.withColumn("grade", F.lit(0.5))
-    else:
-        mean = quality.groupBy("id").agg(F.avg("quality").alias("grade"))
-        row = row.join(mean, "id", "left").withColumn("grade", F.coalesce("grade", F.lit(0.5)))
+    row = row.withColumn("grade", readable(field[text]) if quality is None else F.coalesce(quality, F.lit(0.5)))
     key = -F.log("u") / (F.col("grade") + 1)
     row = row.withColumn("key", key).withColumn("tie", F.xxhash64("id", field[text]))
     row = row.withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * BUCKETS))
@@ -129,15 +131,11 @@ def mix(
     return out.select(*unpacked(docs.columns, new))
 
 
-def quality_labels(labels: DataFrame) -> DataFrame:
-    return labels.select(F.col("doc_id").alias("id"), "quality")
-
-
 SQL_MIX = """
-z AS (SELECT doc_id, source, len(regexp_extract_all(coalesce("text", ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT size FROM {docs}),
-g AS (SELECT doc_id, avg(quality) q FROM labels GROUP BY doc_id),
+z AS (SELECT doc_id, source, CASE WHEN length("text") > 0 THEN greatest(0.0::DOUBLE,
+             1 - 5.0::DOUBLE * (length("text") - length(translate("text", '#$%&*+/<=>@[]^_`{{|}}~', ''))) / length("text")) ELSE 0.5::DOUBLE END q, len(regexp_extract_all(coalesce("text", ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT size FROM {docs}),
 k AS (SELECT z.*, -ln((('0x' || substr(md5(coalesce(z.doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
-             / (coalesce(q, 0.5::DOUBLE) + 1) "key" FROM z LEFT JOIN g ON g.doc_id = z.doc_id),
+             / (q + 1) "key" FROM z),
 s AS (SELECT source, sum(size)::BIGINT source_size, list_extract([5, 2, 1], ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT) w
       FROM z GROUP BY source),
 lv AS (SELECT 2 * a.source_size / a.w::DOUBLE r,
@@ -161,5 +159,4 @@ mixed AS (SELECT doc_id, size, source_size, target,
 )
 def op6_mixing(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    mixed = mix(docs, quality_labels(table(spark, folder, "labels")))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")

@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +28,43 @@ WINDOW = 1024
 #: Ranks among the pieces of one length are counted in so many groups at least, of about that many pieces.
 GROUPS, GROUP = 16, 1 << 16
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
+# Fixed value: how byte-level vocabularies of this kind split text
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A space next to other white space, or marks that may be a special token: encode such a text as a whole.
-_WHOLE = re.compile(r"\s |\ \s|^\s|\s$|<\|")
+WHOLE = re.compile(r"\s | \s|^\s|\s$|<\|")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: itself if it prints, else the next free above 255."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+class _Words(dict):
+    """Ids of a word with the space before it, encoded when it is first asked for."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        import tiktoken
+
+        byte_of = _byte_of()
+        ranks = {bytes(map(byte_of.__getitem__, w)): i for w, i in vocabulary.items()}
+        self.encode = tiktoken.Encoding("words", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = array("I", self.encode(" " + word)).tobytes()
+        return ids
+
+
 class Encoder:
-    """Token ids as little-endian 32-bit bytes; words after single spaces are encoded once and remembered.
+    """Token ids of a byte-level vocabulary as little-endian 32-bit bytes.
 
-    The vocabulary's own splitting never joins what stands before a single space with what stands
-    after it, so the ids of a text are those of its words, each with its space.
+    Its splitting never joins what stands before a single space with what stands after it, so the
+    ids of a text are those of its words, each with its space. Words are encoded once and
+    remembered, by the merges of the same vocabulary; all else goes to the tokenizer as it is.
     """
 
     def __init__(self, path: str):
@@ -46,29 +72,19 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.words = _Words({w: i for w, i in vocabulary.items() if w not in special})
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _WHOLE.search(text):
-            return self._ids([text])[0]
-        first, *words = text.split(" ")
-        known = self.known
-        try:
-            rest = b"".join(map(known.__getitem__, words))
-        except KeyError:
-            new = [w for w in set(words) if w not in known]
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, self._ids([" " + w for w in new])))
-            rest = b"".join(map(known.__getitem__, words))
-        return self._ids([first])[0] + rest
+        if WHOLE.search(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        first, *rest = text.split(" ")
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        return array("I", self.words.encode(first)).tobytes() + b"".join(map(self.words.__getitem__, rest))
 
 
 def _pieces(path: str, window: int):

@@ -20,5 +20,6 @@ MODULES = [
     "mixing",
     "packing",
     "sharding",
+    "minhash_join",
     "toxic_segments",
 ]

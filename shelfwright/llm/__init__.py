@@ -17,6 +17,7 @@ MODULES = [
     "embedding_join",
     "maxscore",
     "main_text",
+    "log_bilinear",
     "mixing",
     "packing",
     "sharding",

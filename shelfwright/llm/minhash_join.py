@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwright.llm.common import components, counted_broadcast, hash_pair, query, table
+from shelfwright.llm.common import components, counted_broadcast, hash_pair, packed, query, table, unpacked
 from shelfwright.session import settle, ship_package
 
 SHINGLE, SIMILARITY = 5, 75
 COORDINATES, MATCHES = 32, 10
 PREFIX = COORDINATES - MATCHES + 1
-#: Rounds in which list members are joined with one pivot of their list before what is left meets in pairs.
-PIVOT_ROUNDS = 2
+#: Classes in a block of a herd; columns of shared shingles counted at once.
+BLOCK, COLUMNS = 256, 8192
 
 _U = np.uint64
 _WORD_SEED, _MIX1, _MIX2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -96,15 +96,54 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of the candidate pairs (u, v), settled, those whose full sets of shingles are similar enough.
-
-    Only the texts that some candidate needs are read into sets again.
-    """
-    needed = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = settle(classes.select("node", "r1", "r2").join(needed, "node"))
+def _linked(batches):
+    """Pairs of blocks: a forest (u, v) that spans the links between them, found on full sets."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            a, b = np.array(r["nodes_a"]), np.array(r["nodes_b"])
+            sets_a, sets_b = ([np.array(x, np.int64) for x in r[c]] for c in ("sets_a", "sets_b"))
+            na, nb = np.array([len(x) for x in sets_a]), np.array([len(x) for x in sets_b])
+            all_a, all_b = np.concatenate(sets_a), np.concatenate(sets_b)
+            shared = np.intersect1d(all_a, all_b)
+            both = np.zeros((len(a), len(b)), np.float32)
+            rows_a, rows_b = np.repeat(np.arange(len(a)), na), np.repeat(np.arange(len(b)), nb)
+            for at in range(0, len(shared), COLUMNS):
+                part = shared[at : at + COLUMNS]
+                has = []
+                for values, rows, n in ((all_a, rows_a, len(a)), (all_b, rows_b, len(b))):
+                    where = np.searchsorted(part, values)
+                    ok = np.flatnonzero(part[np.minimum(where, len(part) - 1)] == values)
+                    m = np.zeros((n, len(part)), np.float32)
+                    m[rows[ok], where[ok]] = 1
+                    has.append(m)
+                both += has[0] @ has[1].T
+            hit = both * 100 >= SIMILARITY * (na[:, None] + nb[None, :] - both)
+            top = np.iinfo(np.int64).max
+            la, lb = a.copy(), b.copy()
+            while True:  # the smallest node reached within these blocks, by passing minima to and fro
+                ma = np.minimum(la, np.where(hit, lb[None, :], top).min(1))
+                mb = np.minimum(lb, np.where(hit, ma[:, None], top).min(0))
+                if (ma == la).all() and (mb == lb).all():
+                    break
+                la, lb = ma, mb
+            nodes, least = np.concatenate([a, b]), np.concatenate([la, lb])
+            out = nodes != least
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[out]), pa.array(least[out])], ["u", "v"])
+
+
+def sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, shingles) of the given classes, from the text of one document of each."""
+    wanted = settle(classes.select("node", "r1", "r2").join(nodes, "node"))
     texts = docs.join(counted_broadcast(wanted), ["r1", "r2"]).select("node", "text")
-    sets = settle(texts.mapInArrow(_sets, "node bigint, shingles array<bigint>").dropDuplicates(["node"]))
+    return settle(texts.mapInArrow(_sets, "node bigint, shingles array<bigint>").dropDuplicates(["node"]))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of the candidate pairs (u, v) those whose full sets of shingles are similar enough."""
     for s in "uv":
         pairs = pairs.join(sets.select(F.col("node").alias(s), F.col("shingles").alias(f"s{s}")), s)
     both = F.size(F.array_intersect("su", "sv"))
@@ -112,6 +151,35 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     return settle(pairs.where(both * 100 >= either * SIMILARITY).select("u", "v"))
 
 
+def herd_links(herds: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links inside each herd (node, root as herd) beyond those that made ``roots``, as forests.
+
+    A herd's largest component is never compared with itself; everything else meets in blocks.
+    """
+    found = herds.select("node", F.col("root").alias("herd")).join(roots, "node", "left")
+    found = settle(found.withColumn("root", F.coalesce("root", "node")))
+    parts = found.groupBy("herd", "root").count()
+    main = parts.groupBy("herd").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("parts"))
+    found = found.join(main.where("parts > 1"), "herd").withColumn("rest", (F.col("root") != F.col("main")).cast("int"))
+    found = settle(found.select("herd", "rest", "node"))
+    many = found.groupBy("herd", "rest").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = found.join(many, ["herd", "rest"])
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")) * 2 + F.col("rest"))
+    blocks = dealt.join(sets, "node").groupBy("herd", "rest", "block").agg(
+        F.collect_list(F.struct("node", "shingles")).alias("members")
+    )
+    blocks = settle(blocks)
+    ends = blocks.select("herd", "rest", "block")
+    a, b = ends.alias("a"), ends.alias("b")
+    meet = (F.col("a.herd") == F.col("b.herd")) & (F.col("a.block") <= F.col("b.block"))
+    meet &= (F.col("a.rest") == 1) | (F.col("b.rest") == 1)
+    pairs = a.join(b, meet).select(F.col("a.herd").alias("herd"), F.col("a.block").alias("a"), F.col("b.block").alias("b"))
+    for s in "ab":
+        load = [F.col("members.node").alias(f"nodes_{s}"), F.col("members.shingles").alias(f"sets_{s}")]
+        pairs = pairs.join(blocks.select("herd", F.col("block").alias(s), *load), ["herd", s])
+    return settle(pairs.select("nodes_a", "sets_a", "nodes_b", "sets_b").mapInArrow(_linked, "u bigint, v bigint"))
+
+
 def _similar_size(a: str, b: str) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * SIMILARITY
 
@@ -121,7 +189,7 @@ def _collisions(a: str, b: str) -> Column:
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: id, n_shingles, component_id, kept, and r1, r2, the hash of its id and text.
 
     Two documents link if their sets of distinct 5-word shingles have Jaccard similarity 0.75 or
     more; with fewer words the whole sequence is the one shingle; null texts and texts without
@@ -129,10 +197,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     reachable. Rows without id link like all others but name no component; a component of such
     rows only has a null id, and all of them are kept. Repeated rows have equal results.
 
-    Documents with equal sets are one class, joined once. Classes that collide are first compared
-    with one pivot of each list they share, so that a group of near copies, however large, falls
-    into one component in few rounds; only classes still apart meet in pairs, in the join and
-    under its filters. No bucket is capped. Texts are not shuffled unless more than
+    Documents with equal sets are one class, joined once. Classes that collide enough with the
+    pivot of a list they share form herds; a herd's members meet in blocks inside a task, except
+    for its largest component, which the pivots have already linked. Classes of different herds
+    meet in pairs, in the join and under its filters. No list is capped and no pair is left out. Texts are not shuffled unless more than
     ``BROADCAST_ROWS`` of them have candidates.
     """
     spark = docs.sparkSession
@@ -156,26 +224,17 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     bare = classes.select("node", "n", "sig")
     prefixes = settle(prefixes.join(bare, "node"))
 
-    none = spark.createDataFrame([], "node bigint, root bigint")
-    edges, roots = [], none
-    for turn in range(PIVOT_ROUNDS):
-        flat = prefixes.select("node", "n", "sig", F.explode("rare").alias("at"))
-        if not turn:
-            pairs = flat.select("node", "n", "sig", F.col("at.pivot").alias("v"))
-        else:
-            flat = _apart(flat, roots)
-            chosen = flat.groupBy("key").agg(F.max_by("node", F.xxhash64("node", F.lit(turn))).alias("v"), F.max_by("root", F.xxhash64("node", F.lit(turn))).alias("vroot"))
-            pairs = flat.join(chosen, "key").where(F.col("root") != F.col("vroot")).select("node", "n", "sig", "v")
-        other = bare.select(F.col("node").alias("v"), F.col("n").alias("vn"), F.col("sig").alias("vsig"))
-        pairs = pairs.where(F.col("node") != F.col("v")).dropDuplicates(["node", "v"]).join(other, "v")
-        pairs = pairs.where(_similar_size("n", "vn") & (_collisions("sig", "vsig") >= MATCHES))
-        pairs = settle(pairs.select(F.least("node", "v").alias("u"), F.greatest("node", "v").alias("v")).distinct())
-        if pairs.isEmpty():
-            break
-        edges.append(confirmed(pairs, rows, classes))
-        roots = components(_union(edges))
-
-    flat = settle(_apart(prefixes.select("node", "n", "sig", "rare", F.explode("rare").alias("at")), roots))
+    flat = prefixes.select("node", "n", "sig", F.explode("rare").alias("at"))
+    stars = flat.select("node", "n", "sig", F.col("at.pivot").alias("v")).where(F.col("node") != F.col("v"))
+    other = bare.select(F.col("node").alias("v"), F.col("n").alias("vn"), F.col("sig").alias("vsig"))
+    stars = stars.dropDuplicates(["node", "v"]).join(other, "v").where(_collisions("sig", "vsig") >= MATCHES)
+    stars = settle(stars.select(F.least("node", "v").alias("u"), F.greatest("node", "v").alias("v")).distinct())
+    herds = components(stars)
+    sets = sets_of(herds.select("node"), rows, classes)
+    edges = confirmed(stars, sets)
+    edges = edges.unionByName(herd_links(herds, components(edges), sets))
+
+    flat = settle(_apart(prefixes.select("node", "n", "sig", "rare", F.explode("rare").alias("at")), herds))
     flat = flat.withColumn("rare", F.transform("rare", lambda x: x["key"]))
     a, b = flat.alias("a"), flat.alias("b")
     meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
@@ -183,27 +242,30 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     first = F.array_min(F.array_intersect("a.rare", "b.rare")) == F.col("a.key")
     pairs = settle(a.join(b, meet & first).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")))
     if not pairs.isEmpty():
-        edges.append(confirmed(pairs, rows, classes))
-        roots = components(_union(edges))
+        edges = edges.unionByName(confirmed(pairs, sets_of(_ends(pairs), rows, classes)))
+    roots = components(edges)
     member = classes.select("n", "s1", "s2", "node", "id")
     member = member.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = member.groupBy("root").agg(F.min("id").alias("component_id"))
     member = member.join(smallest, "root").select("n", "s1", "s2", "component_id")
-    out = signed.select("id", "n", "s1", "s2").join(member, ["n", "s1", "s2"], "left")
+    out = signed.select("id", "n", "s1", "s2", "r1", "r2").join(member, ["n", "s1", "s2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(
         F.col("id").alias(id),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),
+        "r1",
+        "r2",
     )
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``near_duplicates`` does not keep; all columns as they are."""
+    gone = settle(near_duplicates(docs, id, text).where(~F.col("kept")).select("r1", "r2").distinct())
+    r1, r2 = hash_pair(F.col(f"__row.`{id}`"), F.col(f"__row.`{text}`"))
+    rows = docs.select(packed(docs)).withColumns({"r1": r1, "r2": r2})
+    return rows.join(counted_broadcast(gone), ["r1", "r2"], "left_anti").select(*unpacked(docs.columns, {}))
 
 
 def _apart(flat: DataFrame, roots: DataFrame) -> DataFrame:
@@ -234,4 +296,5 @@ g AS (SELECT u doc_id, min(v) component_id FROM r GROUP BY u)
 SELECT doc_id, len(s)::BIGINT n_shingles, component_id, doc_id = component_id kept FROM sh JOIN g USING (doc_id)""",
 )
 def op9_minhash_near_dedup(spark, folder):
-    return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")

@@ -31,6 +31,8 @@ COUNTS = 1 << 17
 ROUNDS, STEP, NOISE = 3, 2048, 64
 RATE = 0.15
 SMOOTH = 0.1
+#: Texts that a scoring task holds as words at a time.
+AT_ONCE = 256
 #: Tasks whose parameters are added up before the driver sees them.
 ADDERS = 8
 
@@ -61,7 +63,7 @@ class Classes:
         if c is None:
             c = self.seen.get(word)
             if c is None:
-                if len(self.seen) > 300_000:
+                if len(self.seen) > 200_000:
                     self.seen.clear()
                 c = self.seen[word] = WORDS + self.crc(word.strip(b".,;:!?")[-2:]) % ENDINGS
         return c
@@ -90,7 +92,7 @@ def _counted(batches):
         for text in b.column("text").to_pylist():
             counts.update(words_of(text))
             counts[END_WORD] += 1
-            if len(counts) > 400_000:
+            if len(counts) > 200_000:
                 yield flush()
     yield flush()
 
@@ -273,7 +275,13 @@ def train(docs: DataFrame, part: Column) -> tuple[Model, DataFrame]:
     counts = settle(_word_counts(docs))
     end = F.col("word") == F.lit(END_WORD)
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.where(~end).orderBy(F.desc("n"), "word").limit(COUNTS).collect()
+    room, least = COUNTS, None  # the least count of which all words still fit; found without sending words
+    for r in counts.where(~end).groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(COUNTS).collect():
+        room -= r.words
+        if room < 0:
+            break
+        least = r.n
+    top = sorted(counts.where(~end & (F.col("n") >= least)).collect(), key=lambda r: (-r.n, r.word)) if least else []
     frequent = [bytes(r.word) for r in top[:WORDS]]
     known = {bytes(r.word): r.n for r in top}
     ends = counts.where(end).first()
@@ -317,10 +325,8 @@ def _scored(shared):
         names = ["word", "r1", "r2", "times", "tokens", "known", "base", "inner", "model"]
         kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
         within = np.log10(model.mass * unit)
-        for b in batches:
+        for b in (b.slice(i, AT_ONCE) for b in batches for i in range(0, b.num_rows, AT_ONCE)):
             texts = [words_of(t) for t in b.column("text").to_pylist()]
-            if not texts:
-                continue
             fit = model.texts_scored(texts, classes) / math.log(10)
             cols: list[list] = [[] for _ in names]
             for r1, r2, words, m in zip(b.column("r1").to_pylist(), b.column("r2").to_pylist(), texts, fit.tolist()):

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shelfwright.llm.common import id_hash, packed, query, table, unpacked
 from shelfwright.session import ship_package
 
-#: Labelled documents that the classifier is fitted on, at most; the ids with the smallest hashes.
+#: Labelled documents that the classifier is fitted on, about, where there are more; drawn by a hash of the id.
 FIT_DOCS = 100_000
 #: Features it keeps, at most; documents that must hold one; least z-score of its log-odds.
 FEATURES, LEAST_DOCS, LEAST_Z = 50_000, 3, 2.5
@@ -249,7 +249,7 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, id: str = "doc_id", text: str = "text") -> Model:
-    """Learn from the texts of ``labels`` (id, toxic), at most ``fit_docs`` of them.
+    """Learn from the texts of ``labels`` (id, toxic), about ``fit_docs`` of them where there are more.
 
     Ids labelled both ways count as toxic; null labels and null ids are left out. Without both
     kinds among the documents the model says the share of toxic labels for every text (0 for none).
@@ -259,8 +259,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, id: str =
     spark = docs.sparkSession
     ship_package(spark)
     known = labels.select(F.col(f"`{id}`").alias("id"), "toxic").where("id is not null and toxic is not null")
-    known = known.groupBy("id").agg(F.max("toxic").alias("toxic")).withColumn("h", F.xxhash64("id"))
-    known = known.orderBy("h", "id").limit(fit_docs).select("id", "toxic")
+    known = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
+    n = known.count()
+    if n > fit_docs:  # ids by a hash, so that no task sorts or holds more of them than its share
+        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 31)) < (fit_docs << 31) // n)
     texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     texts = texts.join(F.broadcast(known), "id").select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
 

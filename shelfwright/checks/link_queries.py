@@ -243,11 +243,11 @@ def crawl_closure(spark, d):
 
 
 # The same tree as a site of cards: inner pages show a grid of two cards and a next link to a
-# third child, leaf pages have a heading and no grid.
+# third child, every fourth page is a leaf: a heading and no grid. The reach grows with the table.
 
 _CARDS = "https://www.flex-tools.com/en/c"
 _CARD_SITE = (
-    "concat('<title>', s_name, '</title><h1>', s_name, '</h1>', CASE WHEN s_suppkey < 40 THEN "
+    "concat('<title>', s_name, '</title><h1>', s_name, '</h1>', CASE WHEN s_suppkey % 4 <> 3 THEN "
     "concat('<div class=\"product-card-grid\"><a class=\"card-link\" href=\"c', s_suppkey * 3 + 1, '\">x</a>"
     "<a class=\"card-link\" href=\"/en/c', s_suppkey * 3 + 2, '\">y</a></div><p class=\"pagination-next\"><a href=\"c', "
     "s_suppkey * 3 + 3, '\">next</a><a class=\"next\" href=\"/no\">no</a></p>') "
@@ -259,8 +259,8 @@ _CARD_SITE = (
     "crawl_closure_cards",
     "WITH RECURSIVE walk(key, depth) AS (SELECT CAST(0 AS BIGINT), 0 UNION ALL "
     "SELECT walk.key * 3 + j, walk.depth + 1 FROM walk, (SELECT unnest(range(1, 4)) AS j) "
-    "WHERE walk.key < 40 AND walk.key IN (SELECT s_suppkey FROM supplier)) "
-    f"SELECT concat('{_CARDS}', key) AS url, depth, s_suppkey IS NOT NULL AND key >= 40 AS is_product "
+    "WHERE walk.key % 4 <> 3 AND walk.key IN (SELECT s_suppkey FROM supplier)) "
+    f"SELECT concat('{_CARDS}', key) AS url, depth, s_suppkey IS NOT NULL AND key % 4 = 3 AS is_product "
     "FROM walk LEFT JOIN supplier ON s_suppkey = key",
 )
 def crawl_closure_cards(spark, d):

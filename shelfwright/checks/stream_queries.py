@@ -1,6 +1,7 @@
 """Streams run to their end into a scratch folder and compared with plain SQL."""
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -10,10 +11,15 @@ from shelfwright.checks.page_queries import H1, SHORT_A
 from shelfwright.checks.registry import query, table
 from shelfwright.operators.taxonomy import flatten_taxonomy
 from shelfwright.plans.catalogue import leaf_candidates
+from shelfwright.plans.site_profiles import SITE_A
 from shelfwright.session import shared_dir
 from shelfwright.streaming import items as ST
 
 
+#: The page table stands in for the site, so its hosts are the site's.
+ANY_HOST = replace(SITE_A, hosts=())
+
+
 def _run(spark, stream):
     base = f"{shared_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
     q = ST.run_stream(stream, f"{base}/out", f"{base}/state")
@@ -27,7 +33,7 @@ def _run(spark, stream):
     "url AS source_url FROM pages",
 )
 def stream_items(spark, d):
-    items = ST.item_stream(ST.page_stream(spark, d, "pages.parquet"))
+    items = ST.item_stream(ST.page_stream(spark, d, "pages.parquet"), ANY_HOST)
     return _run(spark, items.select("page_id", "brand", "product_name", "long_description", "source_url"))
 
 
@@ -42,7 +48,7 @@ _TEXTS = f"(SELECT page_id AS query_id, concat({S.clean_strict(H1)}, ' ', {SHORT
 def stream_classified(spark, d):
     """Every stage on the stream: de-duplicate, extract, clean, embed, search, decide."""
     cands = leaf_candidates(tree(spark, d), whole_counts)
-    items = ST.item_stream(ST.page_stream(spark, d, "pages.parquet"), candidates=cands, encoder=whole_counts, fill_path=True)
+    items = ST.item_stream(ST.page_stream(spark, d, "pages.parquet"), ANY_HOST, candidates=cands, encoder=whole_counts, fill_path=True)
     return _run(spark, items.select("page_id", "type_id", "category", "classification_path", "confidence_score"))
 
 

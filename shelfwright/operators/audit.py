@@ -8,17 +8,25 @@ from pyspark.sql import functions as F
 from shelfwright.session import SMALL_ROWS, lookup_join
 
 
-def probe_outcome(probes: DataFrame) -> DataFrame:
-    """One row per URL with its latest-listed HEAD and GET answer, grouped with map-side combine."""
+def probe_outcome(probes: DataFrame, order: str = "probe_order") -> DataFrame:
+    """One row per URL with its latest HEAD and GET probe, grouped with map-side combine.
 
-    def of(method, col):
-        return F.max(F.when(F.col("method") == method, F.col(col)))
+    The latest is the one with the greatest ``order``; in a log without that column, the one
+    with the greatest (status, error). Status and error are always those of one probe.
+    """
+    answer = F.struct("status", "error")
+    by = F.struct(F.col(order), answer) if order in probes.columns else answer
+
+    def of(method):
+        return F.max(F.when(F.col("method") == method, F.struct(by.alias("by"), "status", "error")))
 
-    return probes.where(F.col("url").isNotNull()).groupBy("url").agg(
-        of("HEAD", "status").alias("head_status"),
-        of("HEAD", "error").alias("head_error"),
-        of("GET", "status").alias("get_status"),
-        of("GET", "error").alias("get_error"),
+    latest = probes.where(F.col("url").isNotNull()).groupBy("url").agg(of("HEAD").alias("h"), of("GET").alias("g"))
+    return latest.select(
+        "url",
+        F.col("h.status").alias("head_status"),
+        F.col("h.error").alias("head_error"),
+        F.col("g.status").alias("get_status"),
+        F.col("g.error").alias("get_error"),
     )
 
 

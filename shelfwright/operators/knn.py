@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwright.functions.encoders import HashedCounts
 from shelfwright.schemas import CANDIDATE_TYPE
-from shelfwright.session import ship_package, use_all_cores
+from shelfwright.session import settle, ship_package, use_all_cores
 
 TOP_K = 10
 _CANDIDATES = f"array<{CANDIDATE_TYPE.simpleString()}>"
@@ -93,7 +93,8 @@ def _as_lists(pos: np.ndarray, dist: np.ndarray, attrs: pa.Table, extra=()) -> p
 
 def _ordered(candidates: DataFrame, vec: str, order: str) -> DataFrame:
     cols = [F.col(a) if a in candidates.columns else F.lit(None).cast("string").alias(a) for a in _ATTRS]
-    return candidates.select(F.col(order).alias("_ord"), *cols, F.col(vec).alias("_vec"))
+    known = candidates.where(F.col(vec).isNotNull())
+    return known.select(F.col(order).alias("_ord"), *cols, F.col(vec).alias("_vec"))
 
 
 def nearest(
@@ -108,19 +109,28 @@ def nearest(
 ) -> DataFrame:
     """Add the k nearest candidates of each row as a ranked list, exact, ties by ``order``.
 
-    ``candidates`` has ``id``, the vector, and optionally ``name``, ``path``,
+    Rows are told apart by themselves, never by ``key``. Candidates without a vector are left
+    out; vectors of different length are an error. ``candidates`` has ``id``, the vector, and optionally ``name``, ``path``,
     ``numeric_path``. If its counted size fits ``max_bytes`` it is broadcast and no row is
     shuffled; otherwise both sides are cut into blocks. Fewer candidates than k give a
     shorter list.
     """
     ship_package(queries.sparkSession)
     cands = _ordered(candidates, vec, order)
-    n, dim = cands.agg(F.count("*"), F.max(F.size("_vec"))).first()
+    text = sum((F.coalesce(F.octet_length(a), F.lit(0)) for a in ("name", "path", "numeric_path")), F.lit(64))
+    n, least, dim, words = cands.agg(
+        F.count("*"), F.min(F.size("_vec")), F.max(F.size("_vec")), F.sum(text)
+    ).first()
     if n == 0:
         return queries.withColumn(out, F.array().cast(_CANDIDATES))
-    if n * (dim * 8 + 256) <= max_bytes:
+    if least != dim:
+        raise ValueError(f"candidate vectors of {least} and {dim} components")
+    size = n * dim * 8 + words
+    if size <= max_bytes:
         return _by_broadcast(queries, cands, k, vec, out)
-    return _by_blocks(queries, cands, k, key, vec, out, n, dim, max_bytes)
+    if queries.isStreaming:
+        raise ValueError(f"{size} bytes of candidates are more than a stream may broadcast ({max_bytes})")
+    return _by_blocks(queries, cands, k, vec, out, size, dim, max_bytes)
 
 
 def _by_broadcast(queries, cands, k, vec, out):
@@ -150,14 +160,17 @@ def _candidates_type():
     return ArrayType(CANDIDATE_TYPE)
 
 
-def _by_blocks(queries, cands, k, key, vec, out, n, dim, max_bytes):
+def _by_blocks(queries, cands, k, vec, out, size, dim, max_bytes):
     """Both sides hashed into blocks of bounded size; each pair of blocks is one small task.
 
-    Rows are repeated once per block of the other side, only the k best per block pair come
-    back, and those lists are merged per query.
+    The queries are written once, each row under an id of its own, so that repeated and null
+    keys stay apart and nothing upstream runs twice. Vectors are repeated once per block of the
+    other side, only the k best per block pair come back, and those lists are merged per row.
     """
+    key = "_row_id"
+    queries = settle(queries.withColumn(key, F.monotonically_increasing_id()))
     block = max(1, max_bytes // 4)
-    c_blocks = math.ceil(n * (dim * 8 + 256) / block)
+    c_blocks = math.ceil(size / block)
     q_blocks = math.ceil(queries.count() * dim * 8 / block) or 1
 
     def every(count):
@@ -202,7 +215,7 @@ def _by_blocks(queries, cands, k, key, vec, out, n, dim, max_bytes):
         ),
     )
     merged = merged.select(F.col("_key").alias(key), ranked.cast(_CANDIDATES).alias(out))
-    return queries.join(merged, key, "left")
+    return queries.join(merged, key, "left").drop(key)
 
 
 def knn(queries: DataFrame, candidates: DataFrame, k: int = TOP_K, key: str = "query_id", **opts) -> DataFrame:

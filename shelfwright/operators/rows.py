@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from shelfwright.functions.text import blank
 from shelfwright.schemas import RECORD_SCHEMA
+from shelfwright.session import is_small, settle
 
 _SORTABLE_ROWS = 100_000
 _BINS = 1024
@@ -39,21 +40,26 @@ def _key_at(df: DataFrame, key: str, position: int):
                 lo, hi, rows = lo + b * width, min(hi, lo + (b + 1) * width - 1), n
                 break
             position -= n
-    row = df.where(F.col(key).between(lo, hi)).select(k.alias("k")).orderBy("k").offset(position).limit(1)
-    return row.first()["k"]
+    near = df.where(F.col(key).between(lo, hi)).select(k.alias("k"))
+    at = near.orderBy("k").offset(position).limit(1).first()["k"]
+    if near.where(F.col("k") == at).count() > 1:
+        raise ValueError(f"{key} {at} is repeated: a row range cannot end inside it")
+    return at
 
 
 def slice_rows(df: DataFrame, key: str, start: int = 0, end: int | None = None, limit: int | None = None) -> DataFrame:
     """Rows ``[start, end)`` or ``[start, start + limit)`` in ``key`` order; neither: from ``start``.
 
     Positions are first turned into key bounds, so the result is a plain range filter that
-    reaches the file scan: no global sort, no numbering of all rows. ``end`` goes before
+    reaches the file scan: no global sort, no numbering of all rows. A bound on a repeated key
+    is an error; rows without a key have no position and are in no range. ``end`` goes before
     ``limit``. (A start with a limit selects the documented rows, not an empty set.)
     """
     if end is None and limit is not None:
         end = start + limit
     if end is not None and end <= start:
         return df.limit(0)
+    df = df.where(F.col(key).isNotNull())
     if start > 0:
         first = _key_at(df, key, start)
         if first is None:
@@ -99,11 +105,15 @@ def to_product_schema(df: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> Da
 def first_per_url(df: DataFrame, url: str = "url", order: str = "page_id") -> DataFrame:
     """One row per URL: the one with the lowest ``order``, which must be unique.
 
-    Only the two narrow columns are grouped, with a map-side minimum, so copies of one URL
-    collapse before the shuffle. The wide rows move once, by their unique ``order``.
+    Only the two narrow columns are grouped and joined, which leaves the ids of the rows to
+    drop. Those are written, counted, and broadcast if they are few, so that the wide rows
+    stay where they are.
     """
-    keep = df.groupBy(url).agg(F.min(order).alias(order)).select(order)
-    return df.join(keep, order, "left_semi")
+    first = df.groupBy(url).agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
+    narrow, first = df.select(url, order).alias("a"), first.where("_n > 1").alias("b")
+    copies = narrow.join(first, F.col(f"a.{url}").eqNullSafe(F.col(f"b.{url}")))
+    drop = settle(copies.where(F.col(f"a.{order}") != F.col("_first")).select(F.col(f"a.{order}").alias(order)))
+    return df.join(F.broadcast(drop) if is_small(drop) else drop, order, "left_anti")
 
 
 def dedupe_products(products: DataFrame, order: str = "page_id") -> DataFrame:

@@ -92,7 +92,7 @@ def extract_b(pages: DataFrame, profile: SiteProfile = SITE_B) -> DataFrame:
     )
 
 
-_EXTRACT = {SITE_A.brand: extract_a, SITE_B.brand: extract_b}
+EXTRACT = {SITE_A.brand: extract_a, SITE_B.brand: extract_b}
 
 
 def products_from_pages(pages: DataFrame, profile: SiteProfile, extract: Callable | None = None) -> DataFrame:
@@ -102,7 +102,7 @@ def products_from_pages(pages: DataFrame, profile: SiteProfile, extract: Callabl
     long before any page is read. ``extract`` overrides the rules for another site.
     """
     mine = pages.where(same_site(F.col("url"), list(profile.hosts))) if profile.hosts else pages
-    extract = extract or _EXTRACT[profile.brand]
+    extract = extract or EXTRACT[profile.brand]
     return extract(first_per_url(mine), profile)
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwright.functions.encoders import HashedCounts
+from shelfwright.functions.urls import same_site
 from shelfwright.operators.decisions import decide_by_vector
-from shelfwright.plans.catalogue import clean_products, extract_a, extract_b, find_candidates
+from shelfwright.plans.catalogue import EXTRACT, clean_products, find_candidates
 from shelfwright.plans.site_profiles import SITE_A, SiteProfile
 from shelfwright.schemas import PAGE_SCHEMA
 
@@ -48,11 +49,16 @@ def item_stream(
     candidates: DataFrame | None = None,
     encoder: Callable = HashedCounts,
     fill_path: bool = False,
+    extract: Callable | None = None,
+    event_time: str | None = None,
+    stamp: bool = False,
 ) -> DataFrame:
-    """De-duplicate, extract, clean and, given ``candidates``, classify: the batch operators
-    on a stream, in that order. The candidates are read once, before the first page."""
-    extract = extract_a if profile.brand == SITE_A.brand else extract_b
-    items = clean_products(extract(once_per_url(pages), profile), stamp=False)
+    """Host test, de-duplicate, extract, clean and, given ``candidates``, classify: the batch job
+    on a stream, in that order. The candidates are read once, before the first page. Other
+    sites bring their ``extract``; with ``event_time`` the memory of seen URLs is bounded."""
+    mine = pages.where(same_site(F.col("url"), list(profile.hosts))) if profile.hosts else pages
+    extract = extract or EXTRACT[profile.brand]
+    items = clean_products(extract(once_per_url(mine, event_time=event_time), profile), stamp=stamp)
     if candidates is None:
         return items
     decided = decide_by_vector(find_candidates(items, candidates, "item_id", encoder), fill_path)

@@ -11,7 +11,10 @@ from shelfwright.session import is_small, lookup_join
 from shelfwright.sources import sinks as K
 from shelfwright.sources import tables as S
 from shelfwright.streaming import items as ST
-from shelfwright.plans.catalogue import extract_a
+from shelfwright.operators.audit import probe_outcome
+from shelfwright.operators.knn import nearest
+from shelfwright.plans.catalogue import extract_a, products_from_pages
+from shelfwright.plans.site_profiles import SITE_A
 
 
 def test_taxonomy_file(spark, tmp_path):
@@ -216,3 +219,50 @@ def test_bounded_dedupe_forgets_after_the_delay(spark, tmp_path):
     q = ST.run_stream(ST.once_per_url(stream, "url", "ts", "7 days"), out, state)
     q.awaitTermination()
     assert sorted(r["url"] for r in spark.read.parquet(out).collect()) == ["a", "b"]
+
+
+def test_stream_keeps_to_its_host_like_the_batch_job(spark, tmp_path):
+    src = str(tmp_path / "src")
+    rows = [(1, "https://elsewhere.example.org/en/products/saws/s-1", "<h1>No</h1>"), (2, "https://www.flex-tools.com/en/products/saws/s-2", "<h1>Yes</h1>")]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(src)
+    batch = products_from_pages(spark.read.parquet(src), SITE_A)
+    items = ST.item_stream(ST.page_stream(spark, src)).select("page_id", "product_name")
+    q = ST.run_stream(items, str(tmp_path / "out"), str(tmp_path / "state"))
+    q.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [r.page_id for r in got] == [r.page_id for r in batch.collect()] == [2]
+
+
+def test_row_range_on_repeated_and_null_keys(spark):
+    df = spark.createDataFrame([(1,), (1,), (1,), (2,), (3,), (None,)], "k bigint")
+    with pytest.raises(ValueError, match="repeated"):
+        R.slice_rows(df, "k", start=1, limit=2)
+    assert [r.k for r in R.slice_rows(df, "k", start=3).collect()] == [2, 3]
+    assert R.slice_rows(df, "k").count() == 5
+
+
+def test_candidates_do_not_depend_on_size_or_key(spark):
+    queries = spark.createDataFrame([(1, [0.0, 0.0]), (1, [9.0, 9.0]), (None, [0.0, 0.0]), (2, None)], "key bigint, v array<double>")
+    cands = spark.createDataFrame([(i, [float(i), float(i)]) for i in range(10)] + [(77, None)], "id bigint, v array<double>")
+    for most in (1 << 28, 200):
+        out = nearest(queries, cands, 2, "key", "v", max_bytes=most).collect()
+        got = sorted((str(r.key), str(r.v), [c.id for c in r.candidates] if r.candidates else None) for r in out)
+        assert got == [("1", "[0.0, 0.0]", [0, 1]), ("1", "[9.0, 9.0]", [9, 8]), ("2", "None", None), ("None", "[0.0, 0.0]", [0, 1])]
+    mixed = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "id bigint, v array<double>")
+    with pytest.raises(ValueError, match="components"):
+        nearest(queries, mixed, 2, "key", "v")
+
+
+def test_latest_probe_is_one_probe(spark):
+    log = [("u", "HEAD", 503, None, 1), ("u", "HEAD", 200, None, 2), ("w", "HEAD", None, "timeout", 1), ("w", "HEAD", 200, None, 2)]
+    probes = spark.createDataFrame(log, "url string, method string, status int, error string, probe_order int")
+    got = {r.url: (r.head_status, r.head_error) for r in probe_outcome(probes).collect()}
+    assert got == {"u": (200, None), "w": (200, None)}
+
+
+def test_wide_rows_stay_where_they_are(spark):
+    pages = spark.createDataFrame([(1, "u", "x"), (2, "u", "y"), (3, None, "z"), (4, None, "z")], "page_id bigint, url string, html string")
+    kept = R.first_per_url(pages)
+    assert sorted(r.page_id for r in kept.collect()) == [1, 3]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange" in line and "html" in line for line in plan.splitlines())

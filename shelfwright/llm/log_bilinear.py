@@ -13,6 +13,7 @@ Probabilities are over all known words and one unseen word per class, and sum to
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -48,32 +49,25 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-class Classes:
-    """Word to class."""
+class Classes(dict):
+    """Word to class; classes of words that are not frequent are worked out when first asked for."""
 
     def __init__(self, frequent: list[bytes]):
-        import zlib
-
         self.own = {w: i for i, w in enumerate(frequent[:WORDS])}
-        self.crc = zlib.crc32
-        self.seen: dict[bytes, int] = {}
-
-    def of(self, word: bytes) -> int:
-        c = self.own.get(word)
-        if c is None:
-            c = self.seen.get(word)
-            if c is None:
-                if len(self.seen) > 200_000:
-                    self.seen.clear()
-                c = self.seen[word] = WORDS + self.crc(word.strip(b".,;:!?")[-2:]) % ENDINGS
+        super().__init__(self.own)
+
+    def __missing__(self, word: bytes) -> int:
+        c = self[word] = WORDS + zlib.crc32(word.strip(b".,;:!?")[-2:]) % ENDINGS
         return c
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         """Classes of a text: start, start, its words, end."""
+        if len(self) > 200_000:
+            self.clear()
+            self.update(self.own)
         out = np.empty(len(words) + 3, np.int32)
         out[:2], out[-1] = START, END
-        own, seen, of = self.own, self.seen, self.of
-        out[2:-1] = [own[w] if w in own else seen[w] if w in seen else of(w) for w in words]
+        out[2:-1] = list(map(self.__getitem__, words))
         return out
 
 
@@ -257,7 +251,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _ending(word: Column) -> Column:
-    """The class of a rare word, as ``Classes.of`` gives it."""
+    """The class of a rare word, as ``Classes`` gives it."""
     bare = F.encode(F.btrim(word.cast("string"), F.lit(".,;:!?")), "UTF-8")
     start = F.greatest(F.lit(1), F.octet_length(bare) - 1)
     return (F.crc32(bare.substr(start, F.lit(2))) % ENDINGS).cast("int")
@@ -321,10 +315,11 @@ def _scored(shared):
         classes, log = Classes(model.frequent), math.log10
         unit, counts = model.unit, model.counts
         base = {w: log((n + SMOOTH) * unit) for w, n in counts.items()}
-        own = [base[w] for w in model.frequent]
         names = ["word", "r1", "r2", "times", "tokens", "known", "base", "inner", "model"]
         kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-        within = np.log10(model.mass * unit)
+        within = np.log10(model.mass * unit).tolist()
+        # log share of a word in its class: none for a frequent word, which is all of its class
+        share = {w: 0.0 if w in classes.own else v - within[classes[w]] for w, v in base.items()}
         for b in (b.slice(i, AT_ONCE) for b in batches for i in range(0, b.num_rows, AT_ONCE)):
             texts = [words_of(t) for t in b.column("text").to_pylist()]
             fit = model.texts_scored(texts, classes) / math.log(10)
@@ -335,17 +330,14 @@ def _scored(shared):
                 known += END_WORD in counts
                 for w, k in tf.items():
                     v = base.get(w)
-                    c = classes.of(w)
-                    if c >= WORDS:  # a word's share of its class
-                        inner -= k * within[c]
                     if v is None:
+                        inner -= k * within[classes[w]]
                         for col, x in zip(cols, (w, r1, r2, k, 0, 0, 0.0, 0.0, 0.0)):
                             col.append(x)
                     else:
                         known += k
                         total += k * v
-                        if c >= WORDS:
-                            inner += k * v
+                        inner += k * share[w]
                 # the key of this row is no word: it holds a space, and it spreads the rows
                 mark = b" " + np.array([r1, r2], np.int64).tobytes()
                 for col, x in zip(cols, (mark, r1, r2, None, len(words) + 1, known, total, inner, m)):

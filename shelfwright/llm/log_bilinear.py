@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,11 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def ending_class(word: bytes) -> int:
+    """The class of a word that is not frequent."""
+    return WORDS + zlib.crc32(word.strip(b".,;:!?")[-2:]) % ENDINGS
+
+
 class Classes(dict):
     """Word to class; classes of words that are not frequent are worked out when first asked for."""
 
@@ -57,7 +63,7 @@ class Classes(dict):
         super().__init__(self.own)
 
     def __missing__(self, word: bytes) -> int:
-        c = self[word] = WORDS + zlib.crc32(word.strip(b".,;:!?")[-2:]) % ENDINGS
+        c = self[word] = ending_class(word)
         return c
 
     def encode(self, words: list[bytes]) -> np.ndarray:
@@ -229,19 +235,43 @@ class Model:
         """One over the denominator of the smoothed unigram share."""
         return 1 / (self.total + SMOOTH * (self.vocabulary + 1)) if self.total else 1.0
 
-    def texts_scored(self, words: list[list[bytes]], classes: Classes) -> np.ndarray:
-        """Natural-log probability of the classes of each text, end included."""
-        codes = [classes.encode(w) for w in words]
-        c = np.concatenate(codes)
+    def texts_scored(self, c: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Natural-log probability of the classes of each text, end included; ``c`` has two starts before each."""
         at = np.flatnonzero(c != START)
-        cuts = np.cumsum([0, *(len(x) - 2 for x in codes)])[:-1]
         out = np.empty(len(at))
         for i in range(0, len(at), 1 << 16):
             k = at[i : i + (1 << 16)]
             one, two, target = c[k - 1], c[k - 2], c[k]
             s = np.einsum("nd,nd->n", self.p.predict(one, two), self.p.q[target]) + self.p.b[target]
             out[i : i + len(k)] = s - self.normalisers[one, two]
-        return np.add.reduceat(out, cuts)
+        return np.add.reduceat(out, np.cumsum(tokens) - tokens)
+
+
+class Numbers(dict):
+    """Word to number: the words of the broadcast counts first, rarer ones after them as they are met."""
+
+    def __init__(self, model: Model):
+        self.kept = {w: i for i, w in enumerate(model.counts)}
+        self.known = len(self.kept)
+        super().__init__(self.kept)
+        classes = Classes(model.frequent)
+        self.class_of = np.fromiter(map(classes.__getitem__, self.kept), np.int32, self.known)
+        self.class_of = np.concatenate([self.class_of, np.zeros(1 << 16, np.int32)])
+        self.rarer: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        i = self[word] = self.known + len(self.rarer)
+        self.rarer.append(word)
+        if i >= len(self.class_of):
+            self.class_of = np.concatenate([self.class_of, np.zeros_like(self.class_of)])
+        self.class_of[i] = ending_class(word)
+        return i
+
+    def trim(self) -> None:
+        if len(self.rarer) > 100_000:
+            self.clear()
+            self.update(self.kept)
+            self.rarer = []
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
@@ -312,37 +342,42 @@ def _scored(shared):
 
     def run(batches):
         model: Model = shared.value
-        classes, log = Classes(model.frequent), math.log10
-        unit, counts = model.unit, model.counts
-        base = {w: log((n + SMOOTH) * unit) for w, n in counts.items()}
-        names = ["word", "r1", "r2", "times", "tokens", "known", "base", "inner", "model"]
-        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-        within = np.log10(model.mass * unit).tolist()
+        numbers, unit = Numbers(model), model.unit
+        known = numbers.known
+        classes = numbers.class_of[:known]
+        within = np.log10(model.mass * unit)
+        base = np.log10((np.fromiter(model.counts.values(), float, known) + SMOOTH) * unit)
         # log share of a word in its class: none for a frequent word, which is all of its class
-        share = {w: 0.0 if w in classes.own else v - within[classes[w]] for w, v in base.items()}
+        share = np.where(classes < WORDS, 0.0, base - within[classes])
+        base, share = np.append(base, 0.0), np.append(share, 0.0)  # a rarer word meets its count in the join
+        end_base = base[numbers.kept[END_WORD]] if END_WORD in model.counts else math.log10(SMOOTH * unit)
         for b in (b.slice(i, AT_ONCE) for b in batches for i in range(0, b.num_rows, AT_ONCE)):
             texts = [words_of(t) for t in b.column("text").to_pylist()]
-            fit = model.texts_scored(texts, classes) / math.log(10)
-            cols: list[list] = [[] for _ in names]
-            for r1, r2, words, m in zip(b.column("r1").to_pylist(), b.column("r2").to_pylist(), texts, fit.tolist()):
-                tf = Counter(words)
-                known, total, inner = 0, base.get(END_WORD, log(SMOOTH * unit)), 0.0
-                known += END_WORD in counts
-                for w, k in tf.items():
-                    v = base.get(w)
-                    if v is None:
-                        inner -= k * within[classes[w]]
-                        for col, x in zip(cols, (w, r1, r2, k, 0, 0, 0.0, 0.0, 0.0)):
-                            col.append(x)
-                    else:
-                        known += k
-                        total += k * v
-                        inner += k * share[w]
-                # the key of this row is no word: it holds a space, and it spreads the rows
-                mark = b" " + np.array([r1, r2], np.int64).tobytes()
-                for col, x in zip(cols, (mark, r1, r2, None, len(words) + 1, known, total, inner, m)):
-                    col.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+            numbers.trim()
+            n = np.array([len(w) for w in texts])
+            of = np.repeat(np.arange(len(n)), n)
+            number = np.fromiter(map(numbers.__getitem__, chain.from_iterable(texts)), np.int64, len(of))
+            code, low = numbers.class_of[number], np.minimum(number, known)
+            rare = low == known
+            c = np.full(len(of) + 3 * len(n), START, np.int32)
+            c[np.arange(len(of)) + 3 * of + 2] = code
+            c[np.cumsum(n + 3) - 1] = END
+            inner = np.bincount(of, np.where(rare, -within[code], share[low]), len(n))  # whole numbers if all are empty
+            inner = inner + model.texts_scored(c, n + 1) / math.log(10)
+            pair, times = np.unique(of[rare] * (known + len(numbers.rarer)) + number[rare], return_counts=True)
+            text, word = np.divmod(pair, known + len(numbers.rarer))
+            # the key of a text's own row is no word: it holds a space, and it spreads the rows
+            r = np.column_stack([b.column(x).to_numpy() for x in ("r1", "r2")])
+            keys = [numbers.rarer[i] for i in (word - known).tolist()] + [b" " + x.tobytes() for x in r]
+            none = np.zeros(len(pair), np.int64)
+            own = np.concatenate([none, n + 1])
+            cols = [pa.array(keys, pa.binary())]
+            cols += [pa.array(np.concatenate([x[text], x])) for x in r.T]
+            cols.append(pa.array(np.concatenate([times, n * 0]), pa.int64(), mask=own > 0))
+            seen = n - np.bincount(of[rare], minlength=len(n)) + (END_WORD in model.counts)
+            cols += [pa.array(own), pa.array(np.concatenate([none, seen]))]
+            cols += [pa.array(np.concatenate([none * 0.0, x])) for x in (np.bincount(of, base[low], len(n)) + end_base, inner)]
+            yield pa.RecordBatch.from_arrays(cols, ["word", "r1", "r2", "times", "tokens", "known", "base", "model"])
 
     return run
 
@@ -355,7 +390,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    schema = "word binary, r1 bigint, r2 bigint, times bigint, tokens bigint, known bigint, base double, inner double, model double"
+    schema = "word binary, r1 bigint, r2 bigint, times bigint, tokens bigint, known bigint, base double, model double"
     rows = docs.select("r1", "r2", "text").mapInArrow(_scored(shared), schema)
     rows = rows.join(counts, "word", "left")
     seen = F.coalesce(F.col("n"), F.lit(0))
@@ -366,7 +401,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         F.sum("tokens").alias("tokens"),
         F.sum(F.when(is_text, F.col("known")).when(seen > 0, F.col("times")).otherwise(0)).alias("known"),
         F.sum(F.when(is_text, F.col("base")).otherwise(value)).alias("base"),
-        F.sum(F.when(is_text, F.col("inner") + F.col("model")).otherwise(value)).alias("model"),
+        F.sum(F.when(is_text, F.col("model")).otherwise(value)).alias("model"),
     )
     each = {c: F.col(c) / F.col("copies") for c in ("tokens", "known", "base", "model")}
     return per.select(

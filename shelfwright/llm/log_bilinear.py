@@ -119,6 +119,10 @@ class Parameters:
         cuts = np.cumsum([math.prod(s) for s in cls.SHAPES])[:-1]
         return cls([a.reshape(s).copy() for a, s in zip(np.split(flat, cuts), cls.SHAPES)])
 
+    def products(self) -> tuple[np.ndarray, np.ndarray]:
+        """What the word before (bias included) and the word two before add to every class's score: [context, class]."""
+        return (self.r * self.c[0]) @ self.q.T + self.b, (self.r * self.c[1]) @ self.q.T
+
     def predict(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """The vectors that the contexts (one before, two before) predict."""
         return self.r[one] * self.c[0] + self.r[two] * self.c[1]
@@ -126,48 +130,48 @@ class Parameters:
     def log_normalisers(self) -> np.ndarray:
         """log of the sum over all classes, for every pair of contexts: [one before, two before]."""
         out = np.empty((CONTEXTS, CONTEXTS), np.float32)
-        q, b = self.q.T.astype(np.float32), self.b.astype(np.float32)
-        second = (self.r * self.c[1]).astype(np.float32)
+        first, second = (a.astype(np.float32) for a in self.products())
         for i in range(CONTEXTS):
-            s = ((self.r[i] * self.c[0]).astype(np.float32) + second) @ q + b
+            s = first[i] + second
             top = s.max(1)
             out[i] = top + np.log(np.exp(s - top[:, None]).sum(1))
         return out
 
 
-def _add_rows(target: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
-    sorted_rows = rows[order]
-    first = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-    target[sorted_rows[first]] += np.add.reduceat(values[order], first, axis=0)
+def _row_sums(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of ``values`` that belong to each of ``n`` rows."""
+    at = rows[:, None] * SIZE + np.arange(SIZE)
+    return np.bincount(at.ravel(), values.ravel(), n * SIZE).reshape(n, SIZE)
 
 
 class Trainer:
-    """Noise-contrastive steps with per-parameter rates."""
+    """Noise-contrastive steps with per-parameter rates, in single precision."""
 
     def __init__(self, p: Parameters, share: np.ndarray, seed: int):
-        self.p, self.g = p, np.random.default_rng(seed)
-        self.share, self.log_noise = share, np.log(share * NOISE)
+        self.p, self.g = Parameters([a.astype(np.float32) for a in (p.r, p.c, p.q, p.b)]), np.random.default_rng(seed)
+        self.upto, self.log_noise = np.cumsum(share), np.log(share * NOISE).astype(np.float32)
         self.steepness = [np.full(a.shape, 1e-3) for a in (p.r, p.c, p.q, p.b)]
         self.tokens = 0
 
     def step(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> None:
         p, n = self.p, len(target)
-        r1, r2 = p.r[one], p.r[two]
+        r1, r2, qt = p.r.take(one, 0), p.r.take(two, 0), p.q.take(target, 0)
         h = r1 * p.c[0] + r2 * p.c[1]
-        noise = self.g.choice(CLASSES, NOISE, p=self.share)
-        good = np.einsum("nd,nd->n", h, p.q[target]) + p.b[target] - self.log_noise[target]
-        bad = h @ p.q[noise].T + p.b[noise] - self.log_noise[noise]
+        noise = np.minimum(self.upto.searchsorted(self.g.random(NOISE), "right"), CLASSES - 1)
+        above, qn = p.b - self.log_noise, p.q[noise]
+        good = np.einsum("nd,nd->n", h, qt) + above[target]
         up = 1 / (1 + np.exp(np.clip(good, -30, 30)))  # how far the word is from certain
-        down = -1 / (1 + np.exp(np.clip(-bad, -30, 30)))  # how far each noise word is from ruled out
-        dh = up[:, None] * p.q[target] + down @ p.q[noise]
-        gq, gb, gr = np.zeros_like(p.q), np.zeros_like(p.b), np.zeros_like(p.r)
-        _add_rows(gq, target, up[:, None] * h)
-        np.add.at(gq, noise, down.T @ h)
-        gb += np.bincount(target, up, CLASSES) + np.bincount(noise, down.sum(0), CLASSES)
-        _add_rows(gr, one, dh * p.c[0])
-        _add_rows(gr, two, dh * p.c[1])
-        gc = np.stack([(dh * r1).sum(0), (dh * r2).sum(0)])
+        down = h @ -qn.T  # becomes minus how far each noise word is from ruled out
+        down -= above[noise]
+        np.exp(np.clip(down, -30, 30, out=down), out=down)
+        down += 1
+        np.divide(-1, down, out=down)
+        dh = down @ qn
+        dh += up[:, None] * qt
+        gq = _row_sums(target, up[:, None] * h, CLASSES) + _row_sums(noise, down.T @ h, CLASSES)
+        gb = np.bincount(target, up, CLASSES) + np.bincount(noise, down.sum(0), CLASSES)
+        gr = _row_sums(one, dh, CONTEXTS) * p.c[0] + _row_sums(two, dh, CONTEXTS) * p.c[1]
+        gc = np.stack([np.einsum("nd,nd->d", dh, r) for r in (r1, r2)])
         for a, g, s in zip((p.r, p.c, p.q, p.b), (gr, gc, gq, gb), self.steepness):
             g /= n
             s += g * g
@@ -204,7 +208,7 @@ def _trained(flat: np.ndarray, share: np.ndarray, frequent: list[bytes], turn: i
         if held:
             learn()
         if trainer.tokens:
-            yield _sum_batch(trainer.tokens, trainer.p.flat() * trainer.tokens)
+            yield _sum_batch(trainer.tokens, trainer.p.flat().astype(float) * trainer.tokens)
 
     return run
 
@@ -229,6 +233,7 @@ class Model:
         self.p, self.frequent, self.counts = p, frequent, counts
         self.total, self.vocabulary, self.mass = total, vocabulary, mass
         self.normalisers = p.log_normalisers()
+        self.first, self.second = p.products()
 
     @property
     def unit(self) -> float:
@@ -242,8 +247,7 @@ class Model:
         for i in range(0, len(at), 1 << 16):
             k = at[i : i + (1 << 16)]
             one, two, target = c[k - 1], c[k - 2], c[k]
-            s = np.einsum("nd,nd->n", self.p.predict(one, two), self.p.q[target]) + self.p.b[target]
-            out[i : i + len(k)] = s - self.normalisers[one, two]
+            out[i : i + len(k)] = self.first[one, target] + self.second[two, target] - self.normalisers[one, two]
         return np.add.reduceat(out, np.cumsum(tokens) - tokens)
 
 

@@ -16,6 +16,8 @@ _TOKEN = re.compile(
     r"|[!?][^>]*>)",
     re.S,
 )
+_OPEN_COMMENT = re.compile(r"<!--(.*)\Z", re.S)
+_HEADING = re.compile(r"h\d")
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _CLASS = re.compile("class", re.I)
 _NO_ATTRS: dict = {}
@@ -81,14 +83,28 @@ def _attributes(src: str) -> dict:
     return out
 
 
+def _next_token(html: str, pos: int, last: int):
+    """The first token at or after ``pos``; ``last`` is the end of the page's last ``>``.
+
+    Beyond it only a comment that is never closed can start, so no open tag there is tried.
+    """
+    at = html.find("<", pos)
+    while 0 <= at < last:
+        m = _TOKEN.match(html, at)
+        if m:
+            return m
+        at = html.find("<", at + 1)
+    return _OPEN_COMMENT.search(html, at) if at >= 0 else None
+
+
 def read_tree(html: str):
     """The document root and all its elements in document order."""
     root = cur = Node("#root", "", None)
     nodes: list[Node] = []
     pos, end = 0, len(html)
-    search = _TOKEN.search
+    last = html.rfind(">") + 1
     while pos < end:
-        m = search(html, pos)
+        m = _next_token(html, pos, last)
         at = end if m is None else m.start()
         if at > pos:
             text = html[pos:at]
@@ -230,6 +246,7 @@ class PageFacts:
         self.watch = watch
         self.by_tag: dict[str, list[Node]] = {}
         self.classed: list[Node] = []
+        self._watched: dict[Node | None, tuple] = {None: ()}
         for n in self.nodes:
             self.by_tag.setdefault(n.tag, []).append(n)
             if n.src and n.classes:
@@ -241,18 +258,24 @@ class PageFacts:
         return (n for n in self.nodes if n.tag in tags)
 
     def _anc(self, node: Node):
-        """Watched class names and ids of the ancestors."""
+        """Watched class names and ids of the ancestors, each once."""
         watched, ids = self.watch.classes, self.watch.ids
         if not watched:
             return []
-        out, n = [], node.parent
-        while n is not None:
+        known, path, n = self._watched, [], node.parent
+        while n not in known:
+            path.append(n)
+            n = n.parent
+        out = known[n]
+        for n in reversed(path):
             if n.src:
-                out.extend(c for c in n.classes if c in watched)
+                own = [c for c in n.classes if c in watched]
                 if ids and "#" + n.attrs.get("id", "") in watched:
-                    out.append("#" + n.attrs["id"])
-            n = n.parent
-        return out
+                    own.append("#" + n.attrs["id"])
+                if not set(own).issubset(out):
+                    out = tuple(dict.fromkeys((*own, *out)))
+            known[n] = out
+        return list(out)
 
     def title(self):
         return next((t for t in map(own_text, self._all("title")) if t is not None), None)
@@ -321,14 +344,16 @@ class PageFacts:
         return list(out.items())
 
     def sections(self):
-        out = []
+        out, places = [], {}
         for n in self._all("h3"):
             sibs = n.parent.kids
-            at = next(i for i, k in enumerate(sibs) if k is n) + 1
+            if n.parent not in places:
+                places[n.parent] = {k: i for i, k in enumerate(sibs) if type(k) is Node}
             blocks = []
-            for k in sibs[at:]:
+            for i in range(places[n.parent][n] + 1, len(sibs)):
+                k = sibs[i]
                 if type(k) is Node:
-                    if re.match(r"h\d", k.tag):
+                    if _HEADING.match(k.tag):
                         break
                     blocks.append(re.sub(r"<[^>]+>", "", markup(k)))
                 elif type(k) is str:

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +47,31 @@ def test_text_after_the_marker_skips_what_is_inside_it():
     assert facts("<p>nothing</p>", marker="Technical data").after_marker() == []
 
 
+@pytest.mark.parametrize(
+    "part, fact",
+    [("<a ", "links"), ("<div class=a><p>t", "paras"), ("<h3>t</h3><p>x</p>", "sections")],
+)
+def test_reading_time_follows_the_length_of_the_page(part, fact):
+    def seconds(n):
+        began = time.process_time()
+        getattr(facts(part * n, classes=("a",)), fact)()
+        return time.process_time() - began
+
+    short = min(seconds(2000) for _ in range(3))
+    assert min(seconds(16000) for _ in range(3)) < 24 * short + 0.1  # a square would be 64 times
+
+
+def test_tags_left_open_at_the_end_are_text_and_an_open_comment_is_none():
+    f = facts("<p>a > b <a <a href=x")
+    assert [t for t, _ in f.paras()] == ["a > b <a <a href=x"] and f.links() == []
+    assert facts("<p>x</p>y <i <!-- z").body_text() == "x y <i "
+
+
+def test_ancestor_classes_are_given_once():
+    f = facts("<div class='a b'><div class=a><div class=c><p>t</p></div></div></div><p>u</p>", classes=("a", "b"))
+    assert [(t, sorted(anc)) for t, anc in f.paras()] == [("t", ["a", "b"]), ("u", [])]
+
+
 def test_nested_tables_show_their_rows_in_both():
     f = facts("<table><tr><td>o</td><td><table><tr><td>i</td><td>j</td></tr></table></td></tr></table>")
     assert f.tables() == [([], [["o", "i", "i", "j"], ["i", "j"]]), ([], [["i", "j"]])]

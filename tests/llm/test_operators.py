@@ -152,6 +152,35 @@ def test_main_text():
     assert main_text.main_text(plain) == ("long text here " * 9).strip() + " short end" or main_text.main_text(plain).endswith("short")
 
 
+@pytest.mark.parametrize("tag", ["article", "div"])
+@pytest.mark.parametrize(
+    "mark",
+    ['class="post comments-open"', 'class="content has-sidebar"', 'class="entry-content share-enabled"', 'title="a hidden gem"']
+    + ["data-t='The hidden city'", 'data-x="class=menu id=nav"', 'class="related-work commentary"', 'alt=" hidden"'],
+)
+def test_main_text_keeps_what_only_looks_like_an_aside(tag, mark):
+    page = f"<body><{tag} {mark}><p>the whole text</p></{tag}></body>"
+    assert main_text.main_text(page) == "the whole text"
+
+
+def test_main_text_reads_attributes_whole():
+    of = main_text.main_text
+    assert of('<article><div class="article-header"><h1>Title</h1></div><p>a <a title="Hidden costs">link</a></p></article>') == "Title a link"
+    body = "<p>the text of the page</p>"
+    for mark in ("class=sidebar", 'id="page-comments"', "class='x cookie-notice'", "hidden", "HIDDEN", 'style="color: red; display: none"'):
+        assert of(f"<article>{body}<div {mark}>not this</div></article>") == "the text of the page"
+        assert of(f"<div {mark}><article>{body}</article></div>") == "the text of the page"
+        assert of(f"<main><div {mark}><article {mark}>{body}</article></div></main>") == "the text of the page"
+        assert of(f"<article>{body}</article><div {mark}><article>teaser</article></div>") == "the text of the page"
+    assert of(f"<form id=all><article>{body}</article><form>") == "the text of the page"
+    assert of(f'<article>{body}<section><article class="comment">nice</article></section></article>') == "the text of the page"
+
+
+@pytest.mark.parametrize("piece", ["<div><article>", "<p a=' b=\" ", "<div class=nav><main>x</main>", "<a b                              "])
+def test_main_text_stays_linear(piece):
+    test_main_text_is_linear(piece)
+
+
 @pytest.mark.parametrize("piece", ["<a ", "<a title='", '<!--', "<p>x", "<div><p>x</p>", "<script>", "</b>", "<article>", "&amp;"])
 def test_main_text_is_linear(piece):
     import time

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfwright.llm.line_dedup import BATCHES, dedup_lines
 from shelfwright.llm.common import file_batches
 from shelfwright.llm.minhash_join import drop_near_duplicates
-from shelfwright.llm.mixing import mix
+from shelfwright.llm.mixing import mix, quality_labels
 from shelfwright.llm.packing import pack, tokenizer_path
 from shelfwright.llm.toxic_segments import fit, held_out, score
 from shelfwright.session import settle
@@ -39,8 +39,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it, as so many rows."""
-    mixed = mix(docs).where("copies > 0")
+    """Every document as often as the mix takes it, as so many rows; labelled quality weighs the draw."""
+    labels = quality_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    mixed = mix(docs, labels=labels).where("copies > 0")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 

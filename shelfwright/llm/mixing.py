@@ -70,25 +70,31 @@ def mix(
     id: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    labels: DataFrame | None = None,
 ) -> DataFrame:
     """``docs`` with size, source_size, target, copies and taken = copies * size.
 
     Sources by code point, null last as a source of its own, weigh ``weights`` in turn. A key's
-    weight is 1 plus ``quality``, between 0 and 1; by default it is taken from the text. ``copies`` is how often the mix takes the document: the complete
-    epochs, plus one if its key is not above the source's cut. The document on which the budget
-    ends is taken if that comes nearer to the target. Rows without words are never drawn; rows
+    weight is 1 plus the mean quality that ``labels`` (id, quality; any number of rows per id) gives
+    the document, or else ``quality``, both between 0 and 1; by default that is taken from the text.
+    ``copies`` is how often the mix takes the document: the complete epochs, plus one if its key is
+    not above the source's cut. The document on which the budget ends is taken if that comes nearer to the target. Rows without words are never drawn; rows
     equal in id and text share their fate, and null ids share one draw. No row is dropped.
 
     Nothing wide is shuffled: sums per source and bucket, then one cut per source, broadcast if
-    counted to be few.
+    counted to be few. Labels are averaged first and broadcast likewise; more labelled documents
+    than that cost one shuffle of the rows.
     """
     row = docs.select(packed(docs))
     field = {c: F.col(f"__row.`{c}`") for c in (id, text, source)}
     src = F.concat(F.when(field[source].isNull(), "1").otherwise("0"), F.coalesce(field[source], F.lit("")))
     row = row.withColumns({"src": src, "size": word_count(field[text]), "u": uniform(field[id]), "id": field[id]})
     row = row.withColumn("grade", readable(field[text]) if quality is None else F.coalesce(quality, F.lit(0.5)))
-    key = -F.log("u") / (F.col("grade") + 1)
-    row = row.withColumn("key", key).withColumn("tie", F.xxhash64("id", field[text]))
+    row = row.withColumn("tie", F.xxhash64("id", field[text]))
+    if labels is not None:
+        mean = labels.groupBy("id").agg(F.avg("quality").alias("labelled")).where("labelled IS NOT NULL")
+        row = row.join(counted_broadcast(settle(mean)), "id", "left").withColumn("grade", F.coalesce("labelled", "grade"))
+    row = row.withColumn("key", -F.log("u") / (F.col("grade") + 1))
     row = row.withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * BUCKETS))
 
     narrow = settle(row.select("src", "size", "key", "tie", "bucket"))
@@ -131,6 +137,10 @@ def mix(
     return out.select(*unpacked(docs.columns, new))
 
 
+def quality_labels(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("doc_id").alias("id"), "quality")
+
+
 SQL_MIX = """
 z AS (SELECT doc_id, source, CASE WHEN length("text") > 0 THEN greatest(0.0::DOUBLE,
              1 - 5.0::DOUBLE * (length("text") - length(translate("text", '#$%&*+/<=>@[]^_`{{|}}~', ''))) / length("text")) ELSE 0.5::DOUBLE END q, len(regexp_extract_all(coalesce("text", ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT size FROM {docs}),

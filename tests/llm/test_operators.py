@@ -259,6 +259,69 @@ def test_mixing_on_odd_rows(spark):
     assert mixing.mix(odd_docs(spark).limit(0)).count() == 0
 
 
+def plain_mix(docs, grades):
+    """Copies of every row (id, text, source) by the definition, one source at a time."""
+    import hashlib
+
+    sources = sorted({r[2] for r in docs})
+    size = {s: sum(len(words(t)) for _, t, x in docs if x == s) for s in sources}
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sources)}
+    target, free = {}, set(sources)
+    while free:
+        level = (1.5 * sum(size.values()) - sum(target.values())) / sum(weight[s] for s in free)
+        full = {s for s in free if weight[s] * level > 2 * size[s]}
+        target |= {s: 2 * size[s] for s in full} if full else {s: weight[s] * level for s in free}
+        free = free - full if full else set()
+    copies = {}
+    for s in sources:
+        epochs, before = int(target[s] // size[s]), 0
+        rest, keyed = target[s] - epochs * size[s], []
+        for d, t, x in docs:
+            if x == s:
+                u = (int(hashlib.md5(str(d).encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+                keyed.append((-math.log(u) / (1 + grades(d, t)), d, len(words(t))))
+        for _, d, n in sorted(keyed):
+            copies[d] = (epochs + (rest > 0 and before + n / 2 <= rest)) if n else 0
+            before += n
+    return copies
+
+
+def test_mixing_uses_labelled_quality(spark, monkeypatch):
+    """Known bad documents without a symbol weigh less than known good ones full of them."""
+    from shelfwright.llm import common
+
+    labels = [(d, q) for d in range(0, 300, 2) for q in ([d // 2 % 2] if d % 4 else [0, 1, d // 4 % 2])] + [(7, None), (None, 1)]
+    docs = [(d, " ".join(["#$%" if d % 3 else "word"] * (d % 7 + 1)), "abc"[d % 3 % 2]) for d in range(300)]
+    known = defaultdict(list)
+    for d, q in labels:
+        if q is not None:
+            known[d].append(q)
+
+    def grade(d, t):
+        return np.mean(known[d]) if d in known else max(0.0, 1 - 5 * sum(c in mixing.SYMBOLS for c in t) / len(t))
+
+    known.pop(None)
+    want = plain_mix(docs, grade)
+    assert want != plain_mix(docs, lambda d, t: grade(None, t))
+    table, given = spark.createDataFrame(docs, "doc_id long, text string, source string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    given = mixing.quality_labels(given)
+    assert {r.doc_id: r.copies for r in mixing.mix(table, labels=given).collect()} == want
+    monkeypatch.setattr(mixing, "counted_broadcast", lambda df: common.counted_broadcast(df, 20))
+    assert {r.doc_id: r.copies for r in mixing.mix(table, labels=given).collect()} == want
+
+
+def test_pipeline_mixing_uses_the_labels(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    known = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    rows = [(r.doc_id, r.text or "", r.source) for r in docs.collect()]
+
+    def grade(d, t):
+        return known[d] if d in known else max(0.0, 1 - 5 * sum(c in mixing.SYMBOLS for c in t) / len(t)) if t else 0.5
+
+    got = Counter(r.doc_id for r in corpus_pipeline.mixing(spark, docs, FOLDER).collect())
+    assert got == {d: n for d, n in plain_mix(rows, grade).items() if n}
+
+
 def test_hypergeometric_law():
     import random
 

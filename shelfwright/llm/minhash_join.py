@@ -189,13 +189,14 @@ def _collisions(a: str, b: str) -> Column:
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id, kept, and r1, r2, the hash of its id and text.
+    """One row per row of ``docs``: id, n_shingles, component_id, kept, r1 and r2, the hash of its id and text, and root.
 
     Two documents link if their sets of distinct 5-word shingles have Jaccard similarity 0.75 or
     more; with fewer words the whole sequence is the one shingle; null texts and texts without
     words link with nothing and are their own component. component_id is the smallest id
     reachable. Rows without id link like all others but name no component; a component of such
-    rows only has a null id, and all of them are kept. Repeated rows have equal results.
+    rows only has a null id, and all of them are kept. Repeated rows have equal results. root numbers
+    the components, null where a text has no words.
 
     Documents with equal sets are one class, joined once. Classes that collide enough with the
     pivot of a list they share form herds; a herd's members meet in blocks inside a task, except
@@ -247,7 +248,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     member = classes.select("n", "s1", "s2", "node", "id")
     member = member.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = member.groupBy("root").agg(F.min("id").alias("component_id"))
-    member = member.join(smallest, "root").select("n", "s1", "s2", "component_id")
+    member = member.join(smallest, "root").select("n", "s1", "s2", "component_id", "root")
     out = signed.select("id", "n", "s1", "s2", "r1", "r2").join(member, ["n", "s1", "s2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(
@@ -257,15 +258,30 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         F.col("id").eqNullSafe(component).alias("kept"),
         "r1",
         "r2",
+        "root",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``near_duplicates`` does not keep; all columns as they are."""
-    gone = settle(near_duplicates(docs, id, text).where(~F.col("kept")).select("r1", "r2").distinct())
+    """One row of each component of ``near_duplicates``, and every row without words; all columns as they are.
+
+    The row with the smallest id stays; rows without id come after all others, equal ids are told
+    apart by the hash of the text, and of rows equal in id and text the smallest whole row stays.
+    """
+    found = near_duplicates(docs, id, text).select(F.col(f"`{id}`").alias("id"), "r1", "r2", "root").where("root IS NOT NULL")
+    per = settle(found.groupBy("root", "r1", "r2").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "r1", "r2")
+    best = per.groupBy("root").agg(F.min(order).alias("best"), F.sum("copies").alias("rows")).where("rows > 1").drop("rows")
+    per = per.join(best, "root").withColumn("first", (F.col("r1") == F.col("best.r1")) & (F.col("r2") == F.col("best.r2")))
+    gone = settle(per.where("NOT first OR copies > 1").select("r1", "r2", "first"))
     r1, r2 = hash_pair(F.col(f"__row.`{id}`"), F.col(f"__row.`{text}`"))
     rows = docs.select(packed(docs)).withColumns({"r1": r1, "r2": r2})
-    return rows.join(counted_broadcast(gone), ["r1", "r2"], "left_anti").select(*unpacked(docs.columns, {}))
+    kept = rows.join(counted_broadcast(gone.drop("first")), ["r1", "r2"], "left_anti").select("__row")
+    repeated = gone.where("first").drop("first")
+    if not repeated.isEmpty():
+        again = rows.join(counted_broadcast(repeated), ["r1", "r2"], "left_semi")
+        kept = kept.union(again.groupBy("r1", "r2").agg(F.min("__row").alias("__row")).select("__row"))
+    return kept.select(*unpacked(docs.columns, {}))
 
 
 def _apart(flat: DataFrame, roots: DataFrame) -> DataFrame:

@@ -396,6 +396,21 @@ def test_herds_lose_no_link(spark):
     assert minhash_join.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = " and more".join([a, ""])
+    rows = [(1, a, "y"), (1, a, "x"), (1, a, "x"), (1, near, "z"), (2, a, "x"), (None, near, "n")]
+    rows += [(None, b, "x"), (None, b, "y"), (None, b + " end", "x"), (9, c, "x"), (None, c, "x"), (5, c, None)]
+    rows += [(None, "", "x"), (None, None, "x"), (7, " ", "x"), (7, " ", "x"), (8, "on its own", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = [tuple(r) for r in minhash_join.drop_near_duplicates(df).collect()]
+    groups = Counter(next((k for k, x in zip("abc", (a, b, c)) if t and t.startswith(x)), t) for _, t, _ in out)
+    assert groups == {"a": 1, "b": 1, "c": 1, "": 1, None: 1, " ": 2, "on its own": 1}
+    assert [d for d, t, _ in out if t and t.startswith("a")] == [1] and (5, c, None) in out
+    assert set(out) <= set(rows) and ((1, a, "x") in out or (1, near, "z") in out)
+    assert minhash_join.drop_near_duplicates(df.limit(0)).count() == 0
+
+
 @settings(deadline=None, max_examples=300)
 @given(st.lists(st.integers(-6, 6), max_size=14))
 def test_segments_are_the_maximal_ones(weights):

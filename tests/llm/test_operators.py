@@ -459,6 +459,42 @@ def test_language_model_scores(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("kept", [None, 600])
+def test_language_model_against_a_plain_loop(spark, monkeypatch, kept):
+    """Every text word by word from the same parameters; with few counts kept, most words meet theirs in the join."""
+    lb = log_bilinear
+    if kept:
+        monkeypatch.setattr(lb, "COUNTS", kept)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(1000, "never seen zzyx, never qqxj"), (1001, None)], "doc_id long, text string"))
+    r1, r2 = lb.hash_pair(F.col("doc_id"), F.col("text"))
+    rows = docs.select("doc_id", "text", r1.alias("r1"), r2.alias("r2"))
+    model, counts = lb.train(rows.where("doc_id % 5 > 0 AND doc_id < 1000"), F.col("doc_id"))
+    got = {(r.r1, r.r2): r for r in lb.score(rows, model, counts).collect()}
+    given = rows.collect()
+    n = Counter(w for r in given if r.doc_id % 5 and r.doc_id < 1000 for w in map(str.encode, map(lower, words(r.text))))
+    own = {w: i for i, w in enumerate(model.frequent)}
+    of = {w: own.get(w, lb.ending_class(w)) for w in n}
+    assert len(n) > 2 * len(model.counts) if kept else len(model.counts) == len(n) + 1
+    mass = Counter()
+    for w, c in of.items():
+        mass[c] += n[w] + lb.SMOOTH
+    first, p = {}, model.p
+    for r in given:
+        one, two, total, base = lb.START, lb.START, 0.0, 0.0
+        for w in [*map(str.encode, map(lower, words(r.text))), None]:
+            c = lb.END if w is None else own.get(w, lb.ending_class(w))
+            if (one, two) not in first:
+                s = (p.r[one] * p.c[0] + p.r[two] * p.c[1]) @ p.q.T + p.b
+                first[one, two] = s - s.max() - math.log(np.exp(s - s.max()).sum())
+            total += first[one, two][c] / math.log(10)
+            if w is not None and c >= lb.WORDS:
+                total += math.log10((n[w] + lb.SMOOTH) / (mass[c] + lb.SMOOTH))
+            one, two = c, one
+        assert got[r.r1, r.r2].score == pytest.approx(total, rel=1e-5, abs=1e-3)
+        assert got[r.r1, r.r2].n_known == sum(w in n for w in map(str.encode, map(lower, words(r.text)))) + 1
+
+
 def test_language_model_is_normalised_and_odd_rows(spark):
     docs = odd_docs(spark)
     model, counts = log_bilinear.train(docs.select("text"), F.coalesce("doc_id", F.lit(0)))

@@ -23,4 +23,5 @@ MODULES = [
     "sharding",
     "minhash_join",
     "toxic_segments",
+    "merkle_manifest",
 ]

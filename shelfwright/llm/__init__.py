@@ -24,4 +24,5 @@ MODULES = [
     "minhash_join",
     "toxic_segments",
     "merkle_manifest",
+    "token_alignment",
 ]

@@ -235,8 +235,10 @@ def merged_counts(runs: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndar
             if cut:
                 taken.append((keys[:cut], links[:cut]))
                 held[run] = keys[cut:], links[cut:]
+        done = []
         while heap and heap[0][0] <= limit:
-            _, run = heapq.heappop(heap)
+            done.append(heapq.heappop(heap)[1])
+        for run in done:
             del held[run]
             load(run)
         keys, links = (np.concatenate(x) for x in zip(*taken))

@@ -240,7 +240,7 @@ def manifest(docs: DataFrame) -> DataFrame:
     for s in (*steps, *top_steps[1:]):
         nodes = nodes.unionByName(s.select(*names).withColumn("sub", F.lit(None).cast("binary")))
     nodes = settle(nodes)
-    height = len(steps) + len(top_steps)
+    height = len(steps) + len(top_steps) + 1  # one more, to learn the subroot where it is the root
     paths = _jump(nodes, height, RUN * 32).where(f"level = 1 and tree <> {TOP}").select("tree", "idx", "path", "sub")
 
     met = first.join(paths, ["tree", "idx"])

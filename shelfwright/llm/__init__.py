@@ -25,4 +25,5 @@ MODULES = [
     "toxic_segments",
     "merkle_manifest",
     "token_alignment",
+    "language_id",
 ]

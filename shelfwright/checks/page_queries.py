@@ -13,7 +13,7 @@ from shelfwright.operators import extract as X
 from shelfwright.operators import links as L
 from shelfwright.operators.page_facts import page_facts
 from shelfwright.plans.catalogue import extract_a, products_from_pages
-from shelfwright.plans.site_profiles import A_TABLE_CLASSES, SITE_A, SITE_B
+from shelfwright.plans.site_profiles import SITE_A, SITE_B
 
 def _url():
     return F.col("url")
@@ -187,8 +187,8 @@ _TABLE_SPECS = (
 
 @query("specs_table", _TABLE_SPECS)
 def specs_table(spark, d):
-    facts = _part_facts(spark, d, _TABLE_PAGE.replace("CAST(p_retailprice AS BIGINT)", _whole("p_retailprice")), ["tables"])
-    return _spec_rows(facts, X.last_wins(X.specs_from_tables(clean_strict, A_TABLE_CLASSES)))
+    facts = _part_facts(spark, d, _TABLE_PAGE.replace("CAST(p_retailprice AS BIGINT)", _whole("p_retailprice")), ["rows"], SITE_A.watch())
+    return _spec_rows(facts, X.specs_map(X.specs_from_tables(clean_strict)))
 
 
 def _whole(c):
@@ -201,8 +201,8 @@ def _whole(c):
     _TABLE_SPECS + " UNION ALL SELECT p_partkey, 'hidden', 'not here' FROM part",
 )
 def specs_table_b(spark, d):
-    facts = _part_facts(spark, d, _TABLE_PAGE.replace("CAST(p_retailprice AS BIGINT)", _whole("p_retailprice")), ["tables"])
-    return _spec_rows(facts, X.last_wins(X.specs_from_tables(clean_tags)))
+    facts = _part_facts(spark, d, _TABLE_PAGE.replace("CAST(p_retailprice AS BIGINT)", _whole("p_retailprice")), ["rows"], SITE_B.watch())
+    return _spec_rows(facts, X.specs_map(X.specs_from_tables(clean_tags)))
 
 
 _LIST_PAGE = (
@@ -217,7 +217,7 @@ _LIST_PAGE = (
     "SELECT p_partkey, 'ratio', concat('1:', p_size) FROM part UNION ALL SELECT p_partkey, 'type kind', p_type FROM part",
 )
 def specs_list(spark, d):
-    facts = _part_facts(spark, d, _LIST_PAGE, ["tables", "items", "after_marker"], SITE_A.watch())
+    facts = _part_facts(spark, d, _LIST_PAGE, ["rows", "items", "elements", "strings"], SITE_A.watch())
     return _spec_rows(facts, X.specs_a())
 
 
@@ -234,7 +234,7 @@ _TEXT_PAGE = (
     "SELECT p_partkey, 'max load', p_type FROM part UNION ALL SELECT p_partkey, 'brand', p_brand FROM part",
 )
 def specs_text(spark, d):
-    facts = _part_facts(spark, d, _TEXT_PAGE, ["tables", "items", "after_marker"], SITE_A.watch())
+    facts = _part_facts(spark, d, _TEXT_PAGE, ["rows", "items", "elements", "strings"], SITE_A.watch())
     return _spec_rows(facts, X.specs_a())
 
 
@@ -252,7 +252,7 @@ _HEADING_PAGE = (
     "SELECT p_partkey, 'packaging_size', concat(p_size, ' kg') FROM part UNION ALL SELECT p_partkey, 'density', '1.4' FROM part",
 )
 def specs_heading(spark, d):
-    return _spec_rows(_part_facts(spark, d, _HEADING_PAGE, ["tables", "sections"]), X.specs_b())
+    return _spec_rows(_part_facts(spark, d, _HEADING_PAGE, ["rows", "kin", "plain"], SITE_B.watch()), X.specs_b())
 
 
 @query(
@@ -265,7 +265,7 @@ def specs_json(spark, d):
         "CASE WHEN p_partkey % 6 = 0 THEN '<p>none</p>' ELSE concat('<table class=data-table><tr><td>Brand<td>', "
         "p_brand, '<tr><td>Type<td>', p_type, '</table>') END"
     )
-    facts = _part_facts(spark, d, html, ["tables", "items", "after_marker"], SITE_A.watch())
+    facts = _part_facts(spark, d, html, ["rows", "items", "elements", "strings"], SITE_A.watch())
     return facts.select("page_id", X.specs_to_json(X.specs_a()).alias("technical_specs"))
 
 
@@ -508,7 +508,7 @@ def subcategory_crumb(spark, d):
         "CASE WHEN p_partkey % 3 = 0 THEN '' ELSE concat('<li><a href=\"/b\">', p_brand, '</a>') END, "
         "'</ul><ul><li><a href=\"/o\">outside</a></ul>')"
     )
-    return _part_facts(spark, d, html, ["crumbs"]).select("page_id", X.subcategory_breadcrumb(SITE_A.crumb_stop).alias("crumb"))
+    return _part_facts(spark, d, html, ["elements"], SITE_A.watch()).select("page_id", X.subcategory_breadcrumb(SITE_A.crumb_stop).alias("crumb"))
 
 
 # ---- variants and whole pages -----------------------------------------------------------
@@ -525,11 +525,11 @@ _VARIANT_PAGE = (
 _VARIANT_URL = "concat('https://www.flex-tools.com/en/products/saws/s-', p_partkey)"
 
 
-def _variants(spark, d):
+def _variants(spark, d, columns):
     pages = table(spark, d, "part").selectExpr(
         "p_partkey AS page_id", f"{_VARIANT_URL} AS url", f"{_VARIANT_PAGE} AS html"
     )
-    return extract_a(pages)
+    return extract_a(pages, columns=columns)
 
 
 @query(
@@ -546,7 +546,8 @@ def variants(spark, d):
         F.array_sort(F.map_entries("specs")),
         lambda e: F.concat(e["key"], F.lit("="), F.when(e["key"] == "brand", F.lower(e["value"])).otherwise(e["value"])),
     )
-    return _variants(spark, d).select("page_id", "model_number", F.array_join(pairs, ";").alias("specs"))
+    rows = _variants(spark, d, ["page_id", "model_number", "specs"])
+    return rows.select("page_id", "model_number", F.array_join(pairs, ";").alias("specs"))
 
 
 @query(
@@ -557,7 +558,7 @@ def variants(spark, d):
     "WHERE p_partkey % 3 = 1",
 )
 def variant_name(spark, d):
-    return _variants(spark, d).select("page_id", "model_number", "product_name")
+    return _variants(spark, d, ["page_id", "model_number", "product_name"])
 
 
 @query(

@@ -2,11 +2,17 @@
 
 This is the only per-page Python code. Everything that decides anything about a page is a
 Column expression over these facts.
+
+Elements and texts are numbered in document order; an element's interval ``[pre, last]`` holds
+the numbers of all below it, so "inside", "below" and "after" are comparisons of numbers. Of the
+elements around a node that match a watched mark, ``outer`` and ``inner`` give the number of the
+outermost and the innermost.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html import escape, unescape
 
 _TOKEN = re.compile(
@@ -18,6 +24,8 @@ _TOKEN = re.compile(
 )
 _OPEN_COMMENT = re.compile(r"<!--(.*)\Z", re.S)
 _HEADING = re.compile(r"h\d")
+_MARKUP = re.compile(r"<[^>]+>")
+_VISIBLE = re.compile(r"\S")
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _CLASS = re.compile("class", re.I)
 _NO_ATTRS: dict = {}
@@ -50,7 +58,7 @@ _RANK |= {"table": 190, "head": 200, "body": 200, "html": 220}
 
 
 class Node:
-    __slots__ = ("tag", "src", "parent", "kids", "_attrs", "_classes")
+    __slots__ = ("tag", "src", "parent", "kids", "_attrs", "_classes", "pre", "last")
 
     def __init__(self, tag, src, parent):
         self.tag, self.src, self.parent = tag, src, parent
@@ -179,28 +187,11 @@ def own_text(node: Node):
     return next((k for k in node.kids if type(k) is str), None)
 
 
-def inside(node: Node, test, within: Node | None = None) -> bool:
-    """True if an ancestor passes the test; with ``within``, only those below that element."""
-    n = node.parent
-    while n is not within:
-        if test(n):
-            return True
-        n = n.parent
-    return False
-
-
-def below(node: Node, tags):
-    """Elements below ``node`` whose tag is in ``tags``, in document order."""
-    stack = [iter(node.kids)]
-    while stack:
-        for kid in stack[-1]:
-            if type(kid) is Node:
-                if kid.tag in tags:
-                    yield kid
-                stack.append(iter(kid.kids))
-                break
-        else:
-            stack.pop()
+def _written(k) -> str:
+    """A comment, or an element whose content is no markup, as text."""
+    if type(k) is bytes:
+        return f"<!--{k.decode('utf-8', 'replace')}-->"
+    return f"<{k.tag}>{''.join(x for x in k.kids if type(x) is str)}</{k.tag}>"
 
 
 def markup(node: Node) -> str:
@@ -226,16 +217,51 @@ def markup(node: Node) -> str:
     return "".join(out)
 
 
+#: Marks every page is read with.
+MARKS = {"table": ("table",), "thead": ("thead",), "tbody": ("tbody",), "li": ("li",), "trail": (".breadcrumb", ".breadcrumbs")}
+
+
+class Selectors:
+    """Named sets of simple selectors ``tag``, ``.class`` or ``tag.class``; says which names an element matches."""
+
+    def __init__(self, named: dict[str, tuple]):
+        self.names = tuple(named)
+        self.tags: dict[str, list] = {}
+        self.classes: dict[str, list] = {}
+        for i, selectors in enumerate(named.values()):
+            for s in selectors:
+                tag, _, cls = s.partition(".")
+                if cls:
+                    self.classes.setdefault(cls, []).append((tag, i))
+                else:
+                    self.tags.setdefault(tag, []).append(i)
+
+    def of(self, node: Node) -> list[int]:
+        found = list(self.tags.get(node.tag, ()))
+        if self.classes and node.src:
+            for c in node.classes:
+                found += [i for tag, i in self.classes.get(c, ()) if not tag or tag == node.tag]
+        return found
+
+
 class Watch:
-    """Which class names, ids and marker text the facts of a site refer to."""
+    """Which class names, ids, marks and marker text the facts of a site refer to.
 
-    def __init__(self, classes=(), marked=(), marker="", look_ahead=20, variant_tables=()):
+    ``marks`` are named selectors for ``outer`` and ``inner``; ``listed`` are pairs of a selector
+    and a mark that must be around the element (or None); rows with one of ``whole_rows`` list all
+    of their cells, others the first two; ``kin`` are the tags whose siblings are listed.
+    """
+
+    def __init__(self, classes=(), marked=(), marker="", marks=None, listed=(), whole_rows=(), kin=("h3",)):
         self.classes = frozenset(classes)
         self.ids = any(c.startswith("#") for c in self.classes)
         self.marked = tuple(marked)  # (key, class, ancestor class or None)
         self.marker = marker
-        self.look_ahead = look_ahead
-        self.variant_tables = frozenset(variant_tables)
+        self.marks = Selectors({**MARKS, **(marks or {})})
+        self.listed = tuple(listed)
+        self.listing = Selectors({str(i): (selector,) for i, (selector, _) in enumerate(self.listed)})
+        self.whole_rows = frozenset(whole_rows)
+        self.kin = tuple(kin)
 
 
 class PageFacts:
@@ -247,6 +273,13 @@ class PageFacts:
         self.by_tag: dict[str, list[Node]] = {}
         self.classed: list[Node] = []
         self._watched: dict[Node | None, tuple] = {None: ()}
+        nothing = (None,) * len(watch.marks.names)
+        self._marks: dict[Node | None, tuple] = {None: (nothing, nothing)}
+        self._order: dict[Node, dict] = {}
+        self._places: list | None = None
+        self._strings: list = []
+        self._plain: str | None = None
+        self._span: dict[Node, tuple] = {}
         for n in self.nodes:
             self.by_tag.setdefault(n.tag, []).append(n)
             if n.src and n.classes:
@@ -309,123 +342,192 @@ class PageFacts:
             for i, n in enumerate(a for a in self._all("a") if "href" in a.attrs)
         ]
 
-    def crumbs(self):
-        def trail(n):
-            return "breadcrumb" in n.classes or "breadcrumbs" in n.classes
-
-        return [
-            k
-            for n in self._all("a")
-            if inside(n, lambda x: x.tag == "li" and inside(x, trail))
-            for k in n.kids
-            if type(k) is str
-        ]
-
     def images(self):
         return [(n.attrs["src"], n.classes, self._anc(n)) for n in self._all("img") if "src" in n.attrs]
 
-    def tables(self):
-        return [
-            (t.classes, [[first_text(c) for c in below(r, ("td", "th"))] for r in below(t, ("tr",))])
-            for t in self._all("table")
-        ]
-
     def items(self):
         found = ((first_text(n), self._anc(n)) for n in self._all("li"))
         return [(text, anc) for text, anc in found if anc]
 
+    def _inside(self, node: Node, cls: str) -> bool:
+        n = node.parent
+        while n is not None and cls not in n.classes:
+            n = n.parent
+        return n is not None
+
     def marked(self):
         out = {}
         for key, cls, outer in self.watch.marked:
             for n in self.classed:
-                if cls in n.classes and (outer is None or inside(n, lambda x: outer in x.classes)):
+                if cls in n.classes and (outer is None or self._inside(n, outer)):
                     own, whole = out.get(key, (None, None))
                     out[key] = (own_text(n) if own is None else own, markup(n) if whole is None else whole)
         return list(out.items())
 
-    def sections(self):
-        out, places = [], {}
-        for n in self._all("h3"):
-            sibs = n.parent.kids
-            if n.parent not in places:
-                places[n.parent] = {k: i for i, k in enumerate(sibs) if type(k) is Node}
-            blocks = []
-            for i in range(places[n.parent][n] + 1, len(sibs)):
-                k = sibs[i]
-                if type(k) is Node:
-                    if _HEADING.match(k.tag):
-                        break
-                    blocks.append(re.sub(r"<[^>]+>", "", markup(k)))
-                elif type(k) is str:
-                    blocks.append(re.sub(r"<[^>]+>", "", k))
-            out.append((first_text(n), blocks))
-        return out
+    def classes(self):
+        seen = {c for n in self.classed for c in n.classes}
+        return sorted(seen & self.watch.classes)
 
-    def after_marker(self):
-        """Text nodes that follow the first element whose own first text holds the marker."""
-        mark, ahead = self.watch.marker, self.watch.look_ahead
-        if not mark:
-            return []
-        hits = [n for n in self.nodes if mark in (own_text(n) or "")]
-        best: list[str] = []
-        if not hits:
-            return best
-        # in document order the texts after an element are those left once it has closed
-        open_, done = {id(n) for n in hits}, False
+    # ---- numbered nodes -----------------------------------------------------------------
+
+    def _number(self):
+        """Numbers elements and texts in document order, once."""
+        if self._places is not None:
+            return
+        self._places, self._strings = [], []
+        at, self.root.pre = 0, 0
         stack = [(self.root, iter(self.root.kids))]
-        while stack and len(best) < ahead:
+        while stack:
             node, kids = stack[-1]
             for k in kids:
-                if type(k) is str:
-                    if done:
-                        best.append(k)
-                        if len(best) >= ahead:
-                            break
-                elif type(k) is Node:
+                kind = type(k)
+                if kind is str:
+                    at += 1
+                    self._places.append(at)
+                    self._strings.append(k)
+                elif kind is Node:
+                    at += 1
+                    k.pre = at
                     stack.append((k, iter(k.kids)))
                     break
             else:
+                node.last = at
                 stack.pop()
-                if id(node) in open_:
-                    done = True
-        return best
 
-    def classes(self):
-        seen = {c for n in self.classed for c in n.classes}
-        return sorted(seen & self.watch.classes)
+    def _text(self, node: Node) -> str:
+        """The first text at or below the element, found by its number."""
+        i = bisect_left(self._places, node.pre)
+        return self._strings[i] if i < len(self._places) and self._places[i] <= node.last else ""
 
-    def variants(self):
-        """(headers, rows) over the page's variant tables, None without one."""
-        tables = [n for n in self.classed if self.watch.variant_tables.intersection(n.classes)]
-        if not tables:
-            return None
-        heads, rows = [], []
-        for t in tables:
-            for th in below(t, ("th",)):
-                if inside(th, lambda x: x.tag == "thead", t):
-                    heads.extend(k for k in th.kids if type(k) is str)
-            for tr in below(t, ("tr",)):
-                if "row-variant" in tr.classes and inside(tr, lambda x: x.tag == "tbody", t):
-                    rows.append(self._variant_row(tr))
-        return heads, rows
-
-    @staticmethod
-    def _variant_row(tr: Node):
-        cells = list(below(tr, ("td",)))
-        article = None
-        todo = [k for k in reversed(tr.kids) if type(k) is Node]
-        while todo and article is None:
-            n = todo.pop()
-            if "column-article-number" in n.classes:
-                article = own_text(n)
-            todo.extend(k for k in reversed(n.kids) if type(k) is Node)
-        second = None
-        for c in cells:
-            place = [k for k in c.parent.kids if type(k) is Node]
-            if len(place) > 1 and place[1] is c and own_text(c) is not None:
-                second = own_text(c)
-                break
-        return article, second, [first_text(c) for c in cells]
+    def _around(self, node: Node):
+        """(outer, inner) over the marks, each a tuple of numbers or None, of the elements around ``node``."""
+        known, path, n = self._marks, [], node.parent
+        while n not in known:
+            path.append(n)
+            n = n.parent
+        out = known[n]
+        for n in reversed(path):
+            hits = self.watch.marks.of(n)
+            if hits:
+                outer, inner = map(list, out)
+                for i in hits:
+                    outer[i] = n.pre if outer[i] is None else outer[i]
+                    inner[i] = n.pre
+                out = tuple(outer), tuple(inner)
+            known[n] = out
+        return out
+
+    def _listed(self, node: Node) -> bool:
+        for i in self.watch.listing.of(node):
+            mark = self.watch.listed[i][1]
+            if mark is None or self._around(node)[0][self.watch.marks.names.index(mark)] is not None:
+                return True
+        return bool(self.watch.marker) and self.watch.marker in (own_text(node) or "")
+
+    def elements(self):
+        """The listed elements, and those whose own first text holds the marker."""
+        self._number()
+        return [
+            (n.tag, n.pre, n.last, n.classes, [k for k in n.kids if type(k) is str], *self._around(n))
+            for n in self.nodes
+            if self._listed(n)
+        ]
+
+    def strings(self):
+        """(number, text) of all texts from the first element on whose own first text holds the marker."""
+        mark = self.watch.marker
+        first = next((n for n in self.nodes if mark in (own_text(n) or "")), None) if mark else None
+        if first is None:
+            return []
+        self._number()
+        at = bisect_left(self._places, first.pre)
+        return list(zip(self._places[at:], self._strings[at:]))
+
+    def rows(self):
+        """Table rows with their cells, read in one pass: a cell goes to the rows open around it that still take cells."""
+        self._number()
+        whole, out, open_ = self.watch.whole_rows, [], []
+        for n in self.nodes:
+            if n.tag not in ("tr", "td", "th"):
+                continue
+            while open_ and open_[-1][0].last < n.pre:
+                open_.pop()
+            if n.tag == "tr":
+                cells: list = []
+                out.append((n.pre, n.last, n.classes, *self._around(n), cells))
+                open_.append((n, cells, bool(whole) and not whole.isdisjoint(n.classes)))
+            elif open_:
+                cell = (n.tag, self._nth(n), own_text(n), self._text(n))
+                for _, cells, _ in open_:
+                    cells.append(cell)
+                if any(len(cells) == 2 and not every for _, cells, every in open_):
+                    open_ = [o for o in open_ if o[2] or len(o[1]) < 2]
+        return out
+
+    def _nth(self, node: Node) -> int:
+        """Place among the element children of its parent, from 1."""
+        places = self._order.get(node.parent)
+        if places is None:
+            kids = (k for k in node.parent.kids if type(k) is Node)
+            places = self._order[node.parent] = {k: i for i, k in enumerate(kids, 1)}
+        return places[node]
+
+    def kin(self):
+        """Per parent of a watched tag its children in order: (tag, pre, head, start, size, blank, text).
+
+        Of an element, its place in ``plain``, and for a heading its first text; of a text, itself
+        without what looks like tags.
+        """
+        self._plain_text()
+        parents = dict.fromkeys(n.parent for n in self._all(*self.watch.kin))
+        out = []
+        for p in parents:
+            kids = []
+            for k in p.kids:
+                if type(k) is Node:
+                    start, size = self._span[k]
+                    head = self._text(k) if _HEADING.match(k.tag) else None
+                    kids.append((k.tag, k.pre, head, start, size, self._blank(start, size), None))
+                elif type(k) is str:
+                    text = _MARKUP.sub("", k)
+                    kids.append((None, None, None, 0, 0, not text.strip(), text))
+            out.append(kids)
+        return out
+
+    def plain(self):
+        """The page's markup as text without its tags: text escaped, scripts and comments as they are written."""
+        return self._plain_text()
+
+    def _blank(self, start: int, size: int) -> bool:
+        """Nothing but white space in that part of the plain text."""
+        m = _VISIBLE.search(self._plain, start, start + size)
+        return m is None
+
+    def _plain_text(self) -> str:
+        if self._plain is not None:
+            return self._plain
+        self._plain, self._span = "", {}
+        if not any(self.by_tag.get(t) for t in self.watch.kin):
+            return self._plain
+        self._number()
+        out, at = [], 0
+        stack = [(self.root, iter(self.root.kids), 0)]
+        while stack:
+            node, kids, start = stack[-1]
+            for k in kids:
+                if type(k) is Node and k.tag not in _RAW:
+                    stack.append((k, iter(k.kids if k.tag not in _VOID else ()), at))
+                    break
+                piece = escape(k, quote=False) if type(k) is str else _MARKUP.sub("", _written(k))
+                if type(k) is Node:
+                    self._span[k] = at, len(piece)
+                out.append(piece)
+                at += len(piece)
+            else:
+                self._span[node] = start, at - start
+                stack.pop()
+        self._plain = "".join(out)
+        return self._plain
 
     def body_text(self):
         """All text nodes but those of the head, one space between them."""

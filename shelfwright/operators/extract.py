@@ -57,19 +57,43 @@ def _filled(c: Column) -> Column:
 
 def last_wins(pairs: Column) -> Column:
     """Key/value pairs to a map: the last value of a key counts, keys in first-seen order."""
+    return let(in_order(pairs), _latest)
 
-    def build(p):
-        keys = F.array_distinct(F.transform(p, lambda x: x["key"]))
-        # of equal pairs only the last decides, which keeps the look-up short on repetitive tables
-        tail = F.reverse(F.array_distinct(F.reverse(p)))
 
-        def latest(t):
-            return F.transform(keys, lambda k: F.try_element_at(F.filter(t, lambda x: x["key"] == k), F.lit(-1))["value"])
+def _latest(pairs: Column) -> Column:
+    """Pairs with the place ``late`` their value counts from, in first-seen order, to a map.
 
-        values = F.when(F.size(keys) == F.size(p), F.transform(p, lambda x: x["value"])).otherwise(let(tail, latest))
-        return F.map_from_arrays(keys, values)
+    Only if a key repeats are they sorted, once by place seen and once by ``late`` within the key.
+    """
+    keys = F.transform(pairs, lambda x: x["key"])
+    plain = F.map_from_arrays(keys, F.transform(pairs, lambda x: x["value"]))
+    seen = F.array_sort(F.transform(pairs, lambda x, i: F.struct(x["key"].alias("key"), i.alias("at"))))
+    late = F.array_sort(
+        F.transform(
+            pairs,
+            lambda x, i: F.struct(x["key"].alias("key"), x["late"].alias("late"), i.alias("at"), x["value"].alias("value")),
+        )
+    )
+
+    def firsts(p):
+        return F.filter(p, lambda x, i: (i == 0) | (F.get(p, i - 1)["key"] != x["key"]))
 
-    return let(pairs, build)
+    def lasts(p):
+        return F.filter(p, lambda x, i: (i == F.size(p) - 1) | (F.get(p, i + 1)["key"] != x["key"]))
+
+    def merged(f, x):
+        return F.struct(f["at"].alias("at"), f["key"].alias("key"), x["value"].alias("value"))
+
+    both = F.array_sort(F.zip_with(let(seen, firsts), let(late, lasts), merged))
+    sorted_ = F.map_from_entries(F.transform(both, lambda x: F.struct(x["key"], x["value"])))
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), plain).otherwise(sorted_)
+
+
+def in_order(pairs: Column) -> Column:
+    """Pairs whose place is where they stand."""
+    return F.transform(
+        pairs, lambda x, i: F.struct(x["key"].alias("key"), x["value"].alias("value"), i.cast("bigint").alias("late"))
+    )
 
 
 def pairs_of(specs: Column) -> Column:
@@ -189,15 +213,41 @@ def short_description_b() -> Column:
 # ---- specifications -------------------------------------------------------------------
 
 
-def specs_from_tables(clean, classes=None) -> Column:
-    """Fact tables: first two cells of every row, both longer than two characters."""
-    tables = F.col("tables")
-    if classes:
-        tables = F.filter(tables, lambda t: F.arrays_overlap(t["classes"], _strings(classes)))
-    rows = F.filter(F.flatten(F.transform(tables, lambda t: t["rows"])), lambda r: F.size(r) >= 2)
-    raw = F.transform(rows, lambda r: _pair(strip(r[0]), strip(r[1])))
+def specs_from_tables(clean) -> Column:
+    """Fact rows: first two cells of every row inside a specification table, both longer than two characters.
+
+    Tables stand in the page's order, and the rows of a table inside another are read with both: a
+    row is first seen with the outermost of its tables, and its value counts last with the
+    innermost. So every row is taken once, its place ``late`` by the innermost table.
+    """
+    rows = F.filter("rows", lambda r: r["outer"]["specs"].isNotNull() & (F.size(r["cells"]) >= 2))
+    raw = F.transform(
+        rows,
+        lambda r: F.struct(
+            strip(r["cells"][0]["text"]).alias("key"),
+            strip(r["cells"][1]["text"]).alias("value"),
+            (r["inner"]["specs"].cast("bigint") * (1 << 31) + r["pre"]).alias("late"),
+        ),
+    )
     long_enough = F.filter(raw, lambda p: (F.length(p["key"]) > 2) & (F.length(p["value"]) > 2))
-    return _kept(F.transform(long_enough, lambda p: _pair(normalize_key(p["key"]), clean(p["value"]))))
+    return _kept(
+        F.transform(
+            long_enough,
+            lambda p: F.struct(normalize_key(p["key"]).alias("key"), clean(p["value"]).alias("value"), p["late"].alias("late")),
+        )
+    )
+
+
+def specs_map(*pairs: Column) -> Column:
+    """Lists of pairs to a map, keys in first-seen order; a later list counts over an earlier one."""
+
+    def placed(n, p):
+        def late(x):
+            return F.struct(F.lit(n).alias("part"), x["late"].alias("at"))
+
+        return F.transform(p, lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value"), late(x).alias("late")))
+
+    return let(F.concat(*[placed(n, p) for n, p in enumerate(pairs)]), _latest)
 
 
 def _kept(pairs: Column) -> Column:
@@ -215,10 +265,17 @@ def specs_from_lists(clean, classes=P.A_LIST_CLASSES) -> Column:
     return _kept(F.transform(F.transform(items, lambda i: strip(i["text"])), split))
 
 
+def after_marker(marker: str = P.A_SPEC_MARKER, ahead: int = P.A_LOOK_AHEAD) -> Column:
+    """Facts elements, strings: the texts after the first closed element whose own first text holds the marker."""
+    ends = F.transform(F.filter("elements", lambda n: F.get(n["own"], 0).contains(marker)), lambda n: n["last"])
+    after = let(F.array_min(ends), lambda end: F.filter("strings", lambda s: s["pre"] > end))
+    return F.transform(F.slice(after, 1, ahead), lambda s: s["text"])
+
+
 def specs_from_text(labels=P.A_TEXT_LABELS) -> Column:
-    """Fact after_marker: a text without digits is a key, the text after it the value."""
+    """Facts elements, strings: a text without digits is a key, the text after it the value."""
     texts = F.filter(
-        F.transform("after_marker", strip), lambda t: (t != "") & ~t.isin(*labels)
+        F.transform(after_marker(), strip), lambda t: (t != "") & ~t.isin(*labels)
     )
     start = F.struct(F.lit(None).cast("string").alias("key"), F.array().cast(PAIRS).alias("pairs"))
 
@@ -235,18 +292,50 @@ def specs_from_text(labels=P.A_TEXT_LABELS) -> Column:
     return F.aggregate(texts, start, step)["pairs"]
 
 
+def sections(tag: str = "h3") -> Column:
+    """Facts kin, plain: (pre, head, blocks) of every ``tag``; its blocks run to the next heading beside it.
+
+    The headings of one parent cut its children into slices, so no child is looked at twice.
+    """
+
+    def cut(kids):
+        heads = F.filter(
+            F.transform(kids, lambda k, i: F.struct(k["tag"].alias("tag"), k["pre"].alias("pre"), k["head"].alias("head"), i.alias("at"))),
+            lambda k: k["tag"].rlike("^h[0-9]"),
+        )
+
+        def blocks(hs):
+            def slice_(h, i):
+                end = F.coalesce(F.get(hs, i + 1)["at"], F.size(kids))
+                return F.struct(
+                    h["pre"].alias("pre"), h["tag"].alias("tag"), h["head"].alias("head"),
+                    F.slice(kids, h["at"] + 2, end - h["at"] - 1).alias("blocks"),
+                )
+
+            return F.filter(F.transform(hs, slice_), lambda h: h["tag"] == tag)
+
+        return let(heads, blocks)
+
+    return F.array_sort(F.flatten(F.transform("kin", cut)))
+
+
 def specs_from_headings(topics=P.B_SPEC_HEADINGS) -> Column:
-    """Fact sections: h3 with a topic word, value from its first two blocks of text."""
+    """Facts kin, plain: h3 with a topic word, value from its first two blocks of text."""
+
+    def text(block):
+        own = F.substring(F.col("plain"), block["start"] + 1, block["size"])
+        return strip(F.coalesce(block["text"], own))
+
+    told = F.filter(sections(), lambda s: holds_any(F.lower(strip(s["head"])), topics))
     heads = F.transform(
-        "sections",
+        told,
         lambda s: F.struct(
             F.lower(strip(s["head"])).alias("head"),
-            F.slice(F.filter(F.transform(s["blocks"], strip), lambda b: b != ""), 1, 2).alias("blocks"),
+            F.transform(F.slice(F.filter(s["blocks"], lambda b: ~b["blank"]), 1, 2), text).alias("blocks"),
         ),
     )
-    told = F.filter(heads, lambda h: holds_any(h["head"], topics) & (F.size(h["blocks"]) > 0))
     return F.transform(
-        told,
+        F.filter(heads, lambda h: F.size(h["blocks"]) > 0),
         lambda h: _pair(F.replace(normalize_key(h["head"]), F.lit(" "), F.lit("_")), F.array_join(h["blocks"], " ")),
     )
 
@@ -258,12 +347,12 @@ def specs_a() -> Column:
         return let(pairs, lambda p: F.when(F.size(p) > 0, p).otherwise(other))
 
     lists = or_else(specs_from_lists(clean_strict), specs_from_text())
-    return last_wins(or_else(specs_from_tables(clean_strict, P.A_TABLE_CLASSES), lists))
+    return specs_map(or_else(specs_from_tables(clean_strict), in_order(lists)))
 
 
 def specs_b() -> Column:
     """Tables with headings merged over them."""
-    return last_wins(F.concat(specs_from_tables(clean_tags), specs_from_headings()))
+    return specs_map(specs_from_tables(clean_tags), in_order(specs_from_headings()))
 
 
 def specs_to_json(specs: Column) -> Column:
@@ -448,9 +537,15 @@ def subcategory_b(url: Column, root: str = P.SITE_B.url_root, stop=P.SITE_B.url_
     return F.when(url.contains(root), _as_title(F.get(folders, 1)))
 
 
+def crumbs() -> Column:
+    """Fact elements: the own texts of links in a list item that is inside a trail."""
+    inside = F.filter("elements", lambda n: (n["tag"] == "a") & (n["outer"]["trail"] < n["inner"]["li"]))
+    return F.flatten(F.transform(inside, lambda n: n["own"]))
+
+
 def subcategory_breadcrumb(stop) -> Column:
-    """Fact crumbs: the second one that is no stop word."""
-    named = F.filter(F.transform("crumbs", strip), lambda b: (b != "") & ~F.lower(b).isin(*stop))
+    """Fact elements: the second crumb that is no stop word."""
+    named = F.filter(F.transform(crumbs(), strip), lambda b: (b != "") & ~F.lower(b).isin(*stop))
     return F.get(named, 1)
 
 
@@ -464,11 +559,47 @@ def variant_name(name: Column, specs: Column, words=P.A_VARIANT_WORDS) -> Column
     return F.when(F.size(told) > 0, F.concat(name, F.lit(" ("), joined, F.lit(")"))).otherwise(name)
 
 
+def variant_rows(profile: P.SiteProfile = P.SITE_A) -> Column:
+    """Facts elements, rows: headers and rows (article, second, cells) of the page's variant tables, null without one."""
+    classes = _strings(profile.variant_tables)
+
+    def below(n, t):
+        return (n["pre"] > t["pre"]) & (n["pre"] <= t["last"])
+
+    def headers(t):
+        heads = F.filter("elements", lambda n: (n["tag"] == "th") & below(n, t) & (n["inner"]["thead"] > t["pre"]))
+        return F.flatten(F.transform(heads, lambda n: n["own"]))
+
+    def row(r):
+        article = F.filter(
+            "elements",
+            lambda n: F.array_contains(n["classes"], profile.article_class) & below(n, r) & (F.size(n["own"]) > 0),
+        )
+        cells = F.filter(r["cells"], lambda c: c["tag"] == "td")
+        second = F.filter(cells, lambda c: (c["nth"] == 2) & c["own"].isNotNull())
+        return F.struct(
+            F.get(F.get(article, 0)["own"], 0).alias("article"),
+            F.get(second, 0)["own"].alias("second"),
+            F.transform(cells, lambda c: c["text"]).alias("cells"),
+        )
+
+    variant = F.filter("rows", lambda r: F.array_contains(r["classes"], profile.variant_row))
+
+    def rows(t):
+        return F.transform(F.filter(variant, lambda r: below(r, t) & (r["inner"]["tbody"] > t["pre"])), row)
+
+    tables = F.filter("elements", lambda n: (n["tag"] == "table") & F.arrays_overlap(n["classes"], classes))
+    both = F.struct(
+        F.flatten(F.transform(tables, headers)).alias("headers"), F.flatten(F.transform(tables, rows)).alias("rows")
+    )
+    return F.when(F.exists("elements", lambda n: (n["tag"] == "table") & F.arrays_overlap(n["classes"], classes)), both)
+
+
 def explode_variants(products: DataFrame) -> DataFrame:
     """One row per variant row, one row for a page without a variant table.
 
-    Needs ``product_name``, ``model_number``, ``specs`` and the fact ``variants``. A table
-    without rows gives no product.
+    Needs ``variants`` of ``variant_rows``; of ``product_name``, ``model_number`` and ``specs`` those
+    there are made the variant's (the name needs ``specs``). A table without rows gives no product.
     """
     v = F.col("variants")
     row_type = "array<struct<article:string,second:string,cells:array<string>>>"
@@ -491,15 +622,16 @@ def explode_variants(products: DataFrame) -> DataFrame:
         cells, lambda p: p["key"].isNotNull() & (p["value"] != "") & ~F.lower(p["key"]).isin(*P.A_ORDER_HEADERS)
     )
     is_variant = row.isNotNull()
-    merged = last_wins(F.concat(pairs_of(F.col("specs")), told))
-    number = F.coalesce(_none_empty(row["article"]), _none_empty(row["second"]))
-    df = df.withColumn("_specs", F.when(is_variant, merged).otherwise(F.col("specs")))
-    out = {
-        "product_name": F.when(is_variant, variant_name(F.col("product_name"), F.col("_specs"))).otherwise(
-            F.col("product_name")
-        ),
-        "model_number": F.when(is_variant & number.isNotNull(), strip(number)).otherwise(F.col("model_number")),
-        "specs": F.col("_specs"),
-        "is_variant": is_variant,
-    }
+    out = {"is_variant": is_variant}
+    if "specs" in cols:
+        merged = last_wins(F.concat(pairs_of(F.col("specs")), told))
+        df = df.withColumn("_specs", F.when(is_variant, merged).otherwise(F.col("specs")))
+        out["specs"] = F.col("_specs")
+    if "product_name" in cols:
+        named = variant_name(F.col("product_name"), F.col("_specs"))
+        out["product_name"] = F.when(is_variant, named).otherwise(F.col("product_name"))
+    if "model_number" in cols:
+        number = F.coalesce(_none_empty(row["article"]), _none_empty(row["second"]))
+        own = is_variant & number.isNotNull()
+        out["model_number"] = F.when(own, strip(number)).otherwise(F.col("model_number"))
     return df.withColumns(out).drop("_headers", "_row", "_specs")

@@ -17,15 +17,17 @@ FACTS = {
     "heads": "array<struct<level:int,classes:array<string>,anc:array<string>,own:string,texts:array<string>>>",
     "paras": "array<struct<text:string,anc:array<string>>>",
     "links": "array<struct<pos:int,href:string,text:string,title:string,classes:array<string>,anc:array<string>>>",
-    "crumbs": "array<string>",
     "images": "array<struct<src:string,classes:array<string>,anc:array<string>>>",
-    "tables": "array<struct<classes:array<string>,rows:array<array<string>>>>",
+    "rows": "array<struct<pre:int,last:int,classes:array<string>,outer:struct<{marks}>,inner:struct<{marks}>,"
+    "cells:array<struct<tag:string,nth:int,own:string,text:string>>>>",
+    "elements": "array<struct<tag:string,pre:int,last:int,classes:array<string>,own:array<string>,"
+    "outer:struct<{marks}>,inner:struct<{marks}>>>",
+    "strings": "array<struct<pre:int,text:string>>",
+    "kin": "array<array<struct<tag:string,pre:int,head:string,start:int,size:int,blank:boolean,text:string>>>",
+    "plain": "string",
     "items": "array<struct<text:string,anc:array<string>>>",
     "marked": "map<string,struct<own:string,markup:string>>",
-    "sections": "array<struct<head:string,blocks:array<string>>>",
-    "after_marker": "array<string>",
     "classes": "array<string>",
-    "variants": "struct<headers:array<string>,rows:array<struct<article:string,second:string,cells:array<string>>>>",
     "body_text": "string",
 }
 
@@ -33,6 +35,11 @@ FACTS = {
 _FLUSH_CHARS = 32 << 20
 
 
+def fact_type(fact: str, watch: Watch) -> T.DataType:
+    marks = ",".join(f"{m}:int" for m in watch.marks.names)
+    return T._parse_datatype_string(FACTS[fact].replace("{marks}", marks))
+
+
 def page_facts(pages: DataFrame, facts, watch: Watch | None = None, keep=None) -> DataFrame:
     """Columns ``keep`` (default: all but html) plus one column per requested fact.
 
@@ -43,9 +50,7 @@ def page_facts(pages: DataFrame, facts, watch: Watch | None = None, keep=None) -
     keep = [c for c in pages.columns if c != "html"] if keep is None else list(keep)
     facts, watch = list(facts), watch or Watch()
     fields = [pages.schema[c] for c in keep]
-    schema = T.StructType(
-        fields + [T.StructField(f, T._parse_datatype_string(FACTS[f])) for f in facts]
-    )
+    schema = T.StructType(fields + [T.StructField(f, fact_type(f, watch)) for f in facts])
     arrow_types = [to_arrow_type(schema[f].dataType) for f in facts]
 
     def pack(batch, start, out):

@@ -25,71 +25,122 @@ from shelfwright.operators.taxonomy import as_candidates, flatten_taxonomy
 from shelfwright.plans.site_profiles import SITE_A, SITE_B, SiteProfile
 from shelfwright.schemas import CLASSIFIED_FIRST, RECORD_SCHEMA
 
-_FACTS_A = [
-    "title", "metas", "heads", "paras", "links", "crumbs", "images", "tables", "items",
-    "marked", "after_marker", "classes", "variants",
-]
-_FACTS_B = ["title", "metas", "heads", "paras", "links", "crumbs", "tables", "sections", "body_text"]
-
-
-def extract_a(pages: DataFrame, profile: SiteProfile = SITE_A, variants: bool = True) -> DataFrame:
+#: What a field of site A is made of: page facts, and other fields. ``None`` is what every row needs.
+FIELDS_A = {
+    None: (("heads", "classes"), ()),
+    "variants": (("elements", "rows"), ()),
+    "product_name": (("title", "heads", "marked"), ("specs",)),
+    "specs": (("rows", "items", "elements", "strings"), ()),
+    "model_number": ((), ("product_name", "specs")),
+    "subcategory": (("elements",), ()),
+    "short_description": (("marked", "paras"), ()),
+    "long_description": (("metas", "paras"), ()),
+    "product_image_url": (("metas", "images"), ()),
+    "datasheet_url": (("links",), ()),
+    "technical_specs": ((), ("specs",)),
+}
+#: The same of site B.
+FIELDS_B = {
+    None: (("heads", "links"), ()),
+    "product_name": (("heads", "title"), ()),
+    "specs": (("rows", "kin", "plain"), ()),
+    "model_number": (("body_text",), ("product_name",)),
+    "subcategory": (("elements",), ()),
+    "short_description": (("paras",), ()),
+    "long_description": (("metas", "paras"), ()),
+    "datasheet_url": (("links",), ()),
+    "technical_specs": ((), ("specs",)),
+}
+
+
+def needs(fields: dict, columns) -> tuple[set[str], list[str]]:
+    """The fields that ``columns`` (all if None) are made of, directly or not, and the facts all of them read."""
+    todo = [None, *(fields if columns is None else columns)]
+    names: set = set()
+    while todo:
+        name = todo.pop()
+        if name not in names:
+            names.add(name)
+            todo += fields.get(name, ((), ()))[1]
+    facts = dict.fromkeys(f for name, (own, _) in fields.items() if name in names for f in own)
+    return names, list(facts)
+
+
+def extract_a(
+    pages: DataFrame, profile: SiteProfile = SITE_A, variants: bool = True, columns: list[str] | None = None
+) -> DataFrame:
     """Product rows of site A pages: page_id, item_id (unique, also among the variants of one
     page), the product fields, ``specs`` as a map.
 
-    Works the same on a stream. Page tests run before the field expressions.
+    ``columns`` limits the result, and with it the rules built and the facts read, since nothing
+    prunes below the page reading. Works the same on a stream. Page tests run before the field
+    expressions.
     """
     url = F.col("url")
-    facts = page_facts(pages, _FACTS_A, profile.watch(), keep=["page_id", "url"])
+    wanted, names = needs(FIELDS_A, None if columns is None else [*columns, *(["variants"] if variants else [])])
+    facts = page_facts(pages, names, profile.watch(), keep=["page_id", "url"])
     facts = facts.where(X.is_product_page_a(url))
-    df = facts.withColumns({"product_name": X.product_name_a(), "specs": X.specs_a()})
-    df = df.select(
-        "page_id",
-        F.lit(profile.brand).alias("brand"),
-        "product_name",
-        X.model_number_a(F.col("product_name"), url, F.col("specs")).alias("model_number"),
-        blank(F.coalesce(X.subcategory_a(url), X.subcategory_breadcrumb(profile.crumb_stop))).alias("subcategory"),
-        "specs",
-        X.short_description_a().alias("short_description"),
-        X.long_description_a().alias("long_description"),
-        X.image_url(url).alias("product_image_url"),
-        X.datasheet_a(url).alias("datasheet_url"),
-        url.alias("source_url"),
-        "variants",
-    )
+    early = {"product_name": X.product_name_a, "specs": X.specs_a}
+    df = facts.withColumns({n: rule() for n, rule in early.items() if n in wanted})
+    rules = {
+        "product_name": lambda: F.col("product_name"),
+        "model_number": lambda: X.model_number_a(F.col("product_name"), url, F.col("specs")),
+        "subcategory": lambda: blank(F.coalesce(X.subcategory_a(url), X.subcategory_breadcrumb(profile.crumb_stop))),
+        "specs": lambda: F.col("specs"),
+        "short_description": X.short_description_a,
+        "long_description": X.long_description_a,
+        "product_image_url": lambda: X.image_url(url),
+        "datasheet_url": lambda: X.datasheet_a(url),
+        "variants": lambda: X.variant_rows(profile),
+    }
+    own = [rule().alias(n) for n, rule in rules.items() if n in wanted and (variants or n != "variants")]
+    df = df.select("page_id", F.lit(profile.brand).alias("brand"), *own, url.alias("source_url"))
     if variants:
         df = X.explode_variants(df)
     else:
-        df = df.drop("variants").withColumns({"is_variant": F.lit(False), "variant_pos": F.lit(0)})
+        df = df.withColumns({"is_variant": F.lit(False), "variant_pos": F.lit(0)})
     df = df.withColumn("item_id", F.concat_ws("-", "page_id", "variant_pos"))
-    json = F.when(F.col("is_variant"), F.to_json("specs")).otherwise(X.specs_to_json(F.col("specs")))
-    return df.withColumn("technical_specs", json)
+    if "technical_specs" in wanted:
+        json = F.when(F.col("is_variant"), F.to_json("specs")).otherwise(X.specs_to_json(F.col("specs")))
+        df = df.withColumn("technical_specs", json)
+    return df if columns is None else df.select(*columns)
+
 
+def extract_b(pages: DataFrame, profile: SiteProfile = SITE_B, columns: list[str] | None = None) -> DataFrame:
+    """Product rows of site B pages: page_id, item_id, the product fields, ``specs`` as a map.
 
-def extract_b(pages: DataFrame, profile: SiteProfile = SITE_B) -> DataFrame:
-    """Product rows of site B pages: page_id, item_id, the product fields, ``specs`` as a map."""
+    ``columns`` limits the result, the rules built and the facts read.
+    """
     url = F.col("url")
-    facts = page_facts(pages, _FACTS_B, profile.watch(), keep=["page_id", "url"])
+    wanted, names = needs(FIELDS_B, columns)
+    facts = page_facts(pages, names, profile.watch(), keep=["page_id", "url"])
     facts = facts.where(X.is_product_page_b())
-    df = facts.withColumns({"product_name": X.product_name_b(), "specs": X.specs_b()})
-    sub = F.coalesce(
-        F.nullif(X.subcategory_b(url, profile.url_root, profile.url_stop), F.lit("")),
-        X.subcategory_breadcrumb(profile.crumb_stop),
-    )
-    return df.select(
+    early = {"product_name": X.product_name_b, "specs": X.specs_b}
+    df = facts.withColumns({n: rule() for n, rule in early.items() if n in wanted})
+
+    def subcategory():
+        by_url = F.nullif(X.subcategory_b(url, profile.url_root, profile.url_stop), F.lit(""))
+        return F.coalesce(by_url, X.subcategory_breadcrumb(profile.crumb_stop))
+
+    rules = {
+        "product_name": lambda: F.col("product_name"),
+        "model_number": lambda: X.model_number_b(F.col("product_name"), url, F.col("body_text")),
+        "subcategory": subcategory,
+        "specs": lambda: F.col("specs"),
+        "technical_specs": lambda: X.specs_to_json(F.col("specs")),
+        "short_description": X.short_description_b,
+        "long_description": X.long_description_b,
+        "datasheet_url": lambda: X.datasheet_b(url),
+    }
+    out = df.select(
         "page_id",
         F.col("page_id").cast("string").alias("item_id"),
         F.lit(profile.brand).alias("brand"),
-        "product_name",
-        X.model_number_b(F.col("product_name"), url, F.col("body_text")).alias("model_number"),
-        sub.alias("subcategory"),
-        "specs",
-        X.specs_to_json(F.col("specs")).alias("technical_specs"),
-        X.short_description_b().alias("short_description"),
-        X.long_description_b().alias("long_description"),
+        *[rule().alias(n) for n, rule in rules.items() if n in wanted],
         F.lit(None).cast("string").alias("product_image_url"),
-        X.datasheet_b(url).alias("datasheet_url"),
         url.alias("source_url"),
     )
+    return out if columns is None else out.select(*columns)
 
 
 EXTRACT = {SITE_A.brand: extract_a, SITE_B.brand: extract_b}

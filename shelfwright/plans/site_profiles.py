@@ -32,9 +32,17 @@ class SiteProfile:
     marked: tuple = ()
     marker: str = ""
     variant_tables: tuple = ()
+    variant_row: str = "row-variant"
+    article_class: str = "column-article-number"
 
     def watch(self) -> Watch:
-        return Watch(self.classes, self.marked, self.marker, 20, self.variant_tables)
+        """What the page reader looks for. ``specs`` marks the tables that hold specifications."""
+        specs = ("table",) if self.table_classes is None else tuple(f"table.{c}" for c in self.table_classes)
+        listed = [("a", "trail")]
+        if self.variant_tables:
+            listed += [("th", "thead"), *((f"table.{c}", None) for c in self.variant_tables), (f".{self.article_class}", None)]
+        whole = (self.variant_row,) if self.variant_tables else ()
+        return Watch(self.classes, self.marked, self.marker, {"specs": specs}, listed, whole)
 
 
 # ---------------------------------------------------------------------------------------
@@ -64,6 +72,7 @@ A_NOISE_PHRASES = (
 A_TABLE_CLASSES = ("spec-table", "technical-data", "product-attributes", "data-table")
 A_LIST_CLASSES = ("specifications", "tech-specs", "product-specs")
 A_SPEC_MARKER = "Technical data"
+A_LOOK_AHEAD = 20
 A_SPEC_HEADING = "Technical attributes"
 A_TEXT_LABELS = ("Downloads", "Instruction manual")
 A_SHEET_TERMS = ("datasheet", "data sheet", "manual", "specification", "technical")

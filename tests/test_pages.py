@@ -1,11 +1,13 @@
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwright.functions.htmlscan import PageFacts, Watch
+from shelfwright.functions.htmlscan import Node, PageFacts, Watch, first_text, read_tree
 from shelfwright.operators import extract as X
 from shelfwright.operators import links as L
+from shelfwright.operators.page_facts import page_facts
 from shelfwright.operators.rows import first_per_url
 from shelfwright.plans.catalogue import catalogue, extract_a, extract_b, products_from_pages
 from shelfwright.plans.site_profiles import SITE_A, SITE_B
@@ -17,10 +19,16 @@ def facts(html, **watch):
     return PageFacts(html, Watch(**watch))
 
 
+def value(spark, html, column, names, watch):
+    """A rule's Column over the facts of one page."""
+    pages = spark.createDataFrame([(1, "https://h.example/", html)], PAGE)
+    return page_facts(pages, names, watch).select(column.alias("v")).first()["v"]
+
+
 def test_open_tags_close_where_a_browser_closes_them():
     f = facts("<p>a<b>x</b>c<p>d<br>e<div>f</div><ul><li>one<li>two</ul><table><tr><td>1<td>2<tr><td>3</table>")
     assert [t for t, _ in f.paras()] == ["a", "c", "d", "e"]
-    assert f.tables() == [([], [["1", "2"], ["3"]])]
+    assert [[c[3] for c in r[-1]] for r in f.rows()] == [["1", "2"], ["3"]]
 
 
 def test_a_bold_run_left_open_ends_with_the_next_paragraph():
@@ -40,16 +48,30 @@ def test_comments_doctype_and_broken_markup():
     assert facts("").links() == [] and facts(None).links() == []
 
 
-def test_text_after_the_marker_skips_what_is_inside_it():
+def test_text_after_the_marker_skips_what_is_inside_it(spark):
     html = "<div><h2>Technical data <i>inside</i></h2><p>A</p></div><p>1 kg</p>"
-    assert facts(html, marker="Technical data").after_marker() == ["A", "1 kg"]
-    assert facts(html, marker="Technical data", look_ahead=1).after_marker() == ["A"]
-    assert facts("<p>nothing</p>", marker="Technical data").after_marker() == []
+    watch = Watch(marker="Technical data")
+
+    def after(html, **opts):
+        return value(spark, html, X.after_marker(**opts), ["elements", "strings"], watch)
+
+    assert after(html) == ["A", "1 kg"]
+    assert after(html, ahead=1) == ["A"]
+    assert not after("<p>nothing</p>")
+    assert after("<div>Technical data<h2>Technical data</h2>x</div>y") == ["x", "y"]
 
 
 @pytest.mark.parametrize(
     "part, fact",
-    [("<a ", "links"), ("<div class=a><p>t", "paras"), ("<h3>t</h3><p>x</p>", "sections")],
+    [
+        ("<a ", "links"),
+        ("<div class=a><p>t", "paras"),
+        ("<h3>t</h3><p>x</p>", "kin"),
+        ("<div><h3>t</h3>x", "kin"),
+        ("<table><tr><td>k<td>v", "rows"),
+        ("<table><tr><td>", "rows"),
+        ("<table class=v><tbody><tr><th>", "elements"),
+    ],
 )
 def test_reading_time_follows_the_length_of_the_page(part, fact):
     def seconds(n):
@@ -61,6 +83,56 @@ def test_reading_time_follows_the_length_of_the_page(part, fact):
     assert min(seconds(16000) for _ in range(3)) < 24 * short + 0.1  # a square would be 64 times
 
 
+def test_nested_tables_take_no_time(spark):
+    html = "<table><tr><td>key one<td>value" * 3300  # 100 KB
+    began = time.process_time()
+    rows = facts(html, marks={"specs": ("table",)}).rows()
+    assert len(rows) == 3300 and time.process_time() - began < 1
+    names, watch = ["rows"], SITE_B.watch()
+    assert value(spark, html, X.specs_map(X.specs_from_tables(lambda c: c)), names, watch) == {"key one": "value"}
+
+
+def below(node, tags):
+    for k in node.kids:
+        if isinstance(k, Node):
+            if k.tag in tags:
+                yield k
+            yield from below(k, tags)
+
+
+def plain_specs(html, classes):
+    """Table by table in the page's order, row by row, tables inside tables read with both."""
+    _, nodes = read_tree(html)
+    out = {}
+    for t in nodes:
+        if t.tag == "table" and (classes is None or set(classes) & set(t.classes)):
+            for r in below(t, ("tr",)):
+                cells = [first_text(c).strip() for c in below(r, ("td", "th"))][:2]
+                if len(cells) == 2 and min(map(len, cells)) > 2:
+                    out[cells[0]] = cells[1]
+    return list(out.items())
+
+
+def test_specs_of_tables_inside_tables(spark):
+    rnd = random.Random(7)
+
+    def table(depth):
+        rows = []
+        for _ in range(rnd.randrange(4)):
+            cells = [f"<td>{rnd.choice(['kaa', 'kbb', 'kcc', 'x'])}", f"<td>{rnd.randrange(100, 130)}", "<td>no"]
+            if depth and rnd.random() < 0.6:
+                cells.insert(rnd.randrange(4), f"<td>{table(depth - 1)}")
+            rows.append("<tr>" + "".join(cells[: rnd.randrange(1, 5)]))
+        return f"<table class='{rnd.choice(['spec-table', 'other', 'data-table x'])}'>{''.join(rows)}</table>"
+
+    html = ["".join(table(3) for _ in range(3)) for _ in range(150)]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate(html)], PAGE)
+    for profile in (SITE_A, SITE_B):
+        got = page_facts(pages, ["rows"], profile.watch()).select("page_id", X.specs_map(X.specs_from_tables(lambda c: c)).alias("m"))
+        for r in got.collect():
+            assert list(r["m"].items()) == plain_specs(html[r["page_id"]], profile.table_classes)
+
+
 def test_tags_left_open_at_the_end_are_text_and_an_open_comment_is_none():
     f = facts("<p>a > b <a <a href=x")
     assert [t for t, _ in f.paras()] == ["a > b <a <a href=x"] and f.links() == []
@@ -72,24 +144,80 @@ def test_ancestor_classes_are_given_once():
     assert [(t, sorted(anc)) for t, anc in f.paras()] == [("t", ["a", "b"]), ("u", [])]
 
 
-def test_nested_tables_show_their_rows_in_both():
-    f = facts("<table><tr><td>o</td><td><table><tr><td>i</td><td>j</td></tr></table></td></tr></table>")
-    assert f.tables() == [([], [["o", "i", "i", "j"], ["i", "j"]]), ([], [["i", "j"]])]
+def test_a_cell_goes_to_every_row_around_it():
+    f = facts("<table><tr><td>o</td><td><table><tr><td>i</td><td>j</td></tr></table></td></tr></table>", whole_rows=("w",))
+    assert [[c[3] for c in r[-1]] for r in f.rows()] == [["o", "i"], ["i", "j"]]
+    f = facts("<table><tr class=w><td>o</td><td><table><tr><td>i</td><td>j</td></tr></table></td></tr></table>", whole_rows=("w",))
+    assert [[c[3] for c in r[-1]] for r in f.rows()] == [["o", "i", "i", "j"], ["i", "j"]]
 
 
-def test_variant_rows_need_their_own_table_body():
+def test_variant_rows_need_their_own_table_body(spark):
     inner = '<table class="product-variants-table">{}<tr class="row-variant"><td>a</td><td>b</td></tr></table>'
     outer = "<table><tbody><tr><td>{}</td></tr></tbody></table>"
-    kind = {"variant_tables": ("product-variants-table",)}
-    assert facts(outer.format(inner.format("")), **kind).variants() == ([], [])
-    with_body = facts(outer.format(inner.format("<thead><th> H </th></thead><tbody>")), **kind).variants()
+
+    def variants(html):
+        return value(spark, html, X.variant_rows(), ["elements", "rows"], SITE_A.watch())
+
+    assert variants("<table><tr><td>a</table>") is None
+    assert variants(outer.format(inner.format(""))) == ([], [])
+    with_body = variants(outer.format(inner.format("<thead><th> H </th></thead><tbody>")))
     assert with_body == ([" H "], [(None, "b", ["a", "b"])])
 
 
+def test_crumbs_are_links_of_list_items_inside_a_trail(spark):
+    def crumbs(html):
+        return value(spark, html, X.crumbs(), ["elements"], SITE_A.watch())
+
+    assert crumbs("<ul class='x breadcrumb'><li><a>one<b>no</b>two</a><li><a></a></ul><li><a>out</a>") == ["one", "two"]
+    assert crumbs("<li><div class=breadcrumbs><a>no list item inside</a></div>") == []
+    assert crumbs("<li class=breadcrumb><a>itself</a>") == []
+    assert crumbs("<li><div class=breadcrumbs><ul><li class=breadcrumb><a>in</a></ul></div>") == ["in"]
+
+
+def facts_referred_to(df):
+    """Columns of the page reading that the optimized plan above it refers to."""
+    names, made, todo = set(), set(), [df._jdf.queryExecution().optimizedPlan()]
+
+    def each(seq):
+        it = seq.iterator()
+        while it.hasNext():
+            yield it.next()
+
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "MapInArrow":
+            made = {a.name() for a in each(node.output())} - {"page_id", "url"}
+        else:
+            names |= {a.name() for a in each(node.references())}
+            todo += each(node.children())
+    return made, made & names
+
+
+@pytest.mark.parametrize(
+    "extract, columns",
+    [(extract_a, ["page_id", "model_number", "specs"]), (extract_a, ["page_id", "datasheet_url"]), (extract_b, ["page_id", "datasheet_url"])]
+    + [(extract_a, None), (extract_b, None)],
+)
+def test_only_the_facts_needed_are_read(spark, extract, columns):
+    """What the field table says is what the optimizer finds."""
+    pages = spark.createDataFrame([], PAGE)
+    made, used = facts_referred_to(extract(pages, columns=columns))
+    assert made == used
+    if columns == ["page_id", "datasheet_url"]:
+        assert made == ({"heads", "links"} if extract is extract_b else {"heads", "classes", "links", "elements", "rows"})
+
+
+def test_some_columns_are_those_of_the_whole(pages):
+    some = extract_a(pages, columns=["page_id", "model_number", "specs"])
+    whole = extract_a(pages).select("page_id", "model_number", "specs")
+    assert sorted(map(str, some.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_deep_nesting_does_not_overflow():
     f = facts("<div>" * 5000 + "<p>x</p><h3>Density</h3>1" + "</div>" * 5000)
     assert [t for t, _ in f.paras()] == ["x"]
-    assert f.sections() == [("Density", ["1"])]
+    (kids,) = f.kin()
+    assert [k[2] or k[6] or f.plain()[k[3] : k[3] + k[4]] for k in kids] == ["x", "Density", "1"]
     assert "x" in f.body_text()
 
 

@@ -1,4 +1,6 @@
-"""Link discovery, routing and closure."""
+"""Link discovery, routing, closure and the crawl job."""
+
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from shelfwright.functions.urls import contains_denied, link_route, looks_like_p
 from shelfwright.operators import links as L
 from shelfwright.operators.rows import first_per_url
 from shelfwright.operators.extract import is_product_page_a
+from shelfwright.plans.catalogue import crawl_products, extract_b
 from shelfwright.plans.site_profiles import B_DENIED, B_PRODUCT_PATTERNS, SITE_A, SITE_B
 
 # ---- links of the page table itself ----------------------------------------------------
@@ -242,6 +245,39 @@ def crawl_closure(spark, d):
     return _closure(spark, d)
 
 
+# The whole job on that tree: every second product link leads to a page that is there; as many
+# product pages stand beside them that no page links to.
+
+_PRODUCT = "concat('https://gcc.sika.com/en/construction/{}/sika-', s_suppkey, '.html')"
+_PRODUCT_PAGE = (
+    "concat('<h1>', s_name, '</h1><h2>Product Details</h2><table><tr><td>Zone (km)</td><td>zone ', s_nationkey, "
+    "'</td></tr><tr><td>zone km<td><table><tr><td>Inner</td><td>of ', s_suppkey + 100, '</td></tr></table></table>"
+    "<a href=\"/en/construction/q/sika-', s_suppkey, '.html#x\">not followed from here</a>')"
+)
+
+
+@query(
+    "crawl_products",
+    f"WITH RECURSIVE kids AS ({_CHILD_ROWS}), walk(key) AS (SELECT CAST(0 AS BIGINT) UNION ALL "
+    "SELECT kids.to_key FROM walk JOIN kids ON kids.s_suppkey = walk.key) "
+    "SELECT 1000000 + s_suppkey AS page_id, s_name AS product_name, CAST(s_suppkey AS VARCHAR) AS model_number, "
+    "concat('{\"zone km\":\"Inner\",\"inner\":\"of ', s_suppkey + 100, '\"}') AS technical_specs, "
+    f"{_PRODUCT.format('p')} AS source_url FROM walk JOIN supplier ON s_suppkey = key WHERE s_suppkey % 2 = 0",
+)
+def crawl_products_query(spark, d):
+    """Seeds to closure to reached product pages to records."""
+    suppliers = table(spark, d, "supplier")
+    pages = _site(spark, d)
+    for n, (folder, where) in enumerate((("p", "s_suppkey % 2 = 0"), ("q", "true")), 1):
+        more = suppliers.where(where).selectExpr(
+            f"{n}000000 + s_suppkey AS page_id", f"{_PRODUCT.format(folder)} AS url", f"{_PRODUCT_PAGE} AS html"
+        )
+        pages = pages.unionByName(more)
+    profile = replace(SITE_B, seeds=(f"{_HOME}0.html",))
+    columns = ["page_id", "product_name", "model_number", "technical_specs", "source_url"]
+    return crawl_products(pages, profile, lambda p, site: extract_b(p, site, columns))
+
+
 # The same tree as a site of cards: inner pages show a grid of two cards and a next link to a
 # third child, every fourth page is a leaf: a heading and no grid. The reach grows with the table.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.functions.htmlscan import Watch
@@ -113,53 +113,78 @@ def crawl_closure(graph: DataFrame, seeds: DataFrame, max_depth: int | None = No
     """Every URL reached from ``seeds.url``: (url, route, depth). Category pages lead on,
     product pages do not.
 
-    ``graph`` is written once, bucketed by URL, so it is not shuffled again however many
-    levels follow. Per level, the new URLs (each once) meet the pages (one row per URL, links in an array), so neither side has a hot key,
-    and URLs many pages link to collapse map-side in the grouping. A side counted as small
-    is broadcast, and then neither the graph nor the URLs seen so far move. Each level is
-    written to the shared folder: lineage stays short and a lost executor costs one level at
-    most.
+    ``graph`` and the URLs seen are tables in the shared folder with the same buckets by URL, the
+    latter partitioned by depth: a level is read as the partition that its predecessor appended,
+    meets the pages bucket by bucket, and what it finds is grouped once and compared with all
+    URLs seen, which never move. So a level has the same exchanges at any depth. Per level, the new
+    URLs (each once) meet the pages (one row per URL, links in an array), so neither side has a
+    hot key, and URLs many pages link to collapse map-side in the grouping. A side counted as small
+    is broadcast instead. A lost executor costs one level at most. Both tables are removed
+    at the end, also after a failure; the result is a table of its own.
     """
     spark = graph.sparkSession
-    table = _bucketed(graph, "url")
-    graph = spark.table(table).select("url", "outlinks")
-    level = settle(seeds.select("url").distinct().select("url", F.lit("category").alias("route"), F.lit(0).alias("depth")))
-    seen, seen_rows, depth = level, 0, 0
-    while (max_depth is None or depth < max_depth) and (size := level.count()):
-        depth += 1
-        seen_rows += size
-        leads = level.where(F.col("route") == "category").select("url")
-        if size <= SMALL_ROWS:
-            leads = F.broadcast(leads)
-        out = graph.join(leads, "url").select(F.explode("outlinks").alias("e"))
-        found = out.groupBy(F.col("e.to").alias("url")).agg(F.max("e.route").alias("route"))
-        fresh = _not_in(found, seen.select("url"), seen_rows)
-        level = settle(fresh.withColumn("depth", F.lit(depth)))
-        seen = seen.unionByName(level)
-    spark.sql(f"DROP TABLE {table}")
-    return seen
-
-
-def _bucketed(df: DataFrame, key: str) -> str:
-    """Write ``df`` as a table bucketed and sorted by ``key`` in the shared folder."""
-    spark = df.sparkSession
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(most, 1 + estimated_bytes(df) // (32 << 20))
-    name = f"bucketed_{uuid.uuid4().hex}"
-    writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
-    writer.option("path", f"{shared_dir(spark).rstrip('/')}/{name}").saveAsTable(name)
-    return name
-
-
-def _not_in(found: DataFrame, seen: DataFrame, seen_rows: int) -> DataFrame:
-    """Rows of ``found`` whose URL is not in ``seen``, moving the smaller side where it is small."""
-    if seen_rows <= SMALL_ROWS:
-        return found.join(F.broadcast(seen), "url", "left_anti")
-    found = settle(found)
-    if found.count() <= SMALL_ROWS:
-        known = seen.join(F.broadcast(found.select("url")), "url", "left_semi")
-        return found.join(F.broadcast(known), "url", "left_anti")
-    return found.join(seen, "url", "left_anti")
+    graph = settle(graph.select("url", "outlinks"))
+    buckets = bucket_count(graph)
+    pages, seen = Bucketed(spark, "url", buckets), Bucketed(spark, "url", buckets, "depth")
+    try:
+        pages.append(graph)
+        first = seeds.select("url").where("url is not null").distinct()
+        seen.append(first.select("url", F.lit("category").alias("route"), F.lit(0).alias("depth")))
+        depth, total = 0, 0
+        while max_depth is None or depth < max_depth:
+            level = seen.read().where(F.col("depth") == depth)
+            size = level.count()
+            if not size:
+                break
+            total += size
+            fresh = _next_level(pages.read(), level, seen.read(), size <= SMALL_ROWS, total <= SMALL_ROWS)
+            depth += 1
+            seen.append(fresh.withColumn("depth", F.lit(depth)))
+        return settle(seen.read().select("url", "route", "depth"))
+    finally:
+        pages.remove()
+        seen.remove()
+
+
+def _next_level(pages: DataFrame, level: DataFrame, seen: DataFrame, few: bool, few_seen: bool) -> DataFrame:
+    leads = level.where(F.col("route") == "category").select("url")
+    out = pages.join(F.broadcast(leads) if few else leads, "url").select(F.explode("outlinks").alias("e"))
+    found = out.groupBy(F.col("e.to").alias("url")).agg(F.max("e.route").alias("route"))
+    known = seen.select("url")
+    return found.join(F.broadcast(known) if few_seen else known, "url", "left_anti")
+
+
+#: Bytes of a bucket, about, and the most buckets Spark takes.
+BUCKET_BYTES, MOST_BUCKETS = 128 << 20, 100_000
+
+
+def bucket_count(df: DataFrame) -> int:
+    """By the bytes of a written table alone, so that a bucket stays readable by one task."""
+    return min(MOST_BUCKETS, 1 + estimated_bytes(df) // BUCKET_BYTES)
+
+
+class Bucketed:
+    """A table in the shared folder, bucketed and sorted by ``key``, that is appended to and removed at the end."""
+
+    def __init__(self, spark: SparkSession, key: str, buckets: int, partition: str | None = None):
+        self.spark, self.key, self.buckets, self.partition = spark, key, buckets, partition
+        self.name = f"bucketed_{uuid.uuid4().hex}"
+        self.path = f"{shared_dir(spark).rstrip('/')}/{self.name}"
+
+    def append(self, df: DataFrame) -> None:
+        writer = df.repartition(self.buckets, self.key).write.mode("append").format("parquet")
+        if self.partition:
+            writer = writer.partitionBy(self.partition)
+        writer.bucketBy(self.buckets, self.key).sortBy(self.key).option("path", self.path).saveAsTable(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def remove(self) -> None:
+        """The table and its files; nothing happens where it was never written."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crawl_stats(records: DataFrame, visited: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwright.functions.encoders import HashedCounts
 from shelfwright.functions.text import blank, canonical_json, clean_ws
-from shelfwright.functions.urls import same_site
+from shelfwright.functions.urls import link_route, same_site
 from shelfwright.operators import extract as X
 from shelfwright.operators.decisions import (
     attach_to_items,
@@ -19,11 +19,13 @@ from shelfwright.operators.decisions import (
     reconcile,
 )
 from shelfwright.operators.knn import TOP_K, embed, nearest
+from shelfwright.operators.links import card_graph, crawl_closure, link_graph
 from shelfwright.operators.page_facts import page_facts
 from shelfwright.operators.rows import columns_first, first_per_url, slice_rows, to_product_schema
 from shelfwright.operators.taxonomy import as_candidates, flatten_taxonomy
 from shelfwright.plans.site_profiles import SITE_A, SITE_B, SiteProfile
 from shelfwright.schemas import CLASSIFIED_FIRST, RECORD_SCHEMA
+from shelfwright.session import is_small
 
 #: What a field of site A is made of: page facts, and other fields. ``None`` is what every row needs.
 FIELDS_A = {
@@ -146,15 +148,59 @@ def extract_b(pages: DataFrame, profile: SiteProfile = SITE_B, columns: list[str
 EXTRACT = {SITE_A.brand: extract_a, SITE_B.brand: extract_b}
 
 
+#: Whether a page is a product page, on sites that list their pages as cards.
+PAGE_TEST = {SITE_A.brand: X.is_product_page_a}
+
+
+def crawled_pages(
+    pages: DataFrame, profile: SiteProfile, max_depth: int | None = None, page_test: Callable | None = None
+) -> DataFrame:
+    """The snapshots a crawl from ``profile.seeds`` reaches and takes for product pages, one per URL.
+
+    A site with cards is followed by its cards and next pages, and every page reached is a
+    candidate for the page tests of its extraction; any other site by the routes of its links, and
+    the product links are the candidates. Only URLs move until the pages meet the reached ones,
+    which are broadcast if they are counted to be few.
+    """
+    spark = pages.sparkSession
+    mine = first_per_url(_own_pages(pages, profile))
+    if profile.card_class:
+        test = page_test or PAGE_TEST[profile.brand]
+        graph = card_graph(mine, profile, test(F.col("url")))
+    else:
+        graph = link_graph(mine, lambda href, to: link_route(href, to, profile))
+    seeds = spark.createDataFrame([(s,) for s in profile.seeds], "url string")
+    reached = crawl_closure(graph, seeds, max_depth)
+    if not profile.card_class:
+        reached = reached.where("route = 'product'")
+    urls = reached.select("url")
+    return mine.join(F.broadcast(urls) if is_small(urls) else urls, "url", "left_semi").select(*pages.columns)
+
+
+def _own_pages(pages: DataFrame, profile: SiteProfile) -> DataFrame:
+    return pages.where(same_site(F.col("url"), list(profile.hosts))) if profile.hosts else pages
+
+
 def products_from_pages(pages: DataFrame, profile: SiteProfile, extract: Callable | None = None) -> DataFrame:
     """Snapshots of one site to product records, one extraction per URL.
 
     The host test is a plain column test, so it runs at the scan, before de-duplication and
     long before any page is read. ``extract`` overrides the rules for another site.
     """
-    mine = pages.where(same_site(F.col("url"), list(profile.hosts))) if profile.hosts else pages
     extract = extract or EXTRACT[profile.brand]
-    return extract(first_per_url(mine), profile)
+    return extract(first_per_url(_own_pages(pages, profile)), profile)
+
+
+def crawl_products(
+    pages: DataFrame,
+    profile: SiteProfile,
+    extract: Callable | None = None,
+    max_depth: int | None = None,
+    page_test: Callable | None = None,
+) -> DataFrame:
+    """The crawl job: seeds, closure over the links of the snapshots, reached product pages, records."""
+    extract = extract or EXTRACT[profile.brand]
+    return extract(crawled_pages(pages, profile, max_depth, page_test), profile)
 
 
 def clean_products(products: DataFrame, stamp: bool = True) -> DataFrame:
@@ -225,12 +271,21 @@ def catalogue(
     encoder: Callable = HashedCounts,
     classify: bool = True,
     key: str = "item_id",
+    extract: Callable | None = None,
+    crawl: bool = False,
+    page_test: Callable | None = None,
 ) -> DataFrame:
     """Pages to finished product records. ``classify=False`` leaves classification out.
 
     ``decisions`` are keyed by ``item_id``: variants share a page, so the page is no key.
+    ``extract`` overrides the rules for another site, ``page_test`` its test of product pages;
+    ``crawl`` takes only the pages that the site's seeds lead to.
     """
-    items = clean_products(products_from_pages(pages, profile))
+    if crawl:
+        items = crawl_products(pages, profile, extract, page_test=page_test)
+    else:
+        items = products_from_pages(pages, profile, extract)
+    items = clean_products(items)
     if classify and candidates is not None:
         found = find_candidates(items, candidates, key, encoder)
         if decisions is None:
@@ -247,6 +302,8 @@ __all__ = [
     "catalogue",
     "classify_products",
     "clean_products",
+    "crawl_products",
+    "crawled_pages",
     "decide",
     "extract_a",
     "extract_b",

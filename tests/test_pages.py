@@ -10,7 +10,7 @@ from shelfwright.operators import links as L
 from shelfwright.operators.page_facts import page_facts
 from shelfwright.operators.rows import first_per_url
 from shelfwright.plans.catalogue import catalogue, extract_a, extract_b, products_from_pages
-from shelfwright.plans.site_profiles import SITE_A, SITE_B
+from shelfwright.plans.site_profiles import SITE_A, SITE_B, SiteProfile
 
 PAGE = "page_id bigint, url string, html string"
 
@@ -390,3 +390,83 @@ def test_closure_is_the_same_whatever_is_broadcast(spark, monkeypatch, small):
     assert L.crawl_closure(graph, seeds).groupBy("depth").count().orderBy("depth").collect() == [
         (d, 2**d) for d in range(5)
     ]
+
+
+def test_closure_leaves_no_table_behind(spark, monkeypatch):
+    import os
+
+    from shelfwright.session import shared_dir
+
+    def left():
+        return [n for n in os.listdir(shared_dir(spark).removeprefix("file:")) if n.startswith("bucketed_")], spark.catalog.listTables()
+
+    graph = spark.createDataFrame([("a", [("b", "category")]), ("b", [("a", "category"), ("c", "product")])], "url string, outlinks array<struct<to:string,route:string>>")
+    seeds = spark.createDataFrame([("a",), (None,), ("a",)], "url string")
+    before = left()
+    assert sorted(map(tuple, L.crawl_closure(graph, seeds).collect())) == [("a", "category", 0), ("b", "category", 1), ("c", "product", 2)]
+    assert L.crawl_closure(graph, seeds.limit(0)).count() == 0
+    assert left() == before
+
+    def broken(*a):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(L, "_next_level", broken)
+    with pytest.raises(RuntimeError):
+        L.crawl_closure(graph, seeds)
+    assert left() == before
+
+
+@pytest.mark.parametrize("depth", [1, 4])
+def test_a_level_has_the_same_exchanges_at_any_depth(spark, monkeypatch, depth):
+    """With tables too large for a broadcast: the links found are grouped and laid out, nothing else moves."""
+    monkeypatch.setattr(L, "SMALL_ROWS", -1)
+    monkeypatch.setattr(L, "bucket_count", lambda df: 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    plans, real = [], L._next_level
+
+    def watched(*a):
+        out = real(*a)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(L, "_next_level", watched)
+    try:
+        rows = [(f"u{i}", [(f"u{2 * i + 1}", "category"), (f"u{2 * i + 2}", "category")]) for i in range(40)]
+        graph = spark.createDataFrame(rows, "url string, outlinks array<struct<to:string,route:string>>")
+        assert L.crawl_closure(graph, spark.createDataFrame([("u0",)], "url string"), depth).count() == 2 ** (depth + 1) - 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {p.count("Exchange hashpartitioning") for p in plans} <= {1, 2} and len({p.count("Exchange") for p in plans}) == 1
+
+
+def test_a_third_site_from_its_seeds(spark):
+    third = SiteProfile(
+        brand="Third",
+        hosts=("third.example",),
+        sections=("/shop",),
+        product_patterns=(r"item-\d+\.html",),
+        seeds=("https://third.example/shop",),
+        url_root="third.example/",
+    )
+    shop = '<a href="/shop/item-1.html">1</a><a href="/shop/more">m</a><a href="https://gcc.sika.com/shop/item-5.html">x</a>'
+    item = "<h1>Item {0}</h1><h2>Product details</h2><table><tr><td>Size<td>{0} cm</table>"
+    rows = [(1, "https://third.example/shop", shop), (2, "https://third.example/shop/more", '<a href="item-2.html">2</a><a href="/shop">s</a>')]
+    rows += [(10 + i, f"https://third.example/shop/item-{i}.html", item.format(i)) for i in (1, 2, 3)]
+    rows += [(20, "https://third.example/shop/item-2.html", item.format(9)), (30, "https://gcc.sika.com/shop/item-5.html", item.format(5))]
+    pages = spark.createDataFrame(rows, PAGE)
+    out = catalogue(pages, third, classify=False, extract=extract_b, crawl=True)
+    assert sorted((r["brand"], r["product_name"], r["technical_specs"]) for r in out.collect()) == [
+        ("Third", "Item 1", '{"size":"1 cm"}'),
+        ("Third", "Item 2", '{"size":"2 cm"}'),
+    ]
+    everything = catalogue(pages, third, classify=False, extract=extract_b)
+    assert sorted(r["product_name"] for r in everything.collect()) == ["Item 1", "Item 2", "Item 3"]
+
+
+def test_a_card_site_from_its_seeds(pages, spark):
+    seed, card = SITE_A.seeds[0], A_URL
+    grid = f'<h1>Products</h1><div class="product-card-grid"><a class="card-link" href="{card}">c</a></div>'
+    more = spark.createDataFrame([(50, seed, grid), (51, card + "-unlinked", A)], PAGE)
+    rows = catalogue(pages.unionByName(more), SITE_A, classify=False, crawl=True).collect()
+    assert sorted((r["model_number"], r["source_url"]) for r in rows) == [("123", card), ("456", card)]

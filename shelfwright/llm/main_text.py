@@ -2,16 +2,21 @@
 
 A page is stripped to lines, one per block of markup; what stands in menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles or reader comments leaves empty lines. The
-lengths of the lines are summed over a sliding window. The text begins where that sum first surges from
-nothing and ends where it last dives to nothing again; in between, only what is recognised as no text
-goes. A run of lines that are mostly links is text if the windows around it hold as much prose. Pages are read one by one, in time linear in
-their length; Spark deals them out and nothing is shuffled.
+lengths of the lines are summed over a sliding window. The text begins at the line with which that sum
+first surges above a share of the page's fullest window and ends with the last line before it dives
+below for good; in between, only what is recognised as no text goes. Of the lines outside, headings
+and whole sentences stay, and paragraphs that share a window with the text. A run of lines that are mostly links is text if the windows around it hold
+as much prose. Inside an article its element sets the bounds; there the windows decide on what only
+a doubtful name says is no text: it stays if it surges like the article's own prose. Repeated and
+equal lines are lines of their own. Pages are read one by one, in time linear in their length; Spark
+deals them out and nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,12 +26,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from shelfwright.llm.common import packed, query, table, unpacked
 from shelfwright.session import ship_package
 
-#: Lines in a window; a run of that many lines without text ends a passage.
-WINDOW = 3
+#: Lines in a window; the share of the page's fullest window that a sum must exceed to surge.
+WINDOW, SURGE = 3, 0.25
 
 # Element names of HTML
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript template iframe object svg math canvas audio video".split())
+RAW = set("script style title textarea noscript template iframe object svg canvas audio video".split())
 BLOCK = set(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol "
@@ -39,8 +44,19 @@ ASIDE_WORDS = set(
     "complementary consent contentinfo cookie cookies dialog disqus feedback footer gdpr header login masthead "
     "menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo "
     "promotion related reply replies respond search share sharing sidebar signup skip social sponsor sponsored "
-    "subscribe toolbar widget widgets".split()
+    "subscribe toolbar widget widgets adsbygoogle commentlist".split()
 )
+# Those of them that leave no doubt, also before a word for what holds them
+SURE = set(
+    "ad ads adv advert adverts advertisement advertising adsbygoogle breadcrumb breadcrumbs comment commentlist comments "
+    "complementary consent contentinfo cookie cookies disqus footer gdpr masthead menu nav navbar navigation newsletter "
+    "pager pagination sidebar sponsor sponsored subscribe".split()
+)
+HOLDS = set(
+    "area banner bar block bottom box column container inner left list notice outer panel right section slot thread top "
+    "unit wrap wrapper".split()
+)
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _NAME = re.compile(r"[a-zA-Z][^\s/>\"'<]*")
 _STOP = re.compile(r"[\"'>]")
 _MARK = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -49,6 +65,8 @@ _PART = re.compile(r"[a-z]+")
 ABOUT = set("has with without no not is show hide hides".split())
 HEADED = set("article entry post story content section main title".split())
 _NOTICE = re.compile(r"(?:copyright\s*)?(?:©|\(c\))|copyright\s+\d{4}|.*\ball rights reserved\W*$", re.I)
+#: A line that ends like a sentence.
+_SENTENCE = re.compile(r".*[.!?…]['\"”’»)\]]*$", re.S)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
@@ -100,26 +118,32 @@ def _pieces(page: str):
             at = gt + 1 if gt >= 0 else n
 
 
-def _names_aside(token: str, inside: bool) -> bool:
-    """Whether a class token, id or role is, or by its last part ends in, a word for what is not the article."""
+def _names_aside(token: str, inside: bool) -> int:
+    """2 if a class token, id or role names what is not the article, 1 if it may, by its last part, else 0."""
     parts = _PART.findall(token)
-    if not parts or parts[-1] not in ASIDE_WORDS or len(parts) > 1 and parts[0] in ABOUT:
-        return False
-    return parts[-1] != "header" or not inside and HEADED.isdisjoint(parts)
+    if not parts or len(parts) > 1 and parts[0] in ABOUT:
+        return 0
+    if parts[-1] in SURE or parts[-1] in HOLDS and not SURE.isdisjoint(parts):
+        return 2
+    if parts[-1] not in ASIDE_WORDS:
+        return 0
+    return 1 if parts[-1] != "header" or not inside and HEADED.isdisjoint(parts) else 0
 
 
-def _is_aside(name: str, attributes: str, inside: bool) -> bool:
+def _is_aside(name: str, attributes: str, inside: bool) -> int:
+    """2 if the element is not the article, 1 if only a doubtful name says so."""
     if name in ASIDE or name == "header" and not inside:
-        return True
+        return 2
     if name in ("html", "body", "main") or not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return False
+        return 0
+    named = 0
     for key, value in _MARK.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDDEN.search(value):
-            return True
-        if key in ("class", "id", "role") and any(_names_aside(t, inside) for t in value.split()):
-            return True
-    return False
+            return 2
+        if key in ("class", "id", "role"):
+            named = max([named, *(_names_aside(t, inside) for t in value.split())])
+    return named
 
 
 def _elements(page: str):
@@ -209,22 +233,34 @@ def _holders(elements: list) -> set[int]:
     return found
 
 
-def lines_of(page: str) -> list[tuple[str, int, int, bool]]:
-    """(text, characters of it in links, which article from 1 or 0, in main) per block; blocks left out are empty."""
-    out: list[tuple[str, int, int, bool]] = []
+class Line(NamedTuple):
+    text: str
+    linked: int  # characters in links
+    article: int  # which one, from 1, or 0
+    main: bool
+    heading: bool
+    paragraph: bool
+    doubt: int  # number of the doubtfully named element around it, or -1
+    doubted: str  # that element's tag
+
+
+def lines_of(page: str) -> list[Line]:
+    """The page's blocks; those left out are empty, and of a longer run of empty ones a window's worth is kept."""
+    out: list[Line] = []
     articles = 0
     depth = {"article": 0, "main": 0, "a": 0}
-    skip = -1  # number of the element that is left out
+    skip, doubt, doubted = -1, -1, ""  # numbers of the elements that are left out or doubted; the latter's tag
     text: list[str] = []
-    linked = 0
+    linked, heading, paragraph, empty = 0, False, False, 0
 
     def end_line():
-        nonlocal text, linked
+        nonlocal text, linked, empty, heading, paragraph
         line = " ".join(html.unescape("".join(text)).split())
         inside = articles if depth["article"] else 0
-        if line or not out or out[-1][0] or len(out) < WINDOW or any(x[0] for x in out[-WINDOW:]):
-            out.append((line, min(linked, len(line)), inside, depth["main"] > 0))  # a longer run of empty lines says no more
-        text, linked = [], 0
+        empty = 0 if line else empty + 1
+        if empty <= WINDOW:
+            out.append(Line(line, min(linked, len(line)), inside, depth["main"] > 0, heading, paragraph, doubt, doubted))
+        text, linked, heading, paragraph = [], 0, False, False
 
     elements = list(_elements(page))
     holders = _holders(elements)
@@ -243,11 +279,21 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool]]:
                 depth[value] -= 1
             if number == skip:
                 skip = -1
+            if number == doubt:
+                end_line()
+                doubt, doubted = -1, ""
         else:
             tag, attributes = value
-            if skip < 0 and number not in holders and _is_aside(tag, attributes, bool(depth["article"] or depth["main"])):
-                end_line()
-                skip = number
+            if skip < 0 and number not in holders:
+                inside = bool(depth["article"] or depth["main"])
+                aside = _is_aside(tag, attributes, inside)
+                if aside == 2 or aside and not inside:
+                    end_line()
+                    skip = number
+                elif aside and doubt < 0:
+                    end_line()
+                    doubt, doubted = number, tag
+            heading, paragraph = heading or tag in _HEADINGS, paragraph or tag == "p"
             if tag == "article" and not depth["article"]:
                 articles += 1
             if tag in depth:
@@ -256,25 +302,65 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool]]:
     return out
 
 
-def passages(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
-    """[surge, dive) of every stretch whose windowed sum of lengths stays above zero, trimmed to lines with text."""
-    out, start, total = [], None, 0
-    last = 0
+def windows(lengths: list[int], window: int = WINDOW) -> list[int]:
+    """The sum of each line and those before it that share its window."""
+    out, total = [], 0
     for i, n in enumerate(lengths):
         total += n - (lengths[i - window] if i >= window else 0)
-        if n:
-            last = i + 1
-            if start is None:
-                start = i
-        if start is not None and total == 0:
-            out.append((start, last))
+        out.append(total)
+    return out
+
+
+def passages(lengths: list[int], window: int = WINDOW, floor: float | None = None) -> list[tuple[int, int]]:
+    """[surge, dive) of every stretch over which the windowed sum stays above ``floor``.
+
+    The floor is a share of the fullest window, if none is given. A stretch begins with the line
+    that lifts the sum of the lines up to it above the floor, and ends with the line that does so
+    for the lines from it on: short neighbours do not pass for text because a long line is near.
+    """
+    before, after = windows(lengths, window), windows(lengths[::-1], window)[::-1]
+    if floor is None:
+        floor = SURGE * max(before, default=0)
+    out, start, end = [], None, 0
+    for i, n in enumerate(lengths):
+        if before[i] <= floor:
+            if start is not None:
+                out.append((start, end))
             start = None
+        elif n and start is None:
+            start, end = i, i + 1
+        elif n and after[i] > floor:
+            end = i + 1
     if start is not None:
-        out.append((start, last))
+        out.append((start, end))
+    return out
+
+
+def _doubts(lines: list[Line], lengths: list[int]) -> set[int]:
+    """Lines of doubtfully named elements that do not read like the prose around them.
+
+    A paragraph must hold a sentence; any other element must besides surge above the floor of the
+    lines that are not in doubt, and be no list of links.
+    """
+    if all(line.doubt < 0 for line in lines):
+        return set()
+    floor = SURGE * max(windows([0 if line.doubt >= 0 else n for line, n in zip(lines, lengths)]), default=0)
+    members: dict[int, list[int]] = {}
+    for i, line in enumerate(lines):
+        if line.doubt >= 0 and lengths[i]:
+            members.setdefault(line.doubt, []).append(i)
+    out: set[int] = set()
+    for at in members.values():
+        told = any(_SENTENCE.match(lines[i].text) for i in at)
+        size, linked = sum(lengths[i] for i in at), sum(lines[i].linked for i in at)
+        if lines[at[0]].doubted != "p":
+            told = told and 2 * linked <= size and bool(passages([lengths[i] for i in at], floor=floor))
+        if not told:
+            out.update(at)
     return out
 
 
-def _menus(lines: list[tuple[str, int, int, bool]]) -> set[int]:
+def _menus(lines: list[Line]) -> set[int]:
     """Lines that are mostly links, unless the windows before and after their run each hold as much that is not."""
     at = [i for i, line in enumerate(lines) if line[0]]
     menu = [2 * lines[i][1] > len(lines[i][0]) for i in at]
@@ -296,28 +382,40 @@ def _menus(lines: list[tuple[str, int, int, bool]]) -> set[int]:
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in page order, joined by one space; empty if there is none.
 
-    White space in a block is one space. Within article elements every passage counts, and within
-    main if there is no article or if main has more text outside its articles than the largest of
-    them. On a page that has neither, all counts from the first surge to the last dive, but menus
-    and the copyright notices at the end.
+    White space in a block is one space. Within article elements every line counts but those of
+    elements in doubt that are no prose, and so it is within main if there is no article or if main
+    has more text outside its articles than the largest of them. On a page that has neither, the
+    text runs from the first surge to the last dive, with headings, sentences and near paragraphs
+    outside, but without menus and the copyright notices at the end.
     """
     lines = lines_of(page or "")
     size: dict[int, int] = {}  # by article; 0 is what stands in main and in no article
-    for line, _, article, main in lines:
-        if line and (article or main):
-            size[article] = size.get(article, 0) + len(line)
+    for line in lines:
+        if line.text and (line.article or line.main):
+            size[line.article] = size.get(line.article, 0) + len(line.text)
     if size:
         outside = size.pop(0, 0)
         in_main = outside > max(size.values(), default=0)
-        lengths = [len(line) if (main if in_main else article) else 0 for line, _, article, main in lines]
-    else:
-        menus = _menus(lines)
-        lengths = [0 if i in menus else len(line[0]) for i, line in enumerate(lines)]
-        for i in range(len(lines) - 1, -1, -1):
-            if lengths[i] and not _NOTICE.match(lines[i][0]):
-                break
-            lengths[i] = 0
-    return " ".join(lines[i][0] for a, b in passages(lengths) for i in range(a, b) if lengths[i])
+        lengths = [len(line.text) if (line.main if in_main else line.article) else 0 for line in lines]
+        gone = _doubts(lines, lengths)
+        return " ".join(lines[i].text for i, n in enumerate(lengths) if n and i not in gone)
+    menus = _menus(lines)
+    lengths = [0 if i in menus else len(line.text) for i, line in enumerate(lines)]
+    for i in range(len(lines) - 1, -1, -1):
+        if lengths[i] and not _NOTICE.match(lines[i].text):
+            break
+        lengths[i] = 0
+    found = passages(lengths)
+    if not found:
+        return ""
+    surge, dive = found[0][0], found[-1][1]
+    near = range(surge + 1 - WINDOW, dive + WINDOW - 1)  # lines that share a window with those
+
+    def stays(i: int) -> bool:
+        line = lines[i]
+        return surge <= i < dive or line.heading or line.paragraph and i in near or bool(_SENTENCE.match(line.text))
+
+    return " ".join(lines[i].text for i, n in enumerate(lengths) if n and stays(i))
 
 
 def _extracted(batches):

@@ -78,38 +78,53 @@ class _Best:
         best = np.lexsort((r, -s))[: self.k]
         self.rows[i] = r[best], s[best]
         if len(best) == self.k:
-            self.floor[i] = s[best[-1]]
+            low = s[best[-1]]
+            # a double may stand above a whole number this large
+            self.floor[i] = low if abs(int(low)) < 2**53 else np.nextafter(float(low), -np.inf)
 
 
 def score_shard(best: _Best, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
     """Merge one shard (``rows``: one row each) into ``best``."""
-    d = rows.shape[1]
-    most = max(1, np.abs(queries).max(initial=0)) * max(1, np.abs(rows).max(initial=0)) * max(1, d)
-    kind = np.float64 if most < 2**53 else np.int64  # whole numbers are exact in doubles up to 2^53
+    # no sum of bounds is above this; whole numbers are exact in doubles up to 2^53
+    most = 2 * _largest(queries) * _largest(rows) * max(1, rows.shape[1])
+    kind = np.float64 if most < 2**53 else np.int64 if most < 2**63 else object
     postings = np.ascontiguousarray(rows.T.astype(kind))
     high, low = rows.max(0).astype(kind), rows.min(0).astype(kind)
     for at in range(0, len(queries), AT_ONCE):
         q = queries[at : at + AT_ONCE].astype(kind)
         floor = best.floor[at : at + AT_ONCE]
         top, bottom = np.maximum(q * high, q * low), np.minimum(q * high, q * low)
+        # queries to which nothing of this shard can matter any more pass it by
+        alive = np.flatnonzero(top.sum(1) >= floor)
+        if not len(alive):
+            continue
+        q, floor, top, bottom = q[alive], floor[alive], top[alive], bottom[alive]
         order = np.argsort(top - bottom, axis=1, kind="stable")
         reach = bottom.sum(1)[:, None] + np.cumsum(np.take_along_axis(top - bottom, order, 1), axis=1)
         essential = np.empty(q.shape, bool)
         np.put_along_axis(essential, order, reach >= floor[:, None], axis=1)
-        partial = (q * essential) @ postings
+        # only postings that are essential to some query of the block are traversed
+        read = np.flatnonzero(essential.any(0))
+        partial = (q[:, read] * essential[:, read]) @ postings[read]
         rest = np.where(essential, 0, top).sum(1)
         who, where = np.nonzero(partial + rest[:, None] >= floor[:, None])
         cuts = np.searchsorted(who, np.arange(len(q) + 1))
         for i in range(len(q)):
             found = where[cuts[i] : cuts[i + 1]]
             if len(found):
+                own = at + int(alive[i])
                 probe = ~essential[i]
                 scores = partial[i, found] + (q[i, probe] @ postings[probe][:, found] if probe.any() else 0)
                 if len(scores) > 4 * best.k + 1:  # one more than k: the query's own row may be among them
                     cut = np.partition(scores, len(scores) - best.k - 1)[len(scores) - best.k - 1]
-                    if (ids[found] == best.ids[at + i]).sum() <= 1:
+                    if (ids[found] == best.ids[own]).sum() <= 1:
                         found, scores = found[scores >= cut], scores[scores >= cut]
-                best.add(at + i, ids[found], scores.astype(np.int64))
+                best.add(own, ids[found], scores.astype(np.int64))
+
+
+def _largest(x: np.ndarray) -> int:
+    """The largest absolute value, 1 at least, as a number that does not overflow."""
+    return max(1, int(x.max(initial=0)), -int(x.min(initial=0)))
 
 
 def _search(k: int):

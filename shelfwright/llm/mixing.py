@@ -142,8 +142,9 @@ def quality_labels(labels: DataFrame) -> DataFrame:
 
 
 SQL_MIX = """
-z AS (SELECT doc_id, source, CASE WHEN length("text") > 0 THEN greatest(0.0::DOUBLE,
-             1 - 5.0::DOUBLE * (length("text") - length(translate("text", '#$%&*+/<=>@[]^_`{{|}}~', ''))) / length("text")) ELSE 0.5::DOUBLE END q, len(regexp_extract_all(coalesce("text", ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT size FROM {docs}),
+g AS (SELECT doc_id, avg(quality)::DOUBLE labelled FROM labels GROUP BY doc_id),
+z AS (SELECT doc_id, source, CASE WHEN labelled IS NOT NULL THEN labelled WHEN length("text") > 0 THEN greatest(0.0::DOUBLE,
+             1 - 5.0::DOUBLE * (length("text") - length(translate("text", '#$%&*+/<=>@[]^_`{{|}}~', ''))) / length("text")) ELSE 0.5::DOUBLE END q, len(regexp_extract_all(coalesce("text", ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT size FROM {docs} LEFT JOIN g USING (doc_id)),
 k AS (SELECT z.*, -ln((('0x' || substr(md5(coalesce(z.doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
              / (q + 1) "key" FROM z),
 s AS (SELECT source, sum(size)::BIGINT source_size, list_extract([5, 2, 1], ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT) w
@@ -169,4 +170,5 @@ mixed AS (SELECT doc_id, size, source_size, target,
 )
 def op6_mixing(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    labels = quality_labels(table(spark, folder, "labels"))
+    return mix(docs, labels=labels).select("doc_id", "size", "source_size", "target", "taken")

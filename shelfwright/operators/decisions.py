@@ -124,12 +124,16 @@ def failure_kind(message: Column) -> Column:
 
 
 def one_answer(decisions: DataFrame, key: str = "query_id") -> DataFrame:
-    """One answer per product where a call was repeated: a text goes before an error, and
-    among texts the greatest, so the pick does not depend on the order of arrival. Repeats
+    """One answer per product where a call was repeated: one without error that names an id goes
+    before one that only parses, that before any other text, and a text before none. Among equals
+    it is the greatest text, so the pick does not depend on the order of arrival. Repeats
     collapse map-side, and the join that follows needs the same partitioning."""
-    order = F.struct(F.col("response_text").isNotNull(), "response_text", "error")
+    answers = parse_decision(decisions.select(key, "response_text", "error"))
+    fine = F.col("error").isNull() & F.coalesce("parsed", F.lit(False))
+    text = F.col("response_text").isNotNull()
+    order = F.struct(fine & F.col("selected_id").isNotNull(), fine, text, "response_text", "error")
     best = F.max_by(F.struct("response_text", "error"), order).alias("_best")
-    return decisions.groupBy(key).agg(best).select(key, "_best.response_text", "_best.error")
+    return answers.groupBy(key).agg(best).select(key, "_best.response_text", "_best.error")
 
 
 def reconcile(found: DataFrame, decisions: DataFrame, key: str = "query_id") -> DataFrame:

@@ -227,3 +227,20 @@ def test_file_jobs(spark, tmp_path):
     assert [r["image_status"] for r in audited] == ["OK", "Status 500", "Not probed", "Not probed"]
     with pytest.raises(ValueError):
         J.audit_file(spark, str(tree_file), log)
+
+
+def test_an_answer_that_names_an_id_goes_before_a_greater_text(spark):
+    from shelfwright.operators.decisions import one_answer
+
+    rows = [(1, '{bad', None), (1, '{"selected_type_id": 2}', None), (2, '{"x": 1}', None), (2, "~ no answer", None)]
+    rows += [(3, '{"selected_type_id": 9}', "429 quota"), (3, '{"selected_type_id": 4}', None), (4, None, "down"), (4, "some text", None)]
+    rows += [(5, '{"selected_type_id": 1}', None), (5, '{"selected_type_id": 3}', None), (6, None, "b"), (6, None, "a")]
+    answers = spark.createDataFrame(rows, "query_id long, response_text string, error string")
+    assert sorted(map(tuple, one_answer(answers).collect())) == [
+        (1, '{"selected_type_id": 2}', None),
+        (2, '{"x": 1}', None),
+        (3, '{"selected_type_id": 4}', None),
+        (4, "some text", None),
+        (5, '{"selected_type_id": 3}', None),
+        (6, None, "b"),
+    ]

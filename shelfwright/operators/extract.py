@@ -112,6 +112,7 @@ def _pair(key: Column, value: Column) -> Column:
 def is_product_page_a(url: Column) -> Column:
     """Facts heads, classes: a heading without a card grid, a specification block, or a
     product-like URL without a card grid."""
+    # Class names, heading text and URL folders
     has_h1 = F.exists("heads", lambda h: h["level"] == 1)
     grid = F.array_contains("classes", "product-card-grid")
     spec_head = F.exists(
@@ -127,6 +128,7 @@ def is_product_page_b() -> Column:
     """Facts heads, links: a telling heading, or a data-sheet PDF and no brochure PDF."""
     heading = F.lower(F.array_join(F.flatten(F.transform("heads", lambda h: h["texts"])), " "))
     pdfs = F.transform(F.filter("links", lambda a: a["href"].contains(".pdf")), lambda a: F.lower(a["href"]))
+    # Words in the addresses of data sheets
     sheet = F.exists(pdfs, lambda h: h.contains("pds") | h.contains("data-sheet"))
     brochure = F.exists(pdfs, lambda h: h.contains("brochure"))
     return holds_any(heading, P.B_HEADINGS) | (sheet & ~brochure)
@@ -364,6 +366,7 @@ def specs_to_json(specs: Column) -> Column:
 
 def datasheet_a(url: Column) -> Column:
     """Fact links: a PDF link with a telling text, else a telling PDF address."""
+    # Fixed value: the file ending; the terms stand in the profile
     by_text = _first(
         "links",
         lambda a: a["href"].endswith(".pdf") & holds_any(F.lower(a["text"]), P.A_SHEET_TERMS),
@@ -455,7 +458,7 @@ def datasheet_b_fallback(url: Column) -> Column:
         "links",
         lambda a: F.arrays_overlap(a["anc"], _strings(P.B_DOWNLOAD_CLASSES))
         & a["href"].endswith(".pdf")
-        & ~holds_any(F.lower(a["href"]), ("sds", "safety")),
+        & ~holds_any(F.lower(a["href"]), ("sds", "safety")),  # Fixed values
         "href",
     )
     return _resolved(url, href)
@@ -470,6 +473,7 @@ def datasheet_b(url: Column) -> Column:
 
 def model_number_a(name: Column, url: Column, specs: Column | None = None) -> Column:
     """From the name if it is all capitals and digits, else the URL, else the specs."""
+    # Fixed value: what a name that is a model number looks like
     rx = rf"^([A-Z0-9{SPACE_IN}/\-]+?)(?:{SPACE}+-{SPACE}+FLEX)?$"
     from_name = strip(F.regexp_extract(name, rx, 1))
     slug = last_segment(F.lower(url))

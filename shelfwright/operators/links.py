@@ -65,10 +65,6 @@ def distinct_page_links(pages: DataFrame) -> DataFrame:
     return facts.select("page_id", F.explode(F.array_distinct(urls)).alias("abs_url"))
 
 
-def distinct_links(links: DataFrame) -> DataFrame:
-    return links.select("page_id", "abs_url").dropDuplicates()
-
-
 def unseen(links: DataFrame, seen: DataFrame) -> DataFrame:
     """Links whose ``abs_url`` is not among ``seen.url``."""
     known = seen.select(F.col("url").alias("abs_url")).distinct()

@@ -22,11 +22,6 @@ def leaves(tax: DataFrame) -> DataFrame:
     return tax.join(_parents(tax), "id", "left_anti")
 
 
-def names(tax: DataFrame) -> DataFrame:
-    """id -> name over all levels."""
-    return tax.select("id", "name")
-
-
 def resolve_paths(nodes: DataFrame, tax: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Add ``rich_text``: the dotted id path spelled with names, ``A > B > C``.
 

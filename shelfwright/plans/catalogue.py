@@ -228,12 +228,6 @@ def find_candidates(
     return nearest(vectors, candidates, k, key, **opts).drop("embedding")
 
 
-def decide(found: DataFrame, key: str, decisions: DataFrame | None = None, fill_path: bool = False) -> DataFrame:
-    """The reviewer's answers where given, else the nearest candidate."""
-    slim = found.select(key, "candidates")
-    return decide_by_vector(slim, fill_path) if decisions is None else reconcile(slim, decisions, key)
-
-
 def classify_products(
     products: DataFrame,
     candidates: DataFrame,
@@ -304,7 +298,6 @@ __all__ = [
     "clean_products",
     "crawl_products",
     "crawled_pages",
-    "decide",
     "extract_a",
     "extract_b",
     "find_candidates",

@@ -32,9 +32,9 @@ def readable(text: Column) -> Column:
     return F.when(F.length(text) > 0, F.greatest(F.lit(0.0), 1 - 5.0 * symbols / F.length(text))).otherwise(0.5)
 
 
-def uniform(id: Column) -> Column:
-    """In (0, 1), from 52 bits of the md5 of the id as text: the same in every run."""
-    digits = F.substring(F.md5(F.coalesce(id.cast("string"), F.lit("")).cast("binary")), 1, 13)
+def uniform(id: Column, text: Column) -> Column:
+    """In (0, 1), from 52 bits of the md5 of the id as text, of the text itself without an id: the same in every run."""
+    digits = F.substring(F.md5(F.coalesce(id.cast("string"), text, F.lit("")).cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -61,6 +61,19 @@ def _targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: f
     return src.select("src", "source_size", target.alias("target"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows numbered from 1 in each source, as ``seat``: counted by part first, then inside each part.
+
+    The rows are written with their parts, so a task run again numbers them alike.
+    """
+    rows = settle(rows.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}))
+    before = F.sum("n").over(Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = rows.groupBy("src", "part").agg(F.count("*").alias("n"))
+    parts = settle(parts.select("src", "part", F.coalesce(before, F.lit(0)).alias("ahead")))
+    seat = F.col("ahead") + F.row_number().over(Window.partitionBy("src", "part").orderBy("at"))
+    return rows.join(counted_broadcast(parts), ["src", "part"]).withColumn("seat", seat).drop("part", "at", "ahead")
+
+
 def mix(
     docs: DataFrame,
     quality: Column | None = None,
@@ -78,17 +91,19 @@ def mix(
     weight is 1 plus the mean quality that ``labels`` (id, quality; any number of rows per id) gives
     the document, or else ``quality``, both between 0 and 1; by default that is taken from the text.
     ``copies`` is how often the mix takes the document: the complete epochs, plus one if its key is
-    not above the source's cut. The document on which the budget ends is taken if that comes nearer to the target. Rows without words are never drawn; rows
-    equal in id and text share their fate, and null ids share one draw. No row is dropped.
+    not above the source's cut. The document on which the budget ends is taken if that comes nearer to the target. Rows without words are never drawn;
+    a row without an id draws by its text. Rows equal in id and text share a key, and where the cut
+    lies among them as many are taken as bring the source nearest to its target. No row is dropped;
+    an empty table stays empty, and of the caller's columns only those named like the new ones are replaced.
 
     Nothing wide is shuffled: sums per source and bucket, then one cut per source, broadcast if
-    counted to be few. Labels are averaged first and broadcast likewise; more labelled documents
+    counted to be few; only rows among which a cut lies are written, to be numbered. Labels are averaged first and broadcast likewise; more labelled documents
     than that cost one shuffle of the rows.
     """
     row = docs.select(packed(docs))
     field = {c: F.col(f"__row.`{c}`") for c in (id, text, source)}
     src = F.concat(F.when(field[source].isNull(), "1").otherwise("0"), F.coalesce(field[source], F.lit("")))
-    row = row.withColumns({"src": src, "size": word_count(field[text]), "u": uniform(field[id]), "id": field[id]})
+    row = row.withColumns({"src": src, "size": word_count(field[text]), "u": uniform(field[id], field[text]), "id": field[id]})
     row = row.withColumn("grade", readable(field[text]) if quality is None else F.coalesce(quality, F.lit(0.5)))
     row = row.withColumn("tie", F.xxhash64("id", field[text]))
     if labels is not None:
@@ -113,19 +128,25 @@ def mix(
     at = at.where((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("size") > F.col("rest")))
     last = settle(at.select("src", "bucket", "before", "rest"))
     inside = narrow.join(counted_broadcast(last), ["src", "bucket"]).where(F.col("size") > 0)
-    upto = F.col("before") + F.sum("size").over(
-        Window.partitionBy("src").orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    inside = inside.withColumn("mid", upto - F.col("size") / 2).where(F.col("mid") <= F.col("rest"))
-    cut = inside.groupBy("src").agg(F.max(F.struct("key", "tie")).alias("cut"))
+    # rows of one key are alike and of one size; the last key of which any is taken is the cut
+    alike = inside.groupBy("src", "before", "rest", "key", "tie").agg(F.min("size").alias("size"), F.count("*").alias("rows"))
+    earlier = Window.partitionBy("src").orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("rest") - F.col("before") - F.coalesce(F.sum(F.col("size") * F.col("rows")).over(earlier), F.lit(0))
+    alike = alike.withColumn("some", F.least("rows", F.floor(left / F.col("size") + 0.5))).where("some > 0")
+    cut = alike.groupBy("src").agg(F.max(F.struct("key", "tie", "some", "rows")).alias("cut"))
     cuts = settle(
         targets.join(last.select("src", F.col("bucket").alias("last")), "src", "left").join(cut, "src", "left")
     )
+    cuts = cuts.select("*", F.struct("cut.key", "cut.tie").alias("upto"), (F.col("cut.some") < F.col("cut.rows")).alias("partly"))
     out = row.join(counted_broadcast(cuts), "src")
     drawn = (F.col("bucket") < F.col("last")) | (
-        (F.col("bucket") == F.col("last")) & F.coalesce(F.struct("key", "tie") <= F.col("cut"), F.lit(False))
+        (F.col("bucket") == F.col("last")) & F.coalesce(F.struct("key", "tie") <= F.col("upto"), F.lit(False))
     )
-    drawn = F.coalesce(drawn, F.lit(False)) & (F.col("size") > 0) & (F.col("rest") > 0)
+    out = out.withColumn("drawn", drawn)
+    if not cuts.where("partly").isEmpty():
+        parted = F.coalesce(F.col("partly") & (F.struct("key", "tie") == F.col("upto")) & (F.col("size") > 0), F.lit(False))
+        out = out.where(~parted).unionByName(_numbered(out.where(parted)).withColumn("drawn", F.col("seat") <= F.col("cut.some")).drop("seat"))
+    drawn = F.coalesce("drawn", F.lit(False)) & (F.col("size") > 0) & (F.col("rest") > 0)
     copies = F.when(F.col("size") > 0, F.col("epochs") + drawn.cast("int")).otherwise(0)
     new = {
         "size": F.col("size"),
@@ -143,9 +164,9 @@ def quality_labels(labels: DataFrame) -> DataFrame:
 
 SQL_MIX = """
 g AS (SELECT doc_id, avg(quality)::DOUBLE labelled FROM labels GROUP BY doc_id),
-z AS (SELECT doc_id, source, CASE WHEN labelled IS NOT NULL THEN labelled WHEN length("text") > 0 THEN greatest(0.0::DOUBLE,
+z AS (SELECT doc_id, source, "text" body, CASE WHEN labelled IS NOT NULL THEN labelled WHEN length("text") > 0 THEN greatest(0.0::DOUBLE,
              1 - 5.0::DOUBLE * (length("text") - length(translate("text", '#$%&*+/<=>@[]^_`{{|}}~', ''))) / length("text")) ELSE 0.5::DOUBLE END q, len(regexp_extract_all(coalesce("text", ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT size FROM {docs} LEFT JOIN g USING (doc_id)),
-k AS (SELECT z.*, -ln((('0x' || substr(md5(coalesce(z.doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+k AS (SELECT z.*, -ln((('0x' || substr(md5(coalesce(z.doc_id::VARCHAR, z.body, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
              / (q + 1) "key" FROM z),
 s AS (SELECT source, sum(size)::BIGINT source_size, list_extract([5, 2, 1], ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT) w
       FROM z GROUP BY source),

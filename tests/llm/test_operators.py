@@ -259,6 +259,27 @@ def test_mixing_on_odd_rows(spark):
     assert mixing.mix(odd_docs(spark).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("id", [7, None])
+def test_mixing_splits_equal_rows_at_the_cut(spark, id):
+    """Every source holds nothing but copies of one row, over many partitions; each still comes near its target."""
+    rows = [(id, "one two three", s, "x") for s in ("a", "b", "c") for _ in range(101)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string").repartition(7)
+    out = mixing.mix(docs).collect()
+    assert len(out) == len(rows)
+    for s in "abc":
+        mine = [r for r in out if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 1.5
+        assert max(r.copies for r in mine) - min(r.copies for r in mine) <= 1 and {r.size for r in mine} == {3}
+
+
+def test_mixing_draws_rows_without_id_by_text(spark):
+    docs = spark.createDataFrame([(None, f"w{i} x", s) for i in range(90) for s in "ab"], "doc_id long, text string, source string")
+    out = mixing.mix(docs).collect()
+    for s in "ab":
+        mine = [r for r in out if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 1
+
+
 def plain_mix(docs, grades):
     """Copies of every row (id, text, source) by the definition, one source at a time."""
     import hashlib

@@ -23,8 +23,10 @@ from shelfwright.session import settle, ship_package
 SHINGLE, SIMILARITY = 5, 75
 COORDINATES, MATCHES = 32, 10
 PREFIX = COORDINATES - MATCHES + 1
-#: Classes in a block of a herd; columns of shared shingles counted at once.
-BLOCK, COLUMNS = 256, 8192
+#: Classes and shingles in a block of a herd; columns of shared shingles counted at once.
+BLOCK, WEIGHT, COLUMNS = 256, 1 << 18, 8192
+#: A herd's list of so many postings is joined in pairs; the members of longer ones meet in blocks.
+SHORT = 32
 
 _U = np.uint64
 _WORD_SEED, _MIX1, _MIX2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -151,21 +153,102 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return settle(pairs.where(both * 100 >= either * SIMILARITY).select("u", "v"))
 
 
-def herd_links(herds: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links inside each herd (node, root as herd) beyond those that made ``roots``, as forests.
+def herd_links(herds: DataFrame, roots: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links inside each herd (node, root as herd) beyond those that made ``roots``, enough to span them.
 
-    A herd's largest component is never compared with itself; everything else meets in blocks.
+    A herd's largest component is never compared with itself. The others' shingles are counted,
+    rare ones go first, and a set is posted under as many as two similar sets must share one of: a
+    family that shares only what is frequent in it posts nothing that meets. Members of a list are
+    compared with its pivot; of lists that are still in several components, short ones are
+    joined, and the members of long ones meet in blocks.
     """
     found = herds.select("node", F.col("root").alias("herd")).join(roots, "node", "left")
     found = settle(found.withColumn("root", F.coalesce("root", "node")))
+    found = _outside_main(found)
+    if found.isEmpty():
+        return found.selectExpr("node AS u", "node AS v")
+    info = settle(found.join(classes.select("node", "n", "sig"), "node"))
+    posted = _rare_postings(info, sets)
+
+    lists = _open_lists(posted)
+    stars = posted.join(lists, "key").where(F.col("node") != F.col("pivot"))
+    stars = stars.select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct()
+    linked = confirmed(*_promising(stars, info, sets))
+    if not linked.isEmpty():
+        ends = info.select("node", "root")
+        roots = linked.join(ends.toDF("u", "ru"), "u").join(ends.toDF("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
+        joined = components(roots).toDF("root", "into")
+        info = settle(info.join(joined, "root", "left").withColumn("root", F.coalesce("into", "root")).drop("into"))
+        posted = settle(posted.drop("root").join(info.select("node", "root"), "node"))
+    lists = _open_lists(posted)
+    rows = settle(posted.join(lists.select("key", "long"), "key"))
+    few = rows.where(F.col("long") <= SHORT)
+    x, y = few.alias("x"), few.alias("y")
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+    pairs = x.join(y, meet & _similar_size("x.n", "y.n")).select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
+    linked = linked.unionByName(confirmed(*_promising(pairs, info, sets)))
+    dense = _outside_main(rows.where(F.col("long") > SHORT).select("herd", "node", "root").distinct())
+    return linked if dense.isEmpty() else linked.unionByName(_block_links(dense.join(info.select("node", "n"), "node"), sets))
+
+
+def _outside_main(found: DataFrame) -> DataFrame:
+    """(herd, rest, node, root) of the herds in several components; rest is 0 in the herd's largest."""
     parts = found.groupBy("herd", "root").count()
     main = parts.groupBy("herd").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("parts"))
     found = found.join(main.where("parts > 1"), "herd").withColumn("rest", (F.col("root") != F.col("main")).cast("int"))
-    found = settle(found.select("herd", "rest", "node"))
-    many = found.groupBy("herd", "rest").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    return settle(found.select("herd", "rest", "node", "root"))
+
+
+def _rare_postings(info: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, node, n, herd, rest, root): each set under the shingles that come first, by their count outside the main component.
+
+    Sets of n and more with similarity 0.75 share at least 75% of n, so one of the first n - 75% + 1 of either.
+    """
+    members = counted_broadcast(info.select("node", "herd", "rest"))
+    flat = sets.join(members, "node").select(
+        "node", "rest", F.explode(F.transform("shingles", lambda x: F.xxhash64("herd", x))).alias("key")
+    )
+    often = settle(flat.where("rest = 1").groupBy("key").agg(F.count("*").alias("often")))
+    known = flat.join(counted_broadcast(often), "key").groupBy("node").agg(F.collect_list(F.struct("often", "key")).alias("known"))
+    first = F.col("n") - F.ceil(F.col("n") * SIMILARITY / 100) + 1
+    # shingles that no set outside the main component has come before all others and need no posting
+    rare = F.slice(F.array_sort("known"), 1, F.greatest(F.lit(0), (first - F.col("n") + F.size("known")).cast("int")))
+    per = known.join(info.drop("sig"), "node").select("node", "n", "herd", "rest", "root", rare.alias("rare"))
+    return settle(per.select("node", "n", "herd", "rest", "root", F.explode("rare.key").alias("key")))
+
+
+def _open_lists(posted: DataFrame) -> DataFrame:
+    """Lists whose members are in several components, with their length and pivot, of the main component if possible."""
+    per = posted.groupBy("key").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.count("*").alias("long"),
+        F.min(F.struct("rest", "node"))["node"].alias("pivot"),
+    )
+    return per.where("low <> high").select("key", "long", "pivot")
+
+
+def _promising(pairs: DataFrame, info: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of different components, like sizes and enough collisions, and the sets of their ends."""
+    for s in "uv":
+        pairs = pairs.join(info.select(*[F.col(c).alias(f"{s}_{c}") for c in ("root", "n", "sig")], F.col("node").alias(s)), s)
+    pairs = pairs.where((F.col("u_root") != F.col("v_root")) & _similar_size("u_n", "v_n"))
+    pairs = settle(pairs.where(_collisions("u_sig", "v_sig") >= MATCHES).select("u", "v"))
+    return pairs, sets.join(counted_broadcast(settle(_ends(pairs))), "node")
+
+
+def _block_links(found: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the members of each herd, except inside its main component, as forests; all blocks meet.
+
+    A block holds ``BLOCK`` sets or ``WEIGHT`` shingles on average, whichever is less.
+    """
+    many = found.groupBy("herd", "rest").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / WEIGHT)).alias("blocks")
+    )
     dealt = found.join(many, ["herd", "rest"])
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")) * 2 + F.col("rest"))
-    blocks = dealt.join(sets, "node").groupBy("herd", "rest", "block").agg(
+    dealt = counted_broadcast(settle(dealt.select("herd", "rest", "block", "node")))
+    blocks = sets.join(dealt, "node").groupBy("herd", "rest", "block").agg(
         F.collect_list(F.struct("node", "shingles")).alias("members")
     )
     blocks = settle(blocks)
@@ -199,8 +282,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     the components, null where a text has no words.
 
     Documents with equal sets are one class, joined once. Classes that collide enough with the
-    pivot of a list they share form herds; a herd's members meet in blocks inside a task, except
-    for its largest component, which the pivots have already linked. Classes of different herds
+    pivot of a list they share form herds; what the pivots have not linked in a herd meets by the
+    rarest shingles of its sets, and only members of long lists of those in blocks. Classes of different herds
     meet in pairs, in the join and under its filters. No list is capped and no pair is left out. Texts are not shuffled unless more than
     ``BROADCAST_ROWS`` of them have candidates.
     """
@@ -233,7 +316,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     herds = components(stars)
     sets = sets_of(herds.select("node"), rows, classes)
     edges = confirmed(stars, sets)
-    edges = edges.unionByName(herd_links(herds, components(edges), sets))
+    edges = edges.unionByName(herd_links(herds, components(edges), sets, classes))
 
     flat = settle(_apart(prefixes.select("node", "n", "sig", "rare", F.explode("rare").alias("at")), herds))
     flat = flat.withColumn("rare", F.transform("rare", lambda x: x["key"]))

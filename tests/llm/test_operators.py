@@ -382,8 +382,10 @@ def shingle_set(text):
     return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
 
-def test_herds_lose_no_link(spark):
+@pytest.mark.parametrize("short", [minhash_join.SHORT, 2, 10**6])
+def test_herds_lose_no_link(spark, monkeypatch, short):
     """A family of near copies around one text, of which many pairs are just not similar enough."""
+    monkeypatch.setattr(minhash_join, "SHORT", short)
     g = np.random.default_rng(4)
     base = [f"b{i}" for i in range(90)]
     rows = []
@@ -417,6 +419,20 @@ def test_herds_lose_no_link(spark):
     assert minhash_join.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_boilerplate_without_links_meets_nowhere(spark, monkeypatch):
+    """Pages that share 40 of 68 words are one herd; none of them is sent to a block or compared in a pair."""
+    compared = []
+    keep = minhash_join.confirmed
+    monkeypatch.setattr(minhash_join, "confirmed", lambda pairs, sets: compared.append(pairs.count()) or keep(pairs, sets))
+    monkeypatch.setattr(minhash_join, "_block_links", None)
+    shared = [f"s{i}" for i in range(40)]
+    rows = [(d, " ".join(shared + [f"o{d}_{i}" for i in range(28)])) for d in range(600)]
+    rows += [(1000, rows[5][1] + " one"), (1001, rows[5][1] + " two")]
+    out = minhash_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in out if not r.kept} == {1000, 1001} and {r.component_id for r in out if not r.kept} == {5}
+    assert sum(compared[1:]) <= 10
+
+
 def test_one_row_of_each_component_stays(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
     near = " and more".join([a, ""])

@@ -111,12 +111,12 @@ def nearest(
 
     Rows are told apart by themselves, never by ``key``. Candidates without a vector are left
     out; vectors of different length are an error. ``candidates`` has ``id``, the vector, and optionally ``name``, ``path``,
-    ``numeric_path``. If its counted size fits ``max_bytes`` it is broadcast and no row is
+    ``numeric_path``. It is evaluated once, into a table. If its counted size fits ``max_bytes`` it is broadcast and no row is
     shuffled; otherwise both sides are cut into blocks. Fewer candidates than k give a
     shorter list.
     """
     ship_package(queries.sparkSession)
-    cands = _ordered(candidates, vec, order)
+    cands = settle(_ordered(candidates, vec, order))
     text = sum((F.coalesce(F.octet_length(a), F.lit(0)) for a in ("name", "path", "numeric_path")), F.lit(64))
     n, least, dim, words = cands.agg(
         F.count("*"), F.min(F.size("_vec")), F.max(F.size("_vec")), F.sum(text)

@@ -27,22 +27,21 @@ def resolve_paths(nodes: DataFrame, tax: DataFrame, max_rows: int = 200_000) ->
 
     An id that is not in ``tax`` shows as ``Unknown(id)``, a segment that is no number as
     ``Invalid(segment)``, a missing path as ''. The root's id occurs in a large share of all
-    paths, so the name lookup is the skew-safe one.
+    paths, so the name lookup is the skew-safe one. Each path is spelled once; rows stay as they are,
+    repeated ones too, and of several names of one id the smallest counts.
     """
-    cols = nodes.columns
-    segs = nodes.select("*", F.posexplode_outer(F.split("path", r"\.")).alias("_pos", "_seg"))
+    paths = nodes.select("path").where(F.col("path").isNotNull()).distinct()
+    segs = paths.select("path", F.posexplode(F.split("path", r"\.")).alias("_pos", "_seg"))
     segs = segs.withColumn("_node", F.expr("try_cast(_seg AS BIGINT)"))
-    lookup = tax.select(F.col("id").alias("_node"), F.col("name").alias("_name"))
-    named = lookup_join(segs, lookup, "_node", F.col("id"), max_rows)
-    label = (
-        F.when(F.col("_seg").isNull(), None)
-        .when(F.col("_node").isNull(), F.concat(F.lit("Invalid("), "_seg", F.lit(")")))
-        .otherwise(F.coalesce("_name", F.concat(F.lit("Unknown("), "_seg", F.lit(")"))))
+    lookup = tax.select(F.col("id").alias("_node"), F.col("name").alias("_name")).groupBy("_node").agg(F.min("_name").alias("_name"))
+    named = lookup_join(segs, lookup, "_node", F.col("path"), max_rows)
+    label = F.when(F.col("_node").isNull(), F.concat(F.lit("Invalid("), "_seg", F.lit(")"))).otherwise(
+        F.coalesce("_name", F.concat(F.lit("Unknown("), "_seg", F.lit(")")))
     )
     parts = F.array_sort(F.collect_list(F.struct("_pos", label.alias("label"))))
-    return named.groupBy(*cols).agg(
-        F.array_join(F.transform(parts, lambda p: p["label"]), " > ").alias("rich_text")
-    )
+    spelled = named.groupBy("path").agg(F.array_join(F.transform(parts, lambda p: p["label"]), " > ").alias("rich_text"))
+    out = nodes.join(spelled, "path", "left")
+    return out.select(*nodes.columns, F.coalesce("rich_text", F.lit("")).alias("rich_text"))
 
 
 def flatten_taxonomy(tax: DataFrame) -> DataFrame:

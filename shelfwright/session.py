@@ -104,6 +104,18 @@ def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, count_up_to: int = 4 <<
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def heavy_keys(df: DataFrame, key: str, share: float) -> list:
+    """Keys that hold about ``share`` of the rows or more, null aside: at most a few times 1 / ``share``.
+
+    One pass with a frequent-items sketch, merged from all partitions; no row is shuffled. A key
+    near the bound may be on either side of it, one well above it is never missed.
+    """
+    most = round(1 / share)
+    sketch = F.expr(f"approx_top_k(`{key}`, {2 * most}, {16 * most})").alias("top")
+    top, rows = df.where(F.col(key).isNotNull()).agg(sketch, F.count("*")).first()
+    return [t["item"] for t in top or () if t["count"] >= share * rows]
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -111,20 +123,22 @@ def lookup_join(
     spread_by: Column,
     max_rows: int = SMALL_ROWS,
     salts: int = 32,
+    share: float = 0.001,
 ) -> DataFrame:
     """Left join to a side that is unique on ``key``, safe when one key holds much of ``left``.
 
-    A counted-small ``right`` is broadcast. Otherwise every left row gets a salt taken from
-    ``spread_by`` (a hash, so a re-run task salts alike) and ``right`` is repeated once per
-    salt, so a hot key is shared by ``salts`` tasks. Rows without a key match nothing and
-    are spread over many more.
+    ``right`` is evaluated once, into a table. If that is counted small, it is broadcast. Otherwise
+    keys that hold ``share`` of ``left`` or more are looked for: only their rows of ``right``, no
+    more than a few times 1 / ``share``, are repeated once per salt, and only their rows of ``left``
+    get one, taken from ``spread_by`` (a hash, so a re-run task salts alike). All other keys meet
+    plainly. Rows without a key match nothing and are spread over many tasks.
     """
+    right = settle(right)
     if is_small(right, max_rows):
         return left.join(F.broadcast(right), key, "left")
+    hot = F.col(key).isin(heavy_keys(left, key, share))
     h = F.xxhash64(spread_by)
-    wide = F.pmod(h, F.lit(1 << 20))
-    salted = left.withColumn("_salt", F.when(F.col(key).isNull(), wide).otherwise(F.pmod(h, F.lit(salts))))
-    copies = right.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+    none, one = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
+    salt = F.when(F.col(key).isNull(), F.pmod(h, F.lit(1 << 20))).when(hot, F.pmod(h, F.lit(salts))).otherwise(none)
+    copies = right.withColumn("_salt", F.explode(F.sequence(none, F.when(hot, one).otherwise(none))))
+    return left.withColumn("_salt", salt).join(copies, [key, "_salt"], "left").drop("_salt")

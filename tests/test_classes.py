@@ -46,6 +46,14 @@ def test_a_label_has_as_many_parts_as_its_path(tree):
     assert all(len(r["rich_text"].split(" > ")) == len(r["path"].split(".")) for r in rows)
 
 
+def test_repeated_nodes_and_map_columns_keep_their_label(spark, tree):
+    nodes = tree.unionByName(tree).withColumn("extra", F.create_map(F.lit("a"), "name"))
+    for rows in (200_000, 0):
+        got = T.resolve_paths(nodes, tree.unionByName(tree), rows)
+        assert got.count() == nodes.count() and got.columns == [*nodes.columns, "rich_text"]
+        assert {r.rich_text for r in got.where("id = 100").collect()} == {"Tools, all > Drills > Hammer drill"}
+
+
 # ---- nearest neighbours -----------------------------------------------------------------
 
 

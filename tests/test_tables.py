@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfwright.operators import audit as A
 from shelfwright.operators import rows as R
 from shelfwright.schemas import PROBE_SCHEMA, PRODUCT_COLUMNS, RECORD_SCHEMA
-from shelfwright.session import is_small, lookup_join
+from shelfwright.session import heavy_keys, is_small, lookup_join
 from shelfwright.sources import sinks as K
 from shelfwright.sources import tables as S
 from shelfwright.streaming import items as ST
@@ -144,6 +144,19 @@ def test_lookup_join_with_one_hot_key_and_many_nulls(spark):
     assert salted.columns == ["k", "id", "v"]
 
 
+def test_only_heavy_keys_are_repeated(spark, monkeypatch):
+    from shelfwright import session
+
+    left = spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    assert heavy_keys(left, "k", 0.001) == [7] and heavy_keys(left.limit(0), "k", 0.001) == []
+    times = []
+    right = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    monkeypatch.setattr(session, "settle", lambda df: times.append(1) or df)
+    got = lookup_join(left, right, "k", F.col("id"), 0)
+    assert len(times) == 1 and got.where("v = 14").count() == 20_001 and got.count() == 60_000
+    assert got.where("v IS NOT NULL AND k <> 7").count() == left.where("k < 1000 AND k <> 7").count()
+
+
 def test_is_small_counts_no_further_than_needed(spark):
     assert is_small(spark.range(10), 10) and not is_small(spark.range(11), 10)
     assert not is_small(spark.range(1), 0)

@@ -3,9 +3,12 @@
 The two words before a token predict a vector, the sum of their representations scaled per
 position; a token's score is that vector times its own vector plus its bias. Tokens are classes:
 the most frequent words one each, all others by the last letters of the word; inside a class of
-rare words a word has its smoothed unigram share. Every task trains on its own documents against
-shared noise; after each round the parameters of all tasks are averaged. Normalisers of all
-contexts come out of batched matrix products, once, so that scoring is exact and cheap.
+rare words a word has its smoothed unigram share. The number of classes follows the cube root of
+the counted vocabulary, so that the matrix products over all contexts and classes grow no faster
+than the input. Documents are dealt by a hash into streams of about equal length, however the input
+is partitioned; each stream trains against shared noise, and after each round the parameters of all
+streams are averaged. Normalisers of all contexts come out of batched matrix products, once, so that
+scoring is exact and cheap.
 
 Probabilities are over all known words and one unseen word per class, and sum to one.
 """
@@ -16,6 +19,7 @@ import math
 import zlib
 from collections import Counter
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,23 +29,25 @@ from pyspark.sql import functions as F
 from shelfwright.llm.common import hash_pair, id_hash, query, table
 from shelfwright.session import settle, ship_package
 
-#: Words that are a class of their own; classes of all other words; length of the vectors.
-WORDS, ENDINGS, SIZE = 512, 64, 24
+#: Times the cube root of the counted vocabulary: words that are a class of their own, and classes of all other words.
+PER_ROOT = 6
+#: Most classes of both kinds together: their table of normalisers, 150 MB, is sent to every task.
+MOST_CLASSES = 6144
+#: Length of the vectors; last bytes of a word that its class goes by, unless it has its own.
+SIZE, LAST = 24, 3
 #: Word counts sent to every task; all rarer words meet their counts in a join.
 COUNTS = 1 << 17
 #: Rounds of training, each over its own third of the training documents; positions in a step; noise in a step.
 ROUNDS, STEP, NOISE = 3, 2048, 64
 RATE = 0.15
 SMOOTH = 0.1
+#: Tokens of a training stream in a round, about.
+STREAM = 1 << 19
 #: Texts that a scoring task holds as words at a time.
 AT_ONCE = 256
-#: Tasks whose parameters are added up before the driver sees them.
+#: Tasks that add up the streams' parameters before the driver sees them.
 ADDERS = 8
 
-# Classes: words 0 .. WORDS-1, endings after them, then the end of a text; a context may also be the start.
-END = WORDS + ENDINGS
-START = END + 1
-CLASSES, CONTEXTS = END + 1, END + 2
 END_WORD = b"\n"  # no word holds white space, so this stands for the end
 
 
@@ -50,20 +56,44 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def ending_class(word: bytes) -> int:
-    """The class of a word that is not frequent."""
-    return WORDS + zlib.crc32(word.strip(b".,;:!?")[-2:]) % ENDINGS
+class Layout(NamedTuple):
+    """Classes: words from 0, endings after them, then the end of a text; a context may also be the start."""
+
+    words: int
+    endings: int
+
+    @classmethod
+    def of(cls, vocabulary: int, words: int) -> "Layout":
+        """For so many counted words, ``words`` of which the driver knows."""
+        n = min(int(PER_ROOT * vocabulary ** (1 / 3)), MOST_CLASSES // 2)
+        return cls(min(n, words), max(n, 1))
+
+    @property
+    def end(self) -> int:
+        return self.words + self.endings
+
+    @property
+    def start(self) -> int:
+        return self.end + 1
+
+    @property
+    def shapes(self) -> tuple[tuple[int, ...], ...]:
+        return (self.end + 2, SIZE), (2, SIZE), (self.end + 1, SIZE), (self.end + 1,)
+
+    def ending(self, word: bytes) -> int:
+        """The class of a word that is not frequent."""
+        return self.words + zlib.crc32(word.strip(b".,;:!?")[-LAST:]) % self.endings
 
 
 class Classes(dict):
     """Word to class; classes of words that are not frequent are worked out when first asked for."""
 
-    def __init__(self, frequent: list[bytes]):
-        self.own = {w: i for i, w in enumerate(frequent[:WORDS])}
+    def __init__(self, frequent: list[bytes], layout: Layout):
+        self.own, self.layout = {w: i for i, w in enumerate(frequent)}, layout
         super().__init__(self.own)
 
     def __missing__(self, word: bytes) -> int:
-        c = self[word] = ending_class(word)
+        c = self[word] = self.layout.ending(word)
         return c
 
     def encode(self, words: list[bytes]) -> np.ndarray:
@@ -72,7 +102,7 @@ class Classes(dict):
             self.clear()
             self.update(self.own)
         out = np.empty(len(words) + 3, np.int32)
-        out[:2], out[-1] = START, END
+        out[:2], out[-1] = self.layout.start, self.layout.end
         out[2:-1] = list(map(self.__getitem__, words))
         return out
 
@@ -100,41 +130,42 @@ def _counted(batches):
 class Parameters:
     """Context vectors r, position scales c, target vectors q, biases b."""
 
-    SHAPES = ((CONTEXTS, SIZE), (2, SIZE), (CLASSES, SIZE), (CLASSES,))
-
     def __init__(self, arrays: list[np.ndarray]):
         self.r, self.c, self.q, self.b = arrays
 
     @classmethod
-    def start(cls, share: np.ndarray) -> "Parameters":
+    def start(cls, share: np.ndarray, layout: Layout) -> "Parameters":
         g = np.random.default_rng(5)
-        r, q = (g.normal(0, 0.1, s) for s in (cls.SHAPES[0], cls.SHAPES[2]))
+        r, q = (g.normal(0, 0.1, s) for s in (layout.shapes[0], layout.shapes[2]))
         return cls([r, np.ones((2, SIZE)), q, np.log(share)])
 
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in (self.r, self.c, self.q, self.b)])
 
     @classmethod
-    def of(cls, flat: np.ndarray) -> "Parameters":
-        cuts = np.cumsum([math.prod(s) for s in cls.SHAPES])[:-1]
-        return cls([a.reshape(s).copy() for a, s in zip(np.split(flat, cuts), cls.SHAPES)])
-
-    def products(self) -> tuple[np.ndarray, np.ndarray]:
-        """What the word before (bias included) and the word two before add to every class's score: [context, class]."""
-        return (self.r * self.c[0]) @ self.q.T + self.b, (self.r * self.c[1]) @ self.q.T
+    def of(cls, flat: np.ndarray, layout: Layout) -> "Parameters":
+        cuts = np.cumsum([math.prod(s) for s in layout.shapes])[:-1]
+        return cls([a.reshape(s).copy() for a, s in zip(np.split(flat, cuts), layout.shapes)])
 
     def predict(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """The vectors that the contexts (one before, two before) predict."""
         return self.r[one] * self.c[0] + self.r[two] * self.c[1]
 
-    def log_normalisers(self) -> np.ndarray:
-        """log of the sum over all classes, for every pair of contexts: [one before, two before]."""
-        out = np.empty((CONTEXTS, CONTEXTS), np.float32)
-        first, second = (a.astype(np.float32) for a in self.products())
-        for i in range(CONTEXTS):
-            s = first[i] + second
-            top = s.max(1)
-            out[i] = top + np.log(np.exp(s - top[:, None]).sum(1))
+    def log_normalisers(self, block: int = 256) -> np.ndarray:
+        """log of the sum over all classes, for every pair of contexts: [one before, two before].
+
+        A class's weight is the product of what either context gives it, so the sums of all pairs
+        are one matrix product.
+        """
+        n = len(self.r)
+        second = ((self.r * self.c[1]) @ self.q.T).astype(np.float32)
+        top = second.max(1)
+        second = np.exp(second - top[:, None]).T
+        out = np.empty((n, n), np.float32)
+        for i in range(0, n, block):
+            first = (self.r[i : i + block] * self.c[0]) @ self.q.T + self.b
+            most = first.max(1)[:, None]
+            out[i : i + block] = np.log(np.exp(first - most).astype(np.float32) @ second) + most + top
         return out
 
 
@@ -147,7 +178,7 @@ def _row_sums(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 class Trainer:
     """Noise-contrastive steps with per-parameter rates, in single precision."""
 
-    def __init__(self, p: Parameters, share: np.ndarray, seed: int):
+    def __init__(self, p: Parameters, share: np.ndarray, seed: list[int]):
         self.p, self.g = Parameters([a.astype(np.float32) for a in (p.r, p.c, p.q, p.b)]), np.random.default_rng(seed)
         self.upto, self.log_noise = np.cumsum(share), np.log(share * NOISE).astype(np.float32)
         self.steepness = [np.full(a.shape, 1e-3) for a in (p.r, p.c, p.q, p.b)]
@@ -157,7 +188,8 @@ class Trainer:
         p, n = self.p, len(target)
         r1, r2, qt = p.r.take(one, 0), p.r.take(two, 0), p.q.take(target, 0)
         h = r1 * p.c[0] + r2 * p.c[1]
-        noise = np.minimum(self.upto.searchsorted(self.g.random(NOISE), "right"), CLASSES - 1)
+        contexts, classes = len(p.r), len(p.b)
+        noise = np.minimum(self.upto.searchsorted(self.g.random(NOISE), "right"), classes - 1)
         above, qn = p.b - self.log_noise, p.q[noise]
         good = np.einsum("nd,nd->n", h, qt) + above[target]
         up = 1 / (1 + np.exp(np.clip(good, -30, 30)))  # how far the word is from certain
@@ -168,9 +200,9 @@ class Trainer:
         np.divide(-1, down, out=down)
         dh = down @ qn
         dh += up[:, None] * qt
-        gq = _row_sums(target, up[:, None] * h, CLASSES) + _row_sums(noise, down.T @ h, CLASSES)
-        gb = np.bincount(target, up, CLASSES) + np.bincount(noise, down.sum(0), CLASSES)
-        gr = _row_sums(one, dh, CONTEXTS) * p.c[0] + _row_sums(two, dh, CONTEXTS) * p.c[1]
+        gq = _row_sums(target, up[:, None] * h, classes) + _row_sums(noise, down.T @ h, classes)
+        gb = np.bincount(target, up, classes) + np.bincount(noise, down.sum(0), classes)
+        gr = _row_sums(one, dh, contexts) * p.c[0] + _row_sums(two, dh, contexts) * p.c[1]
         gc = np.stack([np.einsum("nd,nd->d", dh, r) for r in (r1, r2)])
         for a, g, s in zip((p.r, p.c, p.q, p.b), (gr, gc, gq, gb), self.steepness):
             g /= n
@@ -179,36 +211,33 @@ class Trainer:
         self.tokens += n
 
 
-def _trained(flat: np.ndarray, share: np.ndarray, frequent: list[bytes], turn: int):
-    """One task's pass over its documents, from the common parameters: (tokens, parameters times tokens)."""
+def _trained(flat: np.ndarray, share: np.ndarray, frequent: list[bytes], layout: Layout, turn: int):
+    """One pass over each stream of a task, from the common parameters: (tokens, parameters times tokens) per stream."""
 
-    def run(batches):
-        from pyspark import TaskContext
+    def learn(trainer: Trainer, held: list[np.ndarray]) -> None:
+        c = np.concatenate(held)
+        at = trainer.g.permutation(np.flatnonzero(c != layout.start))  # every position but the starts
+        for i in range(0, len(at), STEP):
+            k = at[i : i + STEP]
+            trainer.step(c[k - 1], c[k - 2], c[k])
 
-        classes = Classes(frequent)
-        trainer = Trainer(Parameters.of(flat), share, 1000 * turn + TaskContext.get().partitionId())
+    def run(batches):
+        classes = Classes(frequent, layout)
+        now = trainer = None
         held: list[np.ndarray] = []
         size = 0
-
-        def learn():
-            c = np.concatenate(held)
-            at = np.flatnonzero(c != START)  # every position but the starts
-            at = trainer.g.permutation(at)
-            for i in range(0, len(at), STEP):
-                k = at[i : i + STEP]
-                trainer.step(c[k - 1], c[k - 2], c[k])
-
-        for b in batches:
-            for text in b.column("text").to_pylist():
+        rows = (zip(b.column("stream").to_pylist(), b.column("text").to_pylist()) for b in batches)
+        for stream, text in chain(chain.from_iterable(rows), [(None, None)]):
+            if held and (stream != now or size > 200_000):
+                learn(trainer, held)
+                held, size = [], 0
+            if stream != now:
+                if trainer:
+                    yield _sum_batch(trainer.tokens, trainer.p.flat().astype(float) * trainer.tokens)
+                now, trainer = stream, Trainer(Parameters.of(flat, layout), share, [turn, stream or 0])
+            if stream is not None:
                 held.append(classes.encode(words_of(text)))
                 size += len(held[-1])
-                if size > 200_000:
-                    learn()
-                    held, size = [], 0
-        if held:
-            learn()
-        if trainer.tokens:
-            yield _sum_batch(trainer.tokens, trainer.p.flat().astype(float) * trainer.tokens)
 
     return run
 
@@ -229,11 +258,12 @@ def _added(batches):
 class Model:
     """Everything that scoring needs: bounded by the module's parameters."""
 
-    def __init__(self, p: Parameters, frequent: list[bytes], counts: dict[bytes, int], total: int, vocabulary: int, mass: np.ndarray):
-        self.p, self.frequent, self.counts = p, frequent, counts
+    def __init__(
+        self, p: Parameters, layout: Layout, frequent: list[bytes], counts: dict[bytes, int], total: int, vocabulary: int, mass: np.ndarray
+    ):
+        self.p, self.layout, self.frequent, self.counts = p, layout, frequent, counts
         self.total, self.vocabulary, self.mass = total, vocabulary, mass
         self.normalisers = p.log_normalisers()
-        self.first, self.second = p.products()
 
     @property
     def unit(self) -> float:
@@ -242,12 +272,13 @@ class Model:
 
     def texts_scored(self, c: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Natural-log probability of the classes of each text, end included; ``c`` has two starts before each."""
-        at = np.flatnonzero(c != START)
+        p, at = self.p, np.flatnonzero(c != self.layout.start)
         out = np.empty(len(at))
-        for i in range(0, len(at), 1 << 16):
-            k = at[i : i + (1 << 16)]
+        for i in range(0, len(at), 1 << 13):
+            k = at[i : i + (1 << 13)]
             one, two, target = c[k - 1], c[k - 2], c[k]
-            out[i : i + len(k)] = self.first[one, target] + self.second[two, target] - self.normalisers[one, two]
+            value = np.einsum("nd,nd->n", p.predict(one, two), p.q.take(target, 0))
+            out[i : i + len(k)] = value + p.b[target] - self.normalisers[one, two]
         return np.add.reduceat(out, np.cumsum(tokens) - tokens)
 
 
@@ -258,7 +289,8 @@ class Numbers(dict):
         self.kept = {w: i for i, w in enumerate(model.counts)}
         self.known = len(self.kept)
         super().__init__(self.kept)
-        classes = Classes(model.frequent)
+        self.layout = model.layout
+        classes = Classes(model.frequent, self.layout)
         self.class_of = np.fromiter(map(classes.__getitem__, self.kept), np.int32, self.known)
         self.class_of = np.concatenate([self.class_of, np.zeros(1 << 16, np.int32)])
         self.rarer: list[bytes] = []
@@ -268,7 +300,7 @@ class Numbers(dict):
         self.rarer.append(word)
         if i >= len(self.class_of):
             self.class_of = np.concatenate([self.class_of, np.zeros_like(self.class_of)])
-        self.class_of[i] = ending_class(word)
+        self.class_of[i] = self.layout.ending(word)
         return i
 
     def trim(self) -> None:
@@ -284,19 +316,21 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _ending(word: Column) -> Column:
-    """The class of a rare word, as ``Classes`` gives it."""
+def _ending(word: Column, endings: int) -> Column:
+    """The class of a rare word among the endings, as ``Classes`` gives it."""
     bare = F.encode(F.btrim(word.cast("string"), F.lit(".,;:!?")), "UTF-8")
-    start = F.greatest(F.lit(1), F.octet_length(bare) - 1)
-    return (F.crc32(bare.substr(start, F.lit(2))) % ENDINGS).cast("int")
+    start = F.greatest(F.lit(1), F.octet_length(bare) - (LAST - 1))
+    return (F.crc32(bare.substr(start, F.lit(LAST))) % endings).cast("int")
 
 
-def train(docs: DataFrame, part: Column) -> tuple[Model, DataFrame]:
+def train(docs: DataFrame, part: Column, key: Column | None = None) -> tuple[Model, DataFrame]:
     """Fit on all of ``docs`` (text); ``part`` is a whole number that deals them into rounds. Also returns all word counts.
 
-    Counts cover every word of every document. The driver keeps the ``COUNTS`` most frequent
-    words, one sum per class and the parameters; the tasks' parameters are added up by
-    ``ADDERS`` tasks before they reach it.
+    ``key``, a 64-bit hash (of the text unless given), deals documents into streams and orders
+    them there, so the model does not depend on the input's partitions. Documents of one key are
+    read one after another by one task. Counts cover every word of every document. The driver
+    keeps the ``COUNTS`` most frequent words, one sum per class and the parameters; the streams'
+    parameters are added up by ``ADDERS`` tasks before they reach it.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -310,7 +344,8 @@ def train(docs: DataFrame, part: Column) -> tuple[Model, DataFrame]:
             break
         least = r.n
     top = sorted(counts.where(~end & (F.col("n") >= least)).collect(), key=lambda r: (-r.n, r.word)) if least else []
-    frequent = [bytes(r.word) for r in top[:WORDS]]
+    layout = Layout.of(vocabulary, len(top))
+    frequent = [bytes(r.word) for r in top[: layout.words]]
     known = {bytes(r.word): r.n for r in top}
     ends = counts.where(end).first()
     if ends:
@@ -318,27 +353,32 @@ def train(docs: DataFrame, part: Column) -> tuple[Model, DataFrame]:
     rare = counts.where(~end)
     if frequent:
         rare = rare.where(~F.col("word").isin(frequent))
-    rare = rare.groupBy(_ending(F.col("word")).alias("ending")).agg(F.sum("n").alias("n"), F.count("*").alias("words"))
-    seen, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    rare = rare.groupBy(_ending(F.col("word"), layout.endings).alias("ending")).agg(F.sum("n").alias("n"), F.count("*").alias("words"))
+    seen, kinds = np.zeros(layout.end + 1), np.zeros(layout.end + 1)
     for r in rare.collect():
-        seen[WORDS + r.ending], kinds[WORDS + r.ending] = r.n, r.words
+        seen[layout.words + r.ending], kinds[layout.words + r.ending] = r.n, r.words
     for i, w in enumerate(frequent):
         seen[i], kinds[i] = known[w], 1
-    seen[END], kinds[END] = known.get(END_WORD, 0), 1
+    seen[layout.end], kinds[layout.end] = known.get(END_WORD, 0), 1
     # the mass of a class: its known words, and one unseen word in a class of rare ones
-    kinds[WORDS:END] += 1
+    kinds[layout.words : layout.end] += 1
     mass = seen + SMOOTH * kinds
     share = mass + 1e-9
     share /= share.sum()
-    p = Parameters.start(share)
+    p = Parameters.start(share, layout)
+    key = F.xxhash64("text") if key is None else key
+    streams = max(1, math.ceil(total / ROUNDS / STREAM))
     for turn in range(ROUNDS):
-        mine = docs.where(F.pmod(part, F.lit(ROUNDS)) == turn).select("text")
-        sent = mine.mapInArrow(_trained(p.flat(), share, frequent, turn), "tokens bigint, sums binary")
+        mine = docs.where(F.pmod(part, F.lit(ROUNDS)) == turn)
+        mine = mine.select(F.pmod(key, F.lit(streams)).cast("bigint").alias("stream"), key.alias("key"), "text")
+        mine = mine.repartition(streams, "stream").sortWithinPartitions("stream", "key", F.xxhash64("text"))
+        mine = mine.select("stream", "text")
+        sent = mine.mapInArrow(_trained(p.flat(), share, frequent, layout, turn), "tokens bigint, sums binary")
         parts = sent.repartition(ADDERS).mapInArrow(_added, "tokens bigint, sums binary").collect()
         tokens = sum(r.tokens for r in parts)
         if tokens:
-            p = Parameters.of(sum(np.frombuffer(r.sums) for r in parts) / tokens)
-    return Model(p, frequent, known, total, vocabulary, mass), counts
+            p = Parameters.of(sum(np.frombuffer(r.sums) for r in parts) / tokens, layout)
+    return Model(p, layout, frequent, known, total, vocabulary, mass), counts
 
 
 def _scored(shared):
@@ -352,7 +392,7 @@ def _scored(shared):
         within = np.log10(model.mass * unit)
         base = np.log10((np.fromiter(model.counts.values(), float, known) + SMOOTH) * unit)
         # log share of a word in its class: none for a frequent word, which is all of its class
-        share = np.where(classes < WORDS, 0.0, base - within[classes])
+        share = np.where(classes < model.layout.words, 0.0, base - within[classes])
         base, share = np.append(base, 0.0), np.append(share, 0.0)  # a rarer word meets its count in the join
         end_base = base[numbers.kept[END_WORD]] if END_WORD in model.counts else math.log10(SMOOTH * unit)
         for b in (b.slice(i, AT_ONCE) for b in batches for i in range(0, b.num_rows, AT_ONCE)):
@@ -363,9 +403,9 @@ def _scored(shared):
             number = np.fromiter(map(numbers.__getitem__, chain.from_iterable(texts)), np.int64, len(of))
             code, low = numbers.class_of[number], np.minimum(number, known)
             rare = low == known
-            c = np.full(len(of) + 3 * len(n), START, np.int32)
+            c = np.full(len(of) + 3 * len(n), model.layout.start, np.int32)
             c[np.arange(len(of)) + 3 * of + 2] = code
-            c[np.cumsum(n + 3) - 1] = END
+            c[np.cumsum(n + 3) - 1] = model.layout.end
             inner = np.bincount(of, np.where(rare, -within[code], share[low]), len(n))  # whole numbers if all are empty
             inner = inner + model.texts_scored(c, n + 1) / math.log(10)
             pair, times = np.unique(of[rare] * (known + len(numbers.rarer)) + number[rare], return_counts=True)
@@ -428,7 +468,7 @@ def train_and_score(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     """
     r1, r2 = hash_pair(F.col(f"`{id}`"), F.col(f"`{text}`"))
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), r1.alias("r1"), r2.alias("r2"))
-    model, counts = train(rows.where(~held_out(F.col("id"))), id_hash(F.col("id"), 10))
+    model, counts = train(rows.where(~held_out(F.col("id"))), id_hash(F.col("id"), 10), F.col("r1"))
     scored = score(rows, model, counts).drop("copies")
     out = rows.select("id", "r1", "r2").join(scored, ["r1", "r2"])
     return out.select(

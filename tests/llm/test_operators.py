@@ -511,21 +511,21 @@ def test_language_model_against_a_plain_loop(spark, monkeypatch, kept):
     given = rows.collect()
     n = Counter(w for r in given if r.doc_id % 5 and r.doc_id < 1000 for w in map(str.encode, map(lower, words(r.text))))
     own = {w: i for i, w in enumerate(model.frequent)}
-    of = {w: own.get(w, lb.ending_class(w)) for w in n}
+    of = {w: own.get(w, model.layout.ending(w)) for w in n}
     assert len(n) > 2 * len(model.counts) if kept else len(model.counts) == len(n) + 1
     mass = Counter()
     for w, c in of.items():
         mass[c] += n[w] + lb.SMOOTH
     first, p = {}, model.p
     for r in given:
-        one, two, total, base = lb.START, lb.START, 0.0, 0.0
+        one, two, total = model.layout.start, model.layout.start, 0.0
         for w in [*map(str.encode, map(lower, words(r.text))), None]:
-            c = lb.END if w is None else own.get(w, lb.ending_class(w))
+            c = model.layout.end if w is None else own.get(w, model.layout.ending(w))
             if (one, two) not in first:
                 s = (p.r[one] * p.c[0] + p.r[two] * p.c[1]) @ p.q.T + p.b
                 first[one, two] = s - s.max() - math.log(np.exp(s - s.max()).sum())
             total += first[one, two][c] / math.log(10)
-            if w is not None and c >= lb.WORDS:
+            if w is not None and c >= model.layout.words:
                 total += math.log10((n[w] + lb.SMOOTH) / (mass[c] + lb.SMOOTH))
             one, two = c, one
         assert got[r.r1, r.r2].score == pytest.approx(total, rel=1e-5, abs=1e-3)
@@ -535,9 +535,8 @@ def test_language_model_against_a_plain_loop(spark, monkeypatch, kept):
 def test_language_model_is_normalised_and_odd_rows(spark):
     docs = odd_docs(spark)
     model, counts = log_bilinear.train(docs.select("text"), F.coalesce("doc_id", F.lit(0)))
-    p = model.p
-    for one, two in ((log_bilinear.START, log_bilinear.START), (0, log_bilinear.START), (3, 600)):
-        two = min(two, log_bilinear.START)
+    p, start = model.p, model.layout.start
+    for one, two in ((start, start), (0, start), (3, min(600, start))):
         s = p.predict(np.array([one]), np.array([two]))[0] @ p.q.T + p.b - model.normalisers[one, two]
         assert np.exp(s).sum() == pytest.approx(1, abs=1e-4)
     out = log_bilinear.train_and_score(docs).collect()
@@ -546,6 +545,21 @@ def test_language_model_is_normalised_and_odd_rows(spark):
     assert log_bilinear.train_and_score(docs.limit(0)).count() == 0
 
 
+def test_language_model_grows_and_forgets_its_partitions(spark, monkeypatch):
+    monkeypatch.setattr(log_bilinear, "STREAM", 20_000)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    few = log_bilinear.train(docs.where("doc_id < 40"), F.col("doc_id"))[0].layout
+    scores = []
+    for parts in (1, 8):
+        rows = docs.repartition(parts)
+        model, _ = log_bilinear.train(rows, F.col("doc_id"), F.xxhash64("doc_id", "text"))
+        assert model.layout.words > few.words and model.layout.endings > few.endings
+        assert model.layout.endings == int(log_bilinear.PER_ROOT * model.vocabulary ** (1 / 3))
+        scores.append({r.doc_id: r.score for r in log_bilinear.train_and_score(rows).collect()})
+    assert scores[0].keys() == scores[1].keys()
+    assert all(scores[1][d] == pytest.approx(s, rel=1e-4) for d, s in scores[0].items())
+
+
 def test_pipeline_stages(spark):
     from shelfwright.session import settle
 

@@ -171,8 +171,15 @@ class Parameters:
 
 def _row_sums(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of the rows of ``values`` that belong to each of ``n`` rows."""
-    at = rows[:, None] * SIZE + np.arange(SIZE)
-    return np.bincount(at.ravel(), values.ravel(), n * SIZE).reshape(n, SIZE)
+    return np.stack([np.bincount(rows, v, n) for v in values.T.astype(float, order="C")], 1)
+
+
+def _touched(rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct of ``rows`` out of ``n``, ascending, and which of them each is."""
+    own = np.flatnonzero(np.bincount(rows, minlength=n))
+    place = np.zeros(n, np.int64)
+    place[own] = np.arange(len(own))
+    return own, place[rows]
 
 
 class Trainer:
@@ -200,14 +207,18 @@ class Trainer:
         np.divide(-1, down, out=down)
         dh = down @ qn
         dh += up[:, None] * qt
-        gq = _row_sums(target, up[:, None] * h, classes) + _row_sums(noise, down.T @ h, classes)
-        gb = np.bincount(target, up, classes) + np.bincount(noise, down.sum(0), classes)
-        gr = _row_sums(one, dh, contexts) * p.c[0] + _row_sums(two, dh, contexts) * p.c[1]
+        # only rows that occur have a gradient, and only they move
+        words, at = _touched(np.concatenate([target, noise]), classes)
+        gq = _row_sums(at, np.concatenate([up[:, None] * h, down.T @ h]), len(words))
+        gb = np.bincount(at, np.concatenate([up, down.sum(0)]), len(words))
+        before, at = _touched(np.concatenate([one, two]), contexts)
+        gr = _row_sums(at, np.concatenate([dh * p.c[0], dh * p.c[1]]), len(before))
         gc = np.stack([np.einsum("nd,nd->d", dh, r) for r in (r1, r2)])
-        for a, g, s in zip((p.r, p.c, p.q, p.b), (gr, gc, gq, gb), self.steepness):
+        rows = (before, slice(None), words, words)
+        for a, g, s, k in zip((p.r, p.c, p.q, p.b), (gr, gc, gq, gb), self.steepness, rows):
             g /= n
-            s += g * g
-            a += RATE * g / np.sqrt(s)
+            s[k] += g * g
+            a[k] += RATE * g / np.sqrt(s[k])
         self.tokens += n
 
 

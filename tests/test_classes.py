@@ -102,6 +102,37 @@ def test_few_candidates_no_candidates_and_no_vector(spark, limit):
     assert all(r["candidates"] == [] for r in none)
 
 
+def test_block_search_writes_no_pair_of_blocks(spark, monkeypatch):
+    from shelfwright.operators import knn as K
+
+    q, qm = _vectors(spark, "query_id", 300, 3)
+    c, cm = _vectors(spark, "id", 200, 4)
+    monkeypatch.setattr(K, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(K, "SIDE_BYTES", 6000)
+    found = knn(q, c, 7, max_bytes=1000)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan.lower() and "Join Cross" in plan
+    expect = brute(qm, cm, 7)
+    rows = found.collect()
+    assert len(rows) == 300 * 7
+    assert all(expect[r["query_id"], r["rank"] - 1] == r["id"] for r in rows)
+
+
+def test_far_tiles_are_passed_by(monkeypatch):
+    from shelfwright.operators import knn as K
+
+    rng = np.random.default_rng(5)
+    c = np.repeat(rng.normal(size=(40, 4)) * 100, 50, axis=0) + rng.normal(size=(2000, 4))
+    q = c[::10] + 0.1
+    monkeypatch.setattr(K, "TILE", 50)
+    met = []
+    own = K.Best._meet_tile
+    monkeypatch.setattr(K.Best, "_meet_tile", lambda self, rows, *a: (met.append(len(rows)), own(self, rows, *a))[1])
+    pos, _ = top_k(q, c, 5)
+    assert (pos == brute(q, c, 5)).all()
+    assert sum(met) < len(q) * 5  # of 40 tiles and more
+
+
 def test_encoder_is_stable_and_unit(spark):
     a, b = HashedCounts().encode(["Hot gear", "hot GEAR"])
     assert (a == b).all() and abs(np.linalg.norm(a) - 1) < 1e-6

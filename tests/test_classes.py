@@ -118,6 +118,18 @@ def test_block_search_writes_no_pair_of_blocks(spark, monkeypatch):
     assert all(expect[r["query_id"], r["rank"] - 1] == r["id"] for r in rows)
 
 
+def test_equal_vectors_cost_no_more_than_k(spark):
+    from shelfwright.operators.knn import _ordered
+
+    rows = [(i, [float(i % 3), 1.0]) for i in range(300)] + [(900, None)]
+    c = spark.createDataFrame(rows, "id bigint, embedding array<float>")
+    assert sorted(r["id"] for r in _ordered(c, "embedding", "id", 4).collect()) == list(range(12))
+    q = spark.createDataFrame([(1, [2.0, 1.0])], "query_id bigint, embedding array<float>")
+    for limit in (1 << 28, 100):
+        got = sorted((r["rank"], r["id"], r["distance"]) for r in knn(q, c, 5, max_bytes=limit).collect())
+        assert got == [(n + 1, 2 + 3 * n, 0.0) for n in range(5)]
+
+
 def test_far_tiles_are_passed_by(monkeypatch):
     from shelfwright.operators import knn as K
 

@@ -145,6 +145,16 @@ def test_far_tiles_are_passed_by(monkeypatch):
     assert sum(met) < len(q) * 5  # of 40 tiles and more
 
 
+def test_many_candidates_deal_the_queries_out(spark, monkeypatch):
+    from shelfwright.operators import knn as K
+
+    q, _ = _vectors(spark, "query_id", 60, 1)
+    c, _ = _vectors(spark, "id", 45, 2)
+    monkeypatch.setattr(K, "DEAL", 10)
+    parts = nearest(q, c, 3).rdd.getNumPartitions()
+    assert parts == 5 * spark.sparkContext.defaultParallelism
+
+
 def test_encoder_is_stable_and_unit(spark):
     a, b = HashedCounts().encode(["Hot gear", "hot GEAR"])
     assert (a == b).all() and abs(np.linalg.norm(a) - 1) < 1e-6

@@ -145,6 +145,18 @@ def test_far_tiles_are_passed_by(monkeypatch):
     assert sum(met) < len(q) * 5  # of 40 tiles and more
 
 
+def test_sent_candidates_keep_their_width():
+    import pickle
+
+    from shelfwright.operators.knn import Tiles
+
+    c = np.random.default_rng(6).normal(size=(5000, 64)).astype(np.float32)
+    assert len(pickle.dumps(Tiles(c))) < 1.2 * c.nbytes
+    odd = np.array([[0.0], [np.nan], [1.0], [np.nan]])
+    pos, dist = top_k(np.array([[0.9], [np.nan]]), odd, 3)
+    assert pos.tolist() == [[2, 0, 1], [0, 1, 2]] and np.isnan(dist[:, 2]).all()
+
+
 def test_many_candidates_deal_the_queries_out(spark, monkeypatch):
     from shelfwright.operators import knn as K
 
